@@ -2,38 +2,99 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import repetition, simhash, substring
+from plumbline.llm import nbsvm, orderhash, repetition, simhash, substring, tokenfile
+from plumbline.llm.shared import arrow_map, scratch, texts_of
+
+SEED = 20240131
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document by naive Bayes support vectors."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.train(docs, read(spark, sf_dir, "labels"))
+    scored = nbsvm.with_score(docs, model)
+    return scored.select("doc_id", nbsvm.held_out(F.col("doc_id")).alias("held_out"), "score", nbsvm.predicted(F.col("score")).alias("predicted"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that stay after removing 50-word windows that an earlier document has."""
     kept = substring.remove_repeats(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentation of each text, seeded by doc_id, and the round trip back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+
+    def work(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        from plumbline.llm.lattice import lattice
+
+        model = lattice(path)
+        keys = np.array([k or 0 for k in part.column(0).to_pylist()], np.int64)
+        ids, counts = model.sample(texts, keys, SEED)
+        end = np.cumsum(counts)
+        rows = [ids[a:b] for a, b in zip((end - counts).tolist(), end.tolist(), strict=True)]
+        crc = [zlib.crc32(x.astype("<u4").tobytes()) for x in rows]
+        same = [model.decode(x) == t for x, t in zip(rows, texts, strict=True)]
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), pa.array(crc, pa.int64()), pa.array(same)], names=["doc_id", "n_pieces", "pieces_crc32", "lossless"])
+
+    return arrow_map(texts_of(read(spark, sf_dir, "documents")), work, "doc_id long, n_pieces long, pieces_crc32 long, lossless boolean")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of each document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of each text and of its edited text, and how alike they are."""
+    rows = orderhash.with_next(orderhash.fingerprints(read(spark, sf_dir, "documents")))
+    rows = rows.withColumn("edited", orderhash.edited(F.col("text"), F.col("next_text")))
+    rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "signature", "next_signature", orderhash.signature(F.col("edited")).alias("edited_signature"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        orderhash.as_text(F.col("signature")).alias("fingerprint"),
+        orderhash.as_text(F.col("edited_signature")).alias("edited_fingerprint"),
+        orderhash.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        orderhash.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each text written to Simple-8b files and read back."""
+    path = scratch(spark, "tokens")
+    tokenfile.write_tokens(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfile.read_digests(spark, path)
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and repetition verdict of each document."""
     return repetition.repetition_quality(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op7_simhash": op7_simhash,
+    "op8_order_minhash": op8_order_minhash,
+    "op9_token_files": op9_token_files,
     "op10_repetition": op10_repetition,
 }
 ORACLES: dict[str, str] = {}

@@ -26,12 +26,18 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder; what is written there goes when this process ends."""
+    path = f"{shared_root(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
