@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import nbsvm, orderhash, repetition, simhash, substring, tokenfile
+from plumbline.llm import html_text, nbsvm, orderhash, pii, repetition, simhash, substring, tokenfile
 from plumbline.llm.shared import arrow_map, scratch, texts_of
 
 SEED = 20240131
@@ -21,6 +21,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of each document by naive Bayes support vectors."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,6 +59,16 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_map(texts_of(read(spark, sf_dir, "documents")), work, "doc_id long, n_pieces long, pieces_crc32 long, lossless boolean")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each text: base patterns, and terms that disclose them."""
+    found = pii.personal_data(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = pii.listed(F.col("base"))
+    terms = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,stop:int,disclosure:double>>")), lambda t: F.concat_ws(":", F.lit("term"), t["start"], t["stop"]))
+    every = F.array_join(F.filter(F.concat(F.array(base), terms), lambda x: x != ""), ",")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of each document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -89,9 +104,11 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_quality": op2_quality,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_personal_data": op6_personal_data,
     "op7_simhash": op7_simhash,
     "op8_order_minhash": op8_order_minhash,
     "op9_token_files": op9_token_files,

@@ -24,16 +24,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of a list of texts: ``start``/``end`` in ``data``; text d has words ``first[d]:first[d+1]``."""
+    """The words of a list of texts: ``start``/``end`` in ``data``; text d has words ``first[d]:first[d+1]``.
 
-    def __init__(self, texts: list[bytes]):
+    ``between`` says which bytes lie between words; the line break must be one of them.
+    """
+
+    def __init__(self, texts: list[bytes], between: np.ndarray = _SPACE):
         self.data = b"\n".join(texts) + b"\n"
         n = len(self.data)
         self.buf = np.frombuffer(self.data + bytes(16), np.uint8)
         self.begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
-        space = _SPACE[self.buf[:n]]
+        space = between[self.buf[:n]]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        if not space[0]:
+        if n and not space[0]:
             edge = np.concatenate(([0], edge))
         self.start, self.end = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, self.begin)
