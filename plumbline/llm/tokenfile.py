@@ -97,8 +97,8 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.array(row["sizes"], np.int64)
             end = np.cumsum(size)
             crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip((end - size).tolist(), end.tolist(), strict=True)]
-            start = row["base"] + row["before"] + end - size
-            yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(start), pa.array(size), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            bucket = pa.array(np.full(len(size), row["bucket"]))
+            yield pa.RecordBatch.from_arrays([bucket, pa.array(row["doc_ids"], pa.int64()), pa.array(row["base"] + end - size), pa.array(size), pa.array(crc, pa.int64())], names=["bucket", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -106,7 +106,8 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     chunks = spark.read.schema(_CHUNK).parquet(path)
     total = chunks.groupBy("bucket").agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")
-    return chunks.join(total.select("bucket", before), "bucket").mapInArrow(_unpack, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = chunks.mapInArrow(_unpack, "bucket long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    return rows.join(total.select("bucket", before), "bucket").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def _texts(tokenizer: str):
