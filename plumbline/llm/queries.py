@@ -11,10 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import html_text, nbsvm, orderhash, pii, repetition, simhash, substring, tokenfile
+from plumbline.llm import html_text, mixing, nbsvm, orderhash, pii, repetition, simhash, substring, tokenfile
 from plumbline.llm.shared import arrow_map, scratch, texts_of
 
 SEED = 20240131
+#: Whole weights of the mixing tree's nodes; those not named weigh one.
+WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
+MIX = {"seed": SEED, "share": 1.0, "max_epochs": 2}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", nbsvm.held_out(F.col("doc_id")).alias("held_out"), "score", nbsvm.predicted(F.col("score")).alias("predicted"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents selected by the budgets of their leaves, one row per epoch."""
+    return mixing.mix(read(spark, sf_dir, "documents"), WEIGHTS, **MIX, with_leaf=True)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that stay after removing 50-word windows that an earlier document has."""
     kept = substring.remove_repeats(read(spark, sf_dir, "documents"))
@@ -103,9 +111,17 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_quality(read(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline, all stages."""
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_quality": op2_quality,
+    "op3_mixing": op3_mixing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_personal_data": op6_personal_data,
@@ -113,5 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_token_files": op9_token_files,
     "op10_repetition": op10_repetition,
+    "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.oracle(WEIGHTS, **MIX)}
