@@ -65,12 +65,12 @@ def last_part(url: Column) -> Column:
     return F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "/"), -1)
 
 
-@F.arrow_udf("string")
-def _visible(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        yield pa.array([None if x is None else " ".join(unescape(_DROP.sub(" ", x)).split()) for x in batch.to_pylist()], pa.string())
-
-
 def visible_text(html: Column) -> Column:
     """Text without tags, scripts and styles, references decoded and white space collapsed."""
-    return _visible(html)
+
+    @F.arrow_udf("string")
+    def visible(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([None if x is None else " ".join(unescape(_DROP.sub(" ", x)).split()) for x in batch.to_pylist()], pa.string())
+
+    return visible(html)

@@ -34,7 +34,10 @@ def coarse(vectors: DataFrame, k: int | None = None, dims: int = 256, seed: int
 
 
 def _density(x: np.ndarray, least: int) -> np.ndarray:
-    """Labels by mutual reachability: a spanning tree cut into a hierarchy, of which the stablest clusters stay; -1 is noise."""
+    """Labels by mutual reachability: a spanning tree cut into a hierarchy, of which the stablest clusters stay; -1 is noise.
+
+    Where no split is stable the whole is one cluster, so that an even bucket isn't lost as noise.
+    """
     n = len(x)
     d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2 * x @ x.T, 0))
     core = np.sort(d, axis=1)[:, min(least, n - 1)]
@@ -50,7 +53,7 @@ def _density(x: np.ndarray, least: int) -> np.ndarray:
         edges.append((near[at], link[at], at))
     edges.sort()
     # Merge upwards; every merge is a node with its members' size and height.
-    parent, size = list(range(2 * n - 1)), [1] * n + [0] * (n - 1)
+    size = [1] * n + [0] * (n - 1)
     kids: dict[int, tuple[int, int, float]] = {}
     top = list(range(n))
 
@@ -68,7 +71,6 @@ def _density(x: np.ndarray, least: int) -> np.ndarray:
         size[new] = size[name[a]] + size[name[b]]
         top[b] = a
         name[a] = new
-    del parent
     # Downwards: a split into two parts of ``least`` or more makes two clusters; else points fall out.
     labels = np.full(n, -1)
 
@@ -117,6 +119,8 @@ def _density(x: np.ndarray, least: int) -> np.ndarray:
             found.append(c)
         else:
             todo2 += clusters[c]["kids"]
+    if not found:
+        return np.zeros(n, int)
     for label, c in enumerate(sorted(found, key=lambda c: min(leaves(clusters[c]["node"])))):
         labels[leaves(clusters[c]["node"])] = label
     return labels

@@ -29,7 +29,7 @@ def rebuild(comments: DataFrame, key: str, parent: str) -> DataFrame:
     up = ids.join(known, "p", "left_semi").select("k", "p", F.lit(1).cast("bigint").alias("d"))
     roots = ids.join(up.select("k"), "k", "left_anti").select("k", F.col("k").alias("p"), F.lit(0).cast("bigint").alias("d"))
     state = cut(roots.select("k", "p", "d", F.lit(True).alias("done")).unionByName(up.select("k", "p", "d", F.lit(False).alias("done"))))
-    for _ in range(48):  # deeper than 2^48 goes round in a cycle
+    for _ in range(state.count().bit_length() + 1):  # by then a path is longer than the table: what is left goes round
         open_ = state.filter("not done")
         if open_.isEmpty():
             break
