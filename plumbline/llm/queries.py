@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import html_text, mixing, nbsvm, orderhash, pii, repetition, simhash, substring, tokenfile
+from plumbline.llm import html_text, mixing, nbsvm, oracles, orderhash, pii, repetition, simhash, substring, tokenfile
 from plumbline.llm.shared import arrow_map, scratch, texts_of
 
 SEED = 20240131
@@ -131,4 +131,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repetition": op10_repetition,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op3_mixing": mixing.oracle(WEIGHTS, **MIX)}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.oracle(WEIGHTS, **MIX), "op4_substring_dedup": oracles.OP4, "op10_repetition": oracles.OP10}
