@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import table
+from plumbline.llm.shared import spare, table
 
 LEVELS = ("domain", "lang", "source")
 _RANGE = 3  # hex digits of the hash ranges: 4096 of them
@@ -111,14 +111,15 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], seed: int = 0, shar
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     leaf_of = {"domain": name(domain_of(F.col("source")) if domain is None else domain), "lang": name(F.col("lang")), "source": name(F.col("source"))}
     slim = table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(c.alias(k) for k, c in leaf_of.items()), tokens_of(F.col("text")).alias("n_tokens")), "mix-tokens")
-    leaf = plan(slim, weights, seed, share, max_epochs).select(*(F.col(x).alias(f"_{x}") for x in LEVELS), F.col("full").alias("_full"), F.col("last").alias("_last"))
-    copies = F.col("_full") + F.when(_key(seed, F.col("_full") + 1) <= F.col("_last"), 1).otherwise(0)
+    own = {x: spare(docs, f"_{x}") for x in (*LEVELS, "full", "last", "epoch")}
+    leaf = plan(slim, weights, seed, share, max_epochs).select(*(F.col(x).alias(own[x]) for x in (*LEVELS, "full", "last")))
+    copies = F.col(own["full"]) + F.when(_key(seed, F.col(own["full"]) + 1) <= F.col(own["last"]), 1).otherwise(0)
     if with_leaf:
-        on = [F.col(x) == F.col(f"_{x}") for x in LEVELS]
+        on = [F.col(x) == F.col(own[x]) for x in LEVELS]
         return slim.join(leaf, on).filter(copies > 0).withColumn("epoch", F.explode(F.sequence(F.lit(1), copies))).select("doc_id", *LEVELS, "epoch", "n_tokens")
-    on = [c == F.col(f"_{k}") for k, c in leaf_of.items()]
+    on = [c == F.col(own[k]) for k, c in leaf_of.items()]
     chosen = docs.join(leaf, on).filter(copies > 0)
-    return chosen.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.sequence(F.lit(1), copies)).alias("_epoch")).drop("_epoch")
+    return chosen.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.sequence(F.lit(1), copies)).alias(own["epoch"])).drop(own["epoch"])
 
 
 def oracle(weights: dict[str, dict[str, int]], seed: int, share: float, max_epochs: int) -> str:

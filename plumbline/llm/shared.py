@@ -53,6 +53,14 @@ def release() -> None:
             return
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) alone, null texts as empty; other columns, whatever their names, are not read."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -70,11 +78,11 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
                 begin, held = i + 1, 0
 
 
-def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch | None], schema: str, column: str = "text") -> DataFrame:
+def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch | None], schema: str, column: str = "text", most: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over slices of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, column):
+        for part, texts in slices(batches, column, most):
             out = work(part, texts)
             if out is not None and out.num_rows:
                 yield out

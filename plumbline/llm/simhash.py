@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import stars
-from plumbline.llm.shared import arrow_map, table, texts_of
+from plumbline.llm.shared import arrow_map, spare, table, texts_of
 
 WIDTH, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
 #: Bits are counted over this many shingles at a time, to bound memory on long texts.
@@ -160,5 +160,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
     the same fingerprint one stays per row given; they share the id, hence the decision.
     """
     found = near_duplicates(docs.filter(docs["doc_id"].isNotNull()))
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    name = spare(docs, "gone")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")

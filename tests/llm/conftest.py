@@ -34,7 +34,7 @@ def docs(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ROWS, SCHEMA)
-    return df.withColumns({c: F.lit("mine") for c in ("score", "anchor", "fp", "key", "bucket", "spans", "base", "kept", "_score", "domain", "epoch", "terms", "rep", "signature")})
+    return df.withColumns({c: F.lit("mine") for c in ("score", "anchor", "fp", "key", "bucket", "spans", "base", "kept", "domain", "epoch", "terms", "rep", "signature", "_domain", "_full", "_last", "_epoch", "of", "gone")})
 
 
 @pytest.fixture(scope="session")
