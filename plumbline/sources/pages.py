@@ -96,3 +96,16 @@ def alternatives(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(6)], names=list(names))
 
     return pages.select("seed", "html").mapInArrow(run, "source_slug string, ext_id string, url string, title string, body string, metadata string")
+
+
+def listing_posts(pages: DataFrame, base: str = "https://old.reddit.com") -> DataFrame:
+    """(sub, html) of a listing -> a document per post; a post without a title is passed over. On conflict only titles are updated."""
+    post = F.explode(F.regexp_extract_all("html", F.lit(r'(?is)<div(?=[^>]*class="[^"]*\bthing\b)(?=[^>]*class="[^"]*\blink\b)[^>]*>(?:(?!<div[^>]*\bthing\b).)*'), 0))
+    attribute = lambda n: F.nullif(F.regexp_extract("_post", rf'(?is)^<div[^>]*\b{n}="([^"]*)"', 1), F.lit(""))
+    anchor = F.regexp_extract("_post", r'(?is)<a(?=[^>]*class="[^"]*\btitle\b)[^>]*>.*?</a>', 0)
+    title = F.trim(htmlx.few_entities(F.regexp_replace(F.regexp_extract(anchor, r"(?is)^<a[^>]*>(.*)</a>$", 1), "<[^>]*>", "")))
+    href = F.regexp_extract(anchor, r'(?is)^<a[^>]*\bhref="([^"]*)"', 1)
+    rows = pages.select("sub", post.alias("_post")).filter(anchor != "")
+    meta = F.to_json(F.struct("sub", attribute("data-score").alias("score"), attribute("data-author").alias("author")))
+    url = F.when(F.startswith(href, F.lit("/")), F.concat(F.lit(base), href)).otherwise(href)
+    return rows.select(F.lit("reddit").alias("source_slug"), F.coalesce(attribute("data-fullname"), F.lit("")).alias("ext_id"), url.alias("url"), title.alias("title"), title.alias("body"), meta.alias("metadata"), F.sha2(title, 256).alias("content_hash"))

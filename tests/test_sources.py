@@ -121,3 +121,11 @@ def test_embedder(spark):
     assert [len(r.embedding) for r in got] == [16, 16]
     todo = df.withColumn("embedding", F.lit(None).cast("array<float>")).withColumn("attempts", F.when(F.col("id") == 2, 3))
     assert [r.id for r in embedder.priority_page(todo, 5).collect()] == [1]
+
+
+def test_listing(spark):
+    html = '<div class="thing id link" data-fullname="t3_a" data-score="5" data-author="me"><a class="thumb" href="/x"></a><a class="title may-blank" href="/r/s/1">A <b>title</b></a></div><div class="thing link" data-fullname="t3_b"><p>no title</p></div><div class="thing link" data-fullname="t3_c"><a href="https://y" class="title">C</a></div>'
+    got = {r.ext_id: r for r in pages.listing_posts(spark.createDataFrame([("s", html)], "sub string, html string")).collect()}
+    assert set(got) == {"t3_a", "t3_c"}
+    assert (got["t3_a"].title, got["t3_a"].url, got["t3_c"].url) == ("A title", "https://old.reddit.com/r/s/1", "https://y")
+    assert json.loads(got["t3_a"].metadata) == {"sub": "s", "score": "5", "author": "me"}
