@@ -8,8 +8,6 @@ operators define; an empty table comes out empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -17,15 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import mixing, nbsvm, pii, simhash
+from plumbline.llm.lattice import SLICE
 from plumbline.llm.queries import MIX, SEED, WEIGHTS
-from plumbline.llm.shared import slices, table
+from plumbline.llm.shared import arrow_map, spare, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     model = nbsvm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = nbsvm.with_score(docs, model, score_col="_score")
-    return scored.filter(nbsvm.predicted(F.col("_score")) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
+    score = spare(docs, "score")
+    scored = nbsvm.with_score(docs, model, score_col=score)
+    return scored.filter(nbsvm.predicted(F.col(score)) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,21 +51,16 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Piece ids of each text, sampled by its doc_id."""
     path = public_tokenizers.path("piece_bpe_32k.model")
 
-    @F.arrow_udf("array<int>")
-    def pieces(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def encode(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         from plumbline.llm.lattice import lattice
 
-        model = lattice(path)
-        for keys, texts in batches:
-            done = []
-            for part, raw in slices([pa.RecordBatch.from_arrays([keys, texts], names=["key", "text"])]):
-                ids, counts = model.sample(raw, np.array(part.column(0).to_pylist(), np.int64), SEED)
-                offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-                done.append(pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())))
-            yield pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
-
-    ids = pieces(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.select("doc_id", "lang", "source", ids.alias("pieces")).withColumn("n_pieces", F.size("pieces"))
+        keys = np.array([k or 0 for k in part.column("doc_id").to_pylist()], np.int64)
+        ids, counts = lattice(path).sample(texts, keys, SEED)
+        pieces = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(ids, pa.int32()))
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), part.column("source"), pieces, pa.array(counts.astype(np.int32))], names=["doc_id", "lang", "source", "pieces", "n_pieces"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return arrow_map(rows, encode, "doc_id long, lang string, source string, pieces array<int>, n_pieces int", most=SLICE)
 
 
 STAGES = [

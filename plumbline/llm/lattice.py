@@ -29,7 +29,8 @@ from plumbline.llm.words import mix, span_hashes
 
 MARK = "▁"
 _MARK_BYTES = MARK.encode()
-_MOST_EDGES = 6_000_000
+#: Forward passes kept, by their edges (16 bytes each); texts are sampled in slices of ``SLICE`` bytes.
+_MOST_EDGES, SLICE = 2_500_000, 1_000_000
 #: Longer stretches are summed one by one, with their sums rescaled on the way.
 _IN_STEP = 150
 _SMALL, _LARGE = 1e-120, 1e120
@@ -79,13 +80,13 @@ class Lattice:
 
     def _forget(self) -> None:
         self.keys, self.last_node, self.width = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.cum, self.piece, self.back = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.cum, self.piece, self.back = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.nodes = 0
 
     def _append(self, cum, piece, back) -> None:
         self.cum = np.concatenate((self.cum, cum))
         self.piece = np.concatenate((self.piece, np.array(piece, np.int32)))
-        self.back = np.concatenate((self.back, np.array(back, np.int64)))
+        self.back = np.concatenate((self.back, np.array(back, np.int32)))
 
     def _forward(self, text: str, cum: list[float], piece: list[int], back: list[int]) -> int:
         """Add the stretch's nodes and edges; the node of its end. Each node is where some path ends."""

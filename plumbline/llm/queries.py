@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import html_text, mixing, nbsvm, oracles, orderhash, pii, repetition, simhash, substring, tokenfile
+from plumbline.llm.lattice import SLICE
 from plumbline.llm.shared import arrow_map, scratch, texts_of
 
 SEED = 20240131
@@ -64,7 +65,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         same = [model.decode(x) == t for x, t in zip(rows, texts, strict=True)]
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), pa.array(crc, pa.int64()), pa.array(same)], names=["doc_id", "n_pieces", "pieces_crc32", "lossless"])
 
-    return arrow_map(texts_of(read(spark, sf_dir, "documents")), work, "doc_id long, n_pieces long, pieces_crc32 long, lossless boolean")
+    return arrow_map(texts_of(read(spark, sf_dir, "documents")), work, "doc_id long, n_pieces long, pieces_crc32 long, lossless boolean", most=SLICE)
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

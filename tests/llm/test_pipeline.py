@@ -6,7 +6,7 @@ from plumbline.llm import nbsvm, pii, simhash  # noqa: E402
 
 
 def test_stages_keep_columns_and_decide(spark, docs, tmp_path):
-    base = docs.drop("score", "_score")
+    base = docs
     labels = spark.createDataFrame([(i, int(i != 12)) for i in range(13)], "doc_id long, quality int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     now, names = base, [n for n, _ in corpus_pipeline.STAGES]
@@ -33,7 +33,7 @@ def test_whole_run(spark, tmp_path):
 
 def test_empty_table(spark, empty, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
-    now = empty.drop("score", "_score")
+    now = empty
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, str(tmp_path))
     assert now.count() == 0
