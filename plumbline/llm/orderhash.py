@@ -24,6 +24,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.llm.shared import texts_of
+
 K, BINS, PICKS = 5, 32, 2
 _PLACE = 26
 #: Documents of a bucket of neighbours, and the most buckets (their first ids are broadcast: 16 bytes each).
@@ -117,30 +119,32 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text, signature) of each row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("signature", signature(F.col("text")))
+    return texts_of(docs).withColumn("signature", signature(F.col("text")))
 
 
-def with_next(rows: DataFrame) -> DataFrame:
-    """(doc_id, text, signature) -> the same and next_text, next_signature of the row that follows by (doc_id, text).
+def with_next(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, signature) of each row, and next_text, next_signature of the row that follows by (doc_id, text).
 
     Rows are dealt into buckets of neighbours; the first rows of each bucket's first id are
     also sent to the bucket before it. So each text is shuffled once.
     """
+    rows = texts_of(docs)
     ids = rows.select("doc_id")
     low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     spread = 0 if low is None else high - low + 1
     width = max(1, -(-spread * ROWS // max(n, 1)), -(-spread // MOST_BUCKETS))
     bucket = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low or 0)) / width).cast("long"), F.lit(-1).cast("long"))
-    own = rows.withColumn("bucket", bucket).withColumn("late", F.lit(0))
+    own = rows.select("doc_id", "text", bucket.alias("bucket"), F.lit(0).alias("late"))
     # At most MOST_BUCKETS + 1 rows: each bucket's first id, and the bucket that it is sent to.
     heads = ids.withColumn("bucket", bucket).groupBy("bucket").agg(F.min("doc_id").alias("head"))
     around = Window.orderBy("bucket")
     heads = heads.select("head", F.lag("bucket").over(around).alias("to"), F.max("bucket").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end"))
     heads = heads.select("head", F.coalesce("to", "end").alias("to"), F.when(F.col("to").isNull(), 2).otherwise(1).alias("late"))
     sent = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head")))
-    sent = sent.select("doc_id", "text", "signature", F.col("to").alias("bucket"), "late")
+    sent = sent.select("doc_id", "text", F.col("to").alias("bucket"), "late")
     order = Window.partitionBy("bucket").orderBy("late", "doc_id", "text")
-    all_rows = own.select("doc_id", "text", "signature", "bucket", "late").unionByName(sent)
+    # The few rows that are sent are picked before any fingerprint is made.
+    all_rows = own.unionByName(sent).withColumn("signature", signature(F.col("text")))
     following = all_rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_signature", F.lead("signature").over(order))
     return following.filter("late = 0").select("doc_id", "text", "signature", "next_text", "next_signature")
 

@@ -86,7 +86,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order MinHash of each text and of its edited text, and how alike they are."""
-    rows = orderhash.with_next(orderhash.fingerprints(read(spark, sf_dir, "documents")))
+    rows = orderhash.with_next(read(spark, sf_dir, "documents"))
     rows = rows.withColumn("edited", orderhash.edited(F.col("text"), F.col("next_text")))
     rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "signature", "next_signature", orderhash.signature(F.col("edited")).alias("edited_signature"))
     return rows.select(
