@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import slices, texts_of
+from plumbline.llm.shared import slices, texts_of, trim
 from plumbline.llm.words import Words, grams, mix
 
 SPACE, MOST, EPOCHS, COST, SMOOTH, FOLDS = 1 << 18, 4000, 8, 1.0, 1.0, 3
@@ -166,6 +166,8 @@ def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels += batch.column("label").to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
     m = fit([texts[i] for i in order], np.array([labels[i] for i in order]))
+    del ids, texts, labels
+    trim()
     yield pa.RecordBatch.from_arrays([pa.array([m.weight.tobytes()]), *(pa.array([x]) for x in (m.bias, m.slope, m.offset))], names=["weight", "bias", "slope", "offset"])
 
 
@@ -195,6 +197,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", score_col:
         for texts in batches:
             done = [pa.array(shared.value.score(part)) for _, part in slices([pa.RecordBatch.from_arrays([texts], names=["text"])])]
             yield pa.concat_arrays(done) if done else pa.array([], pa.float64())
+        trim()
 
     return docs.withColumn(score_col, score(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes.util
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are worked on in slices of about this many bytes, to bound a worker's memory.
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 1_500_000
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -78,6 +79,15 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
                 begin, held = i + 1, 0
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers live on for later stages."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    give = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if give:
+        give(0)
+
+
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch | None], schema: str, column: str = "text", most: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over slices of bounded size."""
 
@@ -86,5 +96,6 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch, list[bytes]], pa.Re
             out = work(part, texts)
             if out is not None and out.num_rows:
                 yield out
+        trim()
 
     return df.mapInArrow(run, schema)
