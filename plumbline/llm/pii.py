@@ -8,7 +8,11 @@ all documents, with c an entity and t a term,
     disclosure(c, t) = PMI(c, t) / IC(c) = log(N n(c,t) / (n(c) n(t))) / log(N / n(c))
 
 which is 1 when t only ever occurs by c. A pair counts when it was seen in ``SUPPORT``
-different surroundings or more, so copies of one passage are no evidence. From
+different surroundings or more, so copies of one passage are no evidence. Most values are
+too rare for that, so c is also each class that a value belongs to: the name and the domain
+of an e-mail, the network of an IP, the issuer of a card, the prefix of a phone, and the
+kind itself. Classes are common, so there a pair needs so many surroundings that chance
+gives them with probability ``CHANCE`` at most. The highest disclosure counts. From
 ``GENERALISE`` on the term is replaced by its kind, from ``REMOVE`` on it is removed.
 
 Null and empty texts have no spans. Statistics are over documents (rows by doc_id); rows with
@@ -20,19 +24,21 @@ rows; other columns are kept by ``sanitise`` and not read by the rest.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import arrow_map, spare, table, texts_of
+from plumbline.llm.shared import arrow_map, slices, spare, table, texts_of, trim
 from plumbline.llm.words import Words, mix, span_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 REACH, SUPPORT, GENERALISE, REMOVE, LEAST = 10, 3, 0.7, 0.9, 3
+CHANCE = 1e-4
 _BITS = 24
+_HELD = 1 << 20
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match can't begin inside a run of digits: it would have begun at the run's start.
@@ -88,8 +94,26 @@ def _plain(kind: str, value: str) -> str:
     return kind + ":" + (value.lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", value))
 
 
-def _terms_near(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int, str]]:
-    """(entity, term, start, end, surroundings) of the terms within ``REACH`` of a base span, outside all spans."""
+def classes(kind: str, value: str) -> list[str]:
+    """The value itself, then the classes that it belongs to, the kind last."""
+    plain = _plain(kind, value)
+    bare = plain[len(kind) + 1 :]
+    wide = []
+    if kind == "email":
+        local, _, domain = bare.rpartition("@")
+        name = re.sub("[^a-z]", "", local.partition("+")[0])
+        wide = [f"name:{name}"] * bool(name) + [f"domain:{domain}"]
+    elif kind == "ip":
+        wide = [f"network:{bare.rpartition('.')[0]}"]
+    elif kind == "card":
+        wide = [f"issuer:{bare[:6]}"]
+    elif kind == "phone":
+        wide = [f"prefix:{bare[:-4]}"]
+    return [plain, *wide, f"kind:{kind}"]
+
+
+def _terms_near(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, bool, str, int, int, str]]:
+    """(entity or class, is it a class, term, start, end, surroundings) of the terms within ``REACH`` of a base span, outside all spans."""
     out = []
     taken = sorted((a, b) for _, a, b in spans)
     for kind, a, b in spans:
@@ -108,8 +132,8 @@ def _terms_near(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str,
                 break
         near = [x for x in (*before[-REACH:], *after) if not any(x[1] < q and p < x[2] for p, q in taken)]
         around = " ".join(x[0] for x in near)
-        entity = _plain(kind, text[a:b])
-        out += [(entity, t.lower() if t.isascii() else t.encode().lower().decode(), p, q, around) for t, p, q in near if len(t.encode()) >= LEAST]
+        for i, entity in enumerate(classes(kind, text[a:b])):
+            out += [(entity, i > 0, t.lower() if t.isascii() else t.encode().lower().decode(), p, q, around) for t, p, q in near if len(t.encode()) >= LEAST]
     return out
 
 
@@ -122,7 +146,7 @@ def _hash(items: list[str]) -> np.ndarray:
 
 
 _SPAN = "array<struct<kind:string,start:int,stop:int>>"
-_NEAR = "array<struct<entity:long,term:long,start:int,stop:int,around:long>>"
+_NEAR = "array<struct<entity:long,wide:boolean,term:long,start:int,stop:int,around:long>>"
 
 
 def _find(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
@@ -133,13 +157,13 @@ def _find(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         found.append([{"kind": k, "start": a, "stop": b} for k, a, b in spans])
         near.append(_terms_near(text, spans))
     flat = [x for row in near for x in row]
-    entity, term, around = (_hash([x[i] for x in flat]) for i in (0, 1, 4))
+    entity, term, around = (_hash([x[i] for x in flat]) for i in (0, 2, 5))
     rows, at = [], 0
     for row in near:
-        rows.append([{"entity": entity[at + i], "term": term[at + i], "start": x[2], "stop": x[3], "around": around[at + i]} for i, x in enumerate(row)])
+        rows.append([{"entity": entity[at + i], "wide": x[1], "term": term[at + i], "start": x[3], "stop": x[4], "around": around[at + i]} for i, x in enumerate(row)])
         at += len(row)
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
-    close = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("around", pa.int64())]))
+    close = pa.list_(pa.struct([("entity", pa.int64()), ("wide", pa.bool_()), ("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("around", pa.int64())]))
     return pa.RecordBatch.from_arrays([part.column(0), pa.array(found, span), pa.array(rows, close)], names=["doc_id", "base", "near"])
 
 
@@ -148,24 +172,43 @@ def find_entities(docs: DataFrame) -> DataFrame:
     return arrow_map(texts_of(docs), _find, f"doc_id long, base {_SPAN}, near {_NEAR}")
 
 
-def _term_counts(bits: np.ndarray):
-    """Documents of each slice that have a term, of the terms whose bit is set."""
+def _summed(term: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each term once, with the sum of its numbers."""
+    terms, at = np.unique(np.concatenate(term), return_inverse=True)
+    return terms, np.bincount(at, weights=np.concatenate(n)).astype(np.int64)
 
-    def work(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
+
+def _term_counts(bits: np.ndarray, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a task that have a term, of the terms whose bit is set; slices are summed up to ``_HELD`` terms."""
+    term: list[np.ndarray] = []
+    count: list[np.ndarray] = []
+
+    def given() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(term[0].view(np.int64)), pa.array(count[0])], names=["term", "n"])
+
+    for _, texts in slices(batches):
         w = Words([t.lower() for t in texts], _BETWEEN)
         h = w.hashes()
         low = h & np.uint64((1 << _BITS) - 1)
         at = np.flatnonzero((bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1)
         if not len(at):
-            return None
+            continue
         h, d = h[at], w.doc[at]
         order = np.lexsort((d, h))
         h, d = h[order], d[order]
         once = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))
-        term, n = np.unique(h[once], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
-
-    return work
+        term.append(h[once])
+        count.append(np.ones(len(term[-1]), np.int64))
+        if sum(map(len, term)) > _HELD:
+            term[:], count[:] = ([x] for x in _summed(term, count))
+            if len(term[0]) > _HELD // 2:
+                yield given()
+                term.clear()
+                count.clear()
+    if term:
+        term[:], count[:] = ([x] for x in _summed(term, count))
+        yield given()
+    trim()
 
 
 def _bitmap(terms: DataFrame) -> np.ndarray:
@@ -180,21 +223,27 @@ def _bitmap(terms: DataFrame) -> np.ndarray:
     return out
 
 
+def needed(n_class: F.Column, n: float) -> F.Column:
+    """Surroundings that a term would share with a class of ``n_class`` among ``n`` documents by chance ``CHANCE`` at most."""
+    return F.greatest(F.lit(SUPPORT).cast("long"), F.ceil(F.log(F.lit(CHANCE)) / F.log(n_class / F.lit(n))))
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the pairs that exceed the lower threshold."""
     own = found.filter("doc_id is not null")
-    near = own.select("doc_id", F.explode("near").alias("x")).select("doc_id", "x.entity", "x.term", "x.around")
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("around").alias("support"), F.count_distinct("doc_id").alias("both"))
+    near = own.select("doc_id", F.explode("near").alias("x")).select("doc_id", "x.entity", "x.wide", "x.term", "x.around")
+    pairs = near.groupBy("entity", "wide", "term").agg(F.count_distinct("around").alias("support"), F.count_distinct("doc_id").alias("both"))
     pairs = table(pairs.filter(F.col("support") >= SUPPORT), "pii-pairs")
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(pairs))
     ids = texts_of(docs).filter("doc_id is not null")
-    terms = arrow_map(ids, lambda part, texts: _term_counts(bits.value)(part, texts), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    terms = ids.mapInArrow(lambda batches: _term_counts(bits.value, batches), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     entities = near.groupBy("entity").agg(F.count_distinct("doc_id").alias("n_entity"))
     n = float(ids.select("doc_id").distinct().count())
     joint = pairs.join(terms, "term").join(entities, "entity")
     # n(c,t) can't exceed n(t); where rows repeat a doc_id the term count may, which lowers the disclosure.
+    joint = joint.filter(F.col("n_entity") < n).filter(~F.col("wide") | (F.col("support") >= needed(F.col("n_entity"), n)))
     share = F.log(F.lit(n) * F.col("both") / (F.col("n_entity") * F.greatest("n_term", "both"))) / F.log(F.lit(n) / F.col("n_entity"))
-    return joint.filter(F.col("n_entity") < n).select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE)
+    return joint.select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE)
 
 
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -59,6 +59,27 @@ def test_terms_that_disclose_an_entity(spark):
     assert clean[150] == text[150]
 
 
+def test_rare_values_are_judged_by_their_classes(spark):
+    """No value is seen twice, so none has support alone."""
+    rows = [(i, f"filler{i} write to Kowalska at desk{i}.anna{i}@k.org or more{i}") for i in range(6)]
+    rows += [(10 + i, f"place{i} machine of Hauptrechner is 10.1.7.{i} and rest{i}") for i in range(6)]
+    rows += [(20 + i, f"thing{i} paid by Zahlmeister with 411111{c} then{i}") for i, c in enumerate(("1111111111", "0000000021", "0000000039", "0000000047", "0000000005", "0000000013"))]
+    rows += [(30 + i, f"call{i} the Vorzimmer on +1 (386) 555-300{i} before{i}") for i in range(6)]
+    rows += [(100 + i, f"other{i} the write to at or machine of is and paid by with then call on before") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text, got = dict(rows), {r.doc_id: r.terms for r in pii.personal_data(df).collect()}
+    for begin, name in ((0, "Kowalska"), (10, "Hauptrechner"), (20, "Zahlmeister"), (30, "Vorzimmer")):
+        for i in range(begin, begin + 6):
+            if pii.base_spans(text[i]):
+                assert {text[i][t.start : t.stop] for t in got[i]} == {name}
+    assert all(got[i] is None for i in range(100, 500))
+
+
+def test_classes_of_a_value():
+    assert pii.classes("email", "Anna.Kowalska+x@K.org") == ["email:anna.kowalska+x@k.org", "name:annakowalska", "domain:k.org", "kind:email"]
+    assert pii.classes("ip", "10.1.7.3") == ["ip:10.1.7.3", "network:10.1.7", "kind:ip"]
+
+
 def test_copies_are_no_evidence(spark):
     rows = [(i, "mail of Kowalska anna@k.org") for i in range(9)] + [(100 + i, f"other {i}") for i in range(50)]
     assert pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).filter("terms is not null").count() == 0
