@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.vectors import cosine_distance
 from plumbline.session import cut
 
 #: Vectors of a block; a task holds two blocks and their products.
@@ -30,14 +30,8 @@ def _blocked(vectors: DataFrame, id_col: str, vec_col: str, block: int) -> tuple
     return rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
 
 
-def exact_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", block: int = BLOCK) -> DataFrame:
-    """(a, b, distance) with a < b of all pairs with cosine distance under ``near``.
-
-    Every two blocks of vectors meet in one task as a matrix product, which holds only what passes. The work
-    is that of all pairs: for corpora beyond a few million vectors use ``lsh_pairs``.
-    """
-    rows, n = _blocked(vectors, id_col, vec_col, block)
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda o: F.struct(F.least("b", o).alias("x"), F.greatest("b", o).alias("y"))))
+def _products(near: float):
+    """The pairs under ``near`` of the blocks x and y of vectors."""
 
     def products(t: pa.Table) -> pa.Table:
         x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
@@ -49,8 +43,19 @@ def exact_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col
         yes = p < q if x == y else np.ones(len(p), bool)
         return pa.table({"a": np.minimum(p, q)[yes], "b": np.maximum(p, q)[yes], "distance": d[yes]})
 
+    return products
+
+
+def exact_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """(a, b, distance) with a < b of all pairs with cosine distance under ``near``.
+
+    Every two blocks of vectors meet in one task as a matrix product, which holds only what passes. The work
+    is that of all pairs: for corpora beyond a few million vectors use ``lsh_pairs``.
+    """
+    rows, n = _blocked(vectors, id_col, vec_col, block)
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda o: F.struct(F.least("b", o).alias("x"), F.greatest("b", o).alias("y"))))
     met = rows.withColumn("p", pair).select("id", "v", "b", "p.x", "p.y")
-    return met.groupBy("x", "y").applyInArrow(products, "a long, b long, distance double")
+    return met.groupBy("x", "y").applyInArrow(_products(near), "a long, b long, distance double")
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int = 200, near: float | None = None, id_col: str = "vec_id", vec_col: str = "embedding", block: int = BLOCK) -> DataFrame:
@@ -87,14 +92,25 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 200, near: float | None
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def lsh_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", dims: int = 64, tables: int = 16, bits: int = 10, seed: int = 42) -> DataFrame:
+def lsh_tables(near: float, bits: int, recall: float) -> int:
+    """Tables of ``bits`` hyperplanes that a pair at distance ``near`` needs to meet in one of them with probability ``recall``."""
+    same = 1 - math.acos(min(1.0, max(-1.0, 1 - near))) / math.pi
+    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-(same**bits)))) if same < 1 else 1
+
+
+def lsh_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", dims: int = 64, tables: int | None = None, bits: int | None = None, seed: int = 42, recall: float = 0.95, block: int = BLOCK) -> DataFrame:
     """Pairs under ``near`` that share a bucket of random hyperplanes in some table, each verified.
 
-    Sign hashes are native expressions; candidates come from equal buckets, so cost follows the buckets, not all pairs.
-    Recall rises with ``tables`` and falls with ``bits``.
+    Candidates come from equal buckets, so cost follows the buckets, not all pairs. Where ``bits`` isn't given, a bucket
+    has about ``block`` vectors; where ``tables`` isn't, there are so many that ``recall`` of the pairs at ``near`` are
+    expected, and more of the nearer ones. Larger buckets are met in blocks.
     """
-    planes = np.random.default_rng(seed).standard_normal((tables, bits, dims))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).filter("id is not null and v is not null")
+    if bits is None:
+        bits = max(2, min(24, round(math.log2(max(1, rows.count()) / block))))
+    if tables is None:
+        tables = lsh_tables(near, bits, recall)
+    planes = np.random.default_rng(seed).standard_normal((tables, bits, dims))
 
     @F.arrow_udf("array<int>")
     def buckets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -104,10 +120,14 @@ def lsh_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col:
             signs = np.einsum("nd,tbd->ntb", x, planes[:, :, : x.shape[1]]) > 0
             yield pa.array((signs * weight).sum(axis=2).astype(np.int32).tolist(), pa.list_(pa.int32()))
 
-    keyed = rows.select("id", "v", F.posexplode(buckets("v")).alias("t", "h"))
-    other = keyed.select(F.col("id").alias("id2"), F.col("v").alias("v2"), "t", "h")
-    met = keyed.join(other, ["t", "h"]).filter("id < id2").withColumn("distance", cosine_distance(F.col("v"), F.col("v2")))
-    return met.filter(F.col("distance") < near).groupBy(F.col("id").alias("a"), F.col("id2").alias("b")).agg(F.min("distance").alias("distance"))
+    sizes = rows.select(F.posexplode(buckets("v")).alias("t", "h")).groupBy("t", "h").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1")
+    keyed = rows.select("id", "v", F.posexplode(buckets("v")).alias("t", "h")).join(sizes, ["t", "h"], "left")
+    n = F.coalesce("blocks", F.lit(1))
+    keyed = keyed.withColumn("n", n).withColumn("b", F.pmod(F.xxhash64("id"), n).cast("int"))
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.struct(F.least("b", o).alias("x"), F.greatest("b", o).alias("y"))))
+    met = keyed.withColumn("p", pair).select("t", "h", "id", "v", "b", "p.x", "p.y")
+    found = met.groupBy("t", "h", "x", "y").applyInArrow(_products(near), "a long, b long, distance double")
+    return found.groupBy("a", "b").agg(F.min("distance").alias("distance"))
 
 
 def fold(ids: DataFrame, pairs: DataFrame, id_col: str = "vec_id") -> DataFrame:

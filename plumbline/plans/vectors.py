@@ -69,7 +69,7 @@ def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def lsh_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbors.lsh_pairs(read(spark, sf_dir, "embeddings"), NEAR, bits=6, tables=24)
+    return neighbors.lsh_pairs(read(spark, sf_dir, "embeddings"), NEAR)
 
 
 @query()

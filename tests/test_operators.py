@@ -98,6 +98,24 @@ def test_neighbours_in_blocks(spark):
     assert found <= want and len(found) >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize("block", [neighbors.BLOCK, 60])
+def test_registered_neighbours_are_nearly_all(spark, block, monkeypatch):
+    """The registered query against the exact pairs; smaller blocks make more bits and tables, as larger tables do."""
+    from plumbline.plans import vectors
+
+    monkeypatch.setattr(neighbors.lsh_pairs, "__defaults__", (*neighbors.lsh_pairs.__defaults__[:-1], block))
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    want = {(r.a, r.b) for r in neighbors.exact_pairs(df, vectors.NEAR).collect()}
+    found = [(r.a, r.b) for r in vectors.lsh_neighbours(spark, "/root/testdata/sf0.1").collect()]
+    assert len(found) == len(set(found)) and set(found) <= want and len(found) >= 0.95 * len(want)
+
+
+def test_tables_by_distance():
+    for near, bits in ((0.6, 4), (0.6, 6), (0.2, 10)):
+        same, n = 1 - np.arccos(1 - near) / np.pi, neighbors.lsh_tables(near, bits, 0.95)
+        assert 1 - (1 - same**bits) ** n >= 0.95 > 1 - (1 - same**bits) ** (n - 1)
+
+
 def test_truncated_vectors_have_length_one(spark):
     df = spark.createDataFrame([([float(i + 1) for i in range(1024)],), ([0.0] * 300,)], "v array<float>")
     a, b = (np.array(r.t) for r in df.select(V.truncate(F.col("v")).alias("t")).collect())
