@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.vectors import truncate
 
-#: A bucket above this many vectors is split again by k-means before its density is looked at.
-MOST_IN_BUCKET = 4000
+#: Distances that a task holds at once: those of so many vectors to so many.
+BLOCK = 4000
 
 
 def default_k(n: int) -> int:
@@ -36,17 +36,25 @@ def coarse(vectors: DataFrame, k: int | None = None, dims: int = 256, seed: int
 def _density(x: np.ndarray, least: int) -> np.ndarray:
     """Labels by mutual reachability: a spanning tree cut into a hierarchy, of which the stablest clusters stay; -1 is noise.
 
-    Where no split is stable the whole is one cluster, so that an even bucket isn't lost as noise.
+    Where no split is stable the whole is one cluster, so that an even bucket isn't lost as noise. Distances are made
+    as they are needed, so memory follows the number of vectors, and only time its square.
     """
     n = len(x)
-    d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2 * x @ x.T, 0))
-    core = np.sort(d, axis=1)[:, min(least, n - 1)]
+    x = np.asarray(x, np.float64)
+    norm = (x * x).sum(1)
+
+    def away(rows: slice) -> np.ndarray:
+        return np.sqrt(np.maximum(norm[rows, None] + norm[None, :] - 2 * x[rows] @ x.T, 0))
+
+    step = max(1, BLOCK * BLOCK // n)
+    place = min(least, n - 1)
+    core = np.concatenate([np.partition(away(slice(i, i + step)), place, axis=1)[:, place] for i in range(0, n, step)])
     # Spanning tree, by Prim.
     inside, near, link = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
     at, edges = 0, []
     for _ in range(n - 1):
         inside[at] = True
-        reach = np.maximum(np.maximum(d[at], core[at]), core)
+        reach = np.maximum(np.maximum(away(slice(at, at + 1))[0], core[at]), core)
         closer = ~inside & (reach < near)
         near[closer], link[closer] = reach[closer], at
         at = int(np.argmin(np.where(inside, np.inf, near)))
@@ -129,20 +137,18 @@ def _density(x: np.ndarray, least: int) -> np.ndarray:
 def fine(bucketed: DataFrame, least: int = 5) -> DataFrame:
     """(id, bucket, local): density clusters inside each bucket; a small bucket is one cluster, noise is -1.
 
-    A bucket's distances are held in one task, so buckets above ``MOST_IN_BUCKET`` are dealt by a hash into parts of
-    that size first; choose k so that they are the exception.
+    A bucket is solved as a whole in one task, however large; its time is the square of its vectors, so choose k
+    so that buckets stay small (``default_k`` does).
     """
-    sizes = bucketed.groupBy("bucket").agg(F.count("*").alias("n"))
-    parts = bucketed.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / MOST_IN_BUCKET)).cast("int"))
 
     def solve(t: pa.Table) -> pa.Table:
         order = np.argsort(t.column("id").to_numpy())
-        x = np.stack(t.column("v").to_pylist())[order]
+        x = t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(order), -1)[order]
         ids = t.column("id").to_numpy()[order]
         local = np.zeros(len(ids), int) if len(ids) < max(2 * least, 6) else _density(x, least)
-        return pa.table({"id": ids, "bucket": pa.array(t.column("bucket").to_numpy()[order].astype(np.int32)), "part": pa.array(t.column("part").to_numpy()[order].astype(np.int32)), "local": pa.array(local.astype(np.int32))})
+        return pa.table({"id": ids, "bucket": pa.array(t.column("bucket").to_numpy()[order].astype(np.int32)), "local": pa.array(local.astype(np.int32))})
 
-    return parts.select("id", "v", "bucket", "part").groupBy("bucket", "part").applyInArrow(solve, "id long, bucket int, part int, local int")
+    return bucketed.select("id", "v", "bucket").groupBy("bucket").applyInArrow(solve, "id long, bucket int, local int")
 
 
 def relabel(found: DataFrame) -> DataFrame:
@@ -150,11 +156,10 @@ def relabel(found: DataFrame) -> DataFrame:
 
     The window runs over clusters, not rows.
     """
-    part = F.col("part") if "part" in found.columns else F.lit(0)
-    rows = found.filter("local >= 0").withColumn("part", part)
-    names = rows.groupBy("bucket", "part", "local").agg(F.min("id").alias("first"))
+    rows = found.filter("local >= 0")
+    names = rows.groupBy("bucket", "local").agg(F.min("id").alias("first"))
     names = names.withColumn("cluster_id", (F.row_number().over(Window.orderBy("bucket", "first")) - 1).cast("bigint"))
-    return rows.join(names, ["bucket", "part", "local"]).select("id", "cluster_id")
+    return rows.join(names, ["bucket", "local"]).select("id", "cluster_id")
 
 
 def reassign(signals: DataFrame, assigned: DataFrame, scope=None) -> DataFrame:

@@ -63,7 +63,7 @@ def kmeans_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = cluster.fine(cluster.coarse(read(spark, sf_dir, "embeddings"), k=4, dims=32))
+    found = cluster.fine(cluster.coarse(read(spark, sf_dir, "embeddings"), dims=32))
     return cluster.relabel(found)
 
 

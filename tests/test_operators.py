@@ -133,6 +133,29 @@ def test_two_blobs_come_apart(spark):
     assert {int(x) for x in cluster._density(blobs, 5)} - {-1} == {0, 1}
 
 
+def test_large_bucket_is_clustered_as_a_whole(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    blobs = np.vstack([rng.normal(0, 0.01, (n, 4)) + np.eye(4)[i] for i, n in enumerate((2200, 2200, 8))])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(blobs)], "id long, v array<double>, bucket int")
+    label = dict(map(tuple, cluster.relabel(cluster.fine(df)).collect()))
+    parts = [{label.get(i) for i in range(*r)} - {None} for r in ((0, 2200), (2200, 4400), (4400, 4408))]
+    assert [len(p) for p in parts] == [1, 1, 1] and len(set.union(*parts)) == 3
+    few = rng.normal(0, 1, (300, 4))
+    want = cluster._density(few, 5)
+    monkeypatch.setattr(cluster, "BLOCK", 20)
+    assert (cluster._density(few, 5) == want).all()
+
+
+def test_buckets_of_the_registered_query_follow_the_rows(spark, monkeypatch):
+    from plumbline.plans import vectors
+
+    seen = []
+    whole = cluster.fine
+    monkeypatch.setattr(cluster, "fine", lambda b: whole(seen.append(b) or b))
+    assert vectors.density_clusters(spark, "/root/testdata/sf0.001").count() > 0
+    assert seen[0].select("bucket").distinct().count() > 4
+
+
 def test_rollups(spark):
     m = spark.createDataFrame([(1, 10, "a", 2, 5, "2023-02-01"), (1, 11, "b", 1, None, "2023-05-01"), (1, 12, "a", 1, 10, "2024-06-01"), (2, 20, "a", 1, 0, None)], "cluster_id long, id long, source string, dup_count long, score long, at string").withColumn("created_at_src", F.to_timestamp("at")).withColumn("is_duplicate", F.lit(False))
     got = {r.cluster_id: r for r in rollup.materialise(m, "2024-12-01").collect()}
