@@ -2,18 +2,20 @@
 
 Base patterns find the protected entities: e-mail, IP, card and phone values. Corpus
 co-occurrence then tells which terms reveal them. A term is a run of letters, digits and
-characters beyond ASCII; it meets an entity when it stands within ``REACH`` terms of it. Over
-all documents, with c an entity and t a term,
+characters beyond ASCII; it meets an entity when it stands in the same document, outside all
+base spans. Over all documents, with c an entity and t a term,
 
     disclosure(c, t) = PMI(c, t) / IC(c) = log(N n(c,t) / (n(c) n(t))) / log(N / n(c))
 
-which is 1 when t only ever occurs by c. A pair counts when it was seen in ``SUPPORT``
-different surroundings or more, so copies of one passage are no evidence. Most values are
+which is 1 when t only ever occurs with c. A pair counts when the term was seen with it in
+``SUPPORT`` different surroundings or more (its ``REACH`` terms on either side, where it stands
+first in a document), so copies of one passage are no evidence. Most values are
 too rare for that, so c is also each class that a value belongs to: the name and the domain
 of an e-mail, the network of an IP, the issuer of a card, the prefix of a phone, and the
 kind itself. Classes are common, so there a pair needs so many surroundings that chance
 gives them with probability ``CHANCE`` at most. The highest disclosure counts. From
-``GENERALISE`` on the term is replaced by its kind, from ``REMOVE`` on it is removed.
+``GENERALISE`` on the term is replaced by its kind, from ``REMOVE`` on it is removed, wherever it
+stands in the documents that hold its entity.
 
 Null and empty texts have no spans. Statistics are over documents (rows by doc_id); rows with
 a null doc_id are searched for base spans but give no statistics and no terms. Of rows that
@@ -28,11 +30,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.shared import arrow_map, slices, spare, table, texts_of, trim
-from plumbline.llm.words import Words, mix, span_hashes
+from plumbline.llm.words import Words, covered, grams, span_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 REACH, SUPPORT, GENERALISE, REMOVE, LEAST = 10, 3, 0.7, 0.9, 3
@@ -112,31 +115,6 @@ def classes(kind: str, value: str) -> list[str]:
     return [plain, *wide, f"kind:{kind}"]
 
 
-def _terms_near(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, bool, str, int, int, str]]:
-    """(entity or class, is it a class, term, start, end, surroundings) of the terms within ``REACH`` of a base span, outside all spans."""
-    out = []
-    taken = sorted((a, b) for _, a, b in spans)
-    for kind, a, b in spans:
-        before: list[tuple[str, int, int]] = []
-        size = 64 * REACH
-        while True:  # look back far enough for REACH whole terms
-            low = max(0, a - size)
-            before = [(m.group(), *m.span()) for m in _TERM.finditer(text, low, a)]
-            if low == 0 or len(before) > REACH:
-                break
-            size *= 4
-        after = []
-        for m in _TERM.finditer(text, b):
-            after.append((m.group(), *m.span()))
-            if len(after) == REACH:
-                break
-        near = [x for x in (*before[-REACH:], *after) if not any(x[1] < q and p < x[2] for p, q in taken)]
-        around = " ".join(x[0] for x in near)
-        for i, entity in enumerate(classes(kind, text[a:b])):
-            out += [(entity, i > 0, t.lower() if t.isascii() else t.encode().lower().decode(), p, q, around) for t, p, q in near if len(t.encode()) >= LEAST]
-    return out
-
-
 def _hash(items: list[str]) -> np.ndarray:
     """The hash that ``span_hashes`` gives to each item's bytes."""
     data = [x.encode() for x in items]
@@ -146,30 +124,78 @@ def _hash(items: list[str]) -> np.ndarray:
 
 
 _SPAN = "array<struct<kind:string,start:int,stop:int>>"
-_NEAR = "array<struct<entity:long,wide:boolean,term:long,start:int,stop:int,around:long>>"
+_OF = "array<struct<entity:long,wide:boolean>>"
 
 
 def _find(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-    found, near = [], []
+    found, held, kept = [], [], []
     for raw in texts:
         text = raw.decode()
         spans = base_spans(text)
         found.append([{"kind": k, "start": a, "stop": b} for k, a, b in spans])
-        near.append(_terms_near(text, spans))
-    flat = [x for row in near for x in row]
-    entity, term, around = (_hash([x[i] for x in flat]) for i in (0, 2, 5))
-    rows, at = [], 0
-    for row in near:
-        rows.append([{"entity": entity[at + i], "wide": x[1], "term": term[at + i], "start": x[3], "stop": x[4], "around": around[at + i]} for i, x in enumerate(row)])
-        at += len(row)
+        kept.append(text if spans else None)
+        held.append(list(dict.fromkeys((c, i > 0) for k, a, b in spans for i, c in enumerate(classes(k, text[a:b])))))
+    entity = iter(_hash([c for row in held for c, _ in row]).tolist())
+    rows = [[{"entity": next(entity), "wide": wide} for _, wide in row] for row in held]
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
-    close = pa.list_(pa.struct([("entity", pa.int64()), ("wide", pa.bool_()), ("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("around", pa.int64())]))
-    return pa.RecordBatch.from_arrays([part.column(0), pa.array(found, span), pa.array(rows, close)], names=["doc_id", "base", "near"])
+    of = pa.list_(pa.struct([("entity", pa.int64()), ("wide", pa.bool_())]))
+    return pa.RecordBatch.from_arrays([part.column(0), pa.array(found, span), pa.array(rows, of), pa.array(kept, pa.string())], names=["doc_id", "base", "of", "text"])
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """Per row: its base spans and the terms near them."""
-    return arrow_map(texts_of(docs), _find, f"doc_id long, base {_SPAN}, near {_NEAR}")
+    """Per row: its base spans, the entities that they are or belong to, and the text where there are any."""
+    return arrow_map(texts_of(docs), _find, f"doc_id long, base {_SPAN}, of {_OF}, text string")
+
+
+class _Outside:
+    """Terms of texts outside their base spans: ``at`` are their places among all ``words``."""
+
+    def __init__(self, part: pa.RecordBatch, texts: list[bytes]):
+        self.words = w = Words([t.lower() for t in texts], _BETWEEN)
+        begins = (w.buf[: len(w.data)] & 0xC0) != 0x80
+        point = np.concatenate(([0], np.cumsum(begins)))  # code points before each byte
+        base = part.column(part.schema.get_field_index("base"))
+        spans = base.flatten()
+        which = np.repeat(np.arange(len(texts)), pc.list_value_length(base).to_numpy(zero_copy_only=False))
+        first = point[w.begin[:-1]]
+        low, high = (spans.field(f).to_numpy() + first[which] for f in ("start", "stop"))
+        inside = np.concatenate(([0], np.cumsum(covered(int(point[-1]), low, high - low))))
+        start, stop = point[w.start], point[w.end]
+        self.at = np.flatnonzero((w.end - w.start >= LEAST) & (inside[stop] == inside[start]))
+        self.hash = w.hashes()
+        self.start, self.stop = start - first[w.doc], stop - first[w.doc]
+
+
+def _terms(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
+    """Each term of a text once, with its surroundings where it stands first."""
+    o = _Outside(part, texts)
+    w, at = o.words, o.at
+    if not len(at):
+        return None
+    # REACH places without a word part the texts, so that no window sees another text.
+    place = np.arange(len(w.start)) + REACH * (w.doc + 1)
+    row = np.zeros(len(w.start) + REACH * (len(texts) + 1), np.uint64)
+    row[place] = o.hash
+    around = grams(row, 2 * REACH + 1)[place[at] - REACH]
+    order = np.lexsort((at, o.hash[at], w.doc[at]))
+    h, d = o.hash[at][order], w.doc[at][order]
+    once = order[np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))]
+    ids = part.column(0).take(pa.array(w.doc[at[once]]))
+    return pa.RecordBatch.from_arrays([ids, pa.array(o.hash[at[once]].view(np.int64)), pa.array(around[once].view(np.int64))], names=["doc_id", "term", "around"])
+
+
+def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    low = h & np.uint64((1 << _BITS) - 1)
+    return ((bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1) > 0
+
+
+def _places(bits: np.ndarray, part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+    """Every place of the terms whose bit is set."""
+    o = _Outside(part, texts)
+    at = o.at[_has(bits, o.hash[o.at])]
+    ids = part.column(0).take(pa.array(o.words.doc[at]))
+    return pa.RecordBatch.from_arrays([ids, pa.array(o.hash[at].view(np.int64)), pa.array(o.start[at].astype(np.int32)), pa.array(o.stop[at].astype(np.int32))], names=["doc_id", "term", "start", "stop"])
 
 
 def _summed(term: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -189,8 +215,7 @@ def _term_counts(bits: np.ndarray, batches: Iterable[pa.RecordBatch]) -> Iterato
     for _, texts in slices(batches):
         w = Words([t.lower() for t in texts], _BETWEEN)
         h = w.hashes()
-        low = h & np.uint64((1 << _BITS) - 1)
-        at = np.flatnonzero((bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1)
+        at = np.flatnonzero(_has(bits, h))
         if not len(at):
             continue
         h, d = h[at], w.doc[at]
@@ -228,29 +253,50 @@ def needed(n_class: F.Column, n: float) -> F.Column:
     return F.greatest(F.lit(SUPPORT).cast("long"), F.ceil(F.log(F.lit(CHANCE)) / F.log(n_class / F.lit(n))))
 
 
+def _holders(found: DataFrame) -> DataFrame:
+    """The rows that can give evidence: those with an id and a base span."""
+    return found.filter("doc_id is not null and text is not null")
+
+
+def _members(found: DataFrame) -> DataFrame:
+    """(doc_id, entity, wide), each once."""
+    return _holders(found).select("doc_id", F.explode("of").alias("x")).select("doc_id", "x.entity", "x.wide").distinct()
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs that exceed the lower threshold."""
-    own = found.filter("doc_id is not null")
-    near = own.select("doc_id", F.explode("near").alias("x")).select("doc_id", "x.entity", "x.wide", "x.term", "x.around")
-    pairs = near.groupBy("entity", "wide", "term").agg(F.count_distinct("around").alias("support"), F.count_distinct("doc_id").alias("both"))
-    pairs = table(pairs.filter(F.col("support") >= SUPPORT), "pii-pairs")
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(pairs))
+    """(entity, term, disclosure) of the pairs that exceed the lower threshold.
+
+    Pairs are made only of terms and entities that can still pass: n(c,t) is at most n(c), and at most the number of
+    documents that have t and any entity; either bounds n(t).
+    """
     ids = texts_of(docs).filter("doc_id is not null")
-    terms = ids.mapInArrow(lambda batches: _term_counts(bits.value, batches), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    entities = near.groupBy("entity").agg(F.count_distinct("doc_id").alias("n_entity"))
     n = float(ids.select("doc_id").distinct().count())
-    joint = pairs.join(terms, "term").join(entities, "entity")
-    # n(c,t) can't exceed n(t); where rows repeat a doc_id the term count may, which lowers the disclosure.
-    joint = joint.filter(F.col("n_entity") < n).filter(~F.col("wide") | (F.col("support") >= needed(F.col("n_entity"), n)))
+    members = _members(found)
+    sizes = members.groupBy("entity").agg(F.count("*").alias("n_entity")).filter((F.col("n_entity") >= SUPPORT) & (F.col("n_entity") < n))
+    least = F.pow(F.col("n_entity") / F.lit(n), F.lit(1 - GENERALISE))  # of the documents of a term, the share that must hold the entity
+    sizes = table(sizes.withColumn("least", least * (1 - 1e-9)).withColumn("most", F.col("n_entity") / F.col("least")), "pii-entities")
+    bound = sizes.agg(F.min("least"), F.max("most")).first()
+    least, most = bound[0] or 1.0, bound[1] or 0.0
+    words = table(arrow_map(_holders(found).select("doc_id", "base", "text"), _terms, "doc_id long, term long, around long"), "pii-words")
+    often = words.groupBy("term").agg(F.count_distinct("around").alias("n"), F.count("*").alias("held")).filter(F.col("n") >= SUPPORT)
+    often = table(often.select("term", "held"), "pii-terms-held")
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(often))
+    counts = ids.mapInArrow(lambda batches: _term_counts(bits.value, batches), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    # Where rows repeat a doc_id the count of a term may exceed its documents, which lowers the disclosure.
+    rare = often.join(counts, "term").filter(F.col("n_term").between(SUPPORT, most) & (F.col("held") >= F.col("n_term") * least))
+    near = words.join(rare, "term").join(members.join(sizes, "entity"), "doc_id").filter("n_term <= most and held >= n_term * least")
+    joint = near.groupBy("entity", "wide", "term", "n_entity", "n_term").agg(F.count_distinct("around").alias("support"), F.count_distinct("doc_id").alias("both"))
+    joint = joint.filter((F.col("support") >= SUPPORT) & (~F.col("wide") | (F.col("support") >= needed(F.col("n_entity"), n))))
     share = F.log(F.lit(n) * F.col("both") / (F.col("n_entity") * F.greatest("n_term", "both"))) / F.log(F.lit(n) / F.col("n_entity"))
     return joint.select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE)
 
 
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, terms): the spans of disclosing terms, each with its disclosure, by start."""
-    flagged = disclosing_terms(docs, found)
-    near = found.filter("doc_id is not null").select("doc_id", F.explode("near").alias("x")).select("doc_id", "x.*")
-    hit = near.join(flagged, ["entity", "term"]).groupBy("doc_id", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
+    """(doc_id, terms): every place of a disclosing term in the documents of its entity, with its disclosure, by start."""
+    flagged = table(disclosing_terms(docs, found), "pii-flagged")
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(flagged))
+    places = arrow_map(_holders(found).select("doc_id", "base", "text"), lambda part, texts: _places(bits.value, part, texts), "doc_id long, term long, start int, stop int")
+    hit = places.join(_members(found), "doc_id").join(flagged, ["entity", "term"]).groupBy("doc_id", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
     return hit.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "disclosure"))).alias("terms"))
 
 

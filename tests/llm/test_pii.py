@@ -75,6 +75,30 @@ def test_rare_values_are_judged_by_their_classes(spark):
     assert all(got[i] is None for i in range(100, 500))
 
 
+def test_terms_anywhere_in_the_documents_of_an_entity(spark):
+    """Far from the address, again after it, and once more in another document of the entity; not where it isn't held."""
+    far = " ".join(["the mail of and more"] * 8)
+    rows = [(i, f"é filler{i} Kowalska in{i} {far} anna@k.org {far} kowalska again{i} Kowalska") for i in range(6)]
+    rows += [(100 + i, f"other{i} {far}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text, got = dict(rows), {r.doc_id: r.terms for r in pii.personal_data(df).collect()}
+    for i in range(6):
+        assert [(t.start, text[i][t.start : t.stop]) for t in got[i]] == [(m.start(), m.group()) for m in re.finditer("(?i)kowalska", text[i])]
+    assert all(got[i] is None for i in range(100, 300))
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert "owalska" not in "".join(clean.values()) and clean[3].startswith("é filler3  in3 the mail")
+
+
+def test_surroundings_stay_in_their_text():
+    import pyarrow as pa
+
+    texts = [b"one two anna@k.org", b"three one two anna@k.org", b"one two anna@k.org"]
+    base = pa.array([[{"kind": k, "start": a, "stop": b} for k, a, b in pii.base_spans(t.decode())] for t in texts])
+    got = pii._terms(pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), base], names=["doc_id", "base"]), texts).to_pylist()
+    around = {d: {r["around"] for r in got if r["doc_id"] == d} for d in (1, 2, 3)}
+    assert around[1] == around[3] and not around[1] & around[2] and [len(around[d]) for d in (1, 2)] == [2, 3]
+
+
 def test_classes_of_a_value():
     assert pii.classes("email", "Anna.Kowalska+x@K.org") == ["email:anna.kowalska+x@k.org", "name:annakowalska", "domain:k.org", "kind:email"]
     assert pii.classes("ip", "10.1.7.3") == ["ip:10.1.7.3", "network:10.1.7", "kind:ip"]
