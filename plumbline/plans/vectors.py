@@ -77,4 +77,4 @@ def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings by the offline hashing embedder."""
     from plumbline.sources.embedder import embed
 
-    return embed(read(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"), dims=256).select("doc_id", F.size("embedding").alias("dims"))
+    return embed(read(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"), dims=256, most_chars=None).select("doc_id", F.size("embedding").alias("dims"), "embedding")

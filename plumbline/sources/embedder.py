@@ -24,8 +24,8 @@ def hashing(texts: Sequence[str], dims: int) -> np.ndarray:
     return out / np.where(length > 0, length, 1)
 
 
-def embed(rows: DataFrame, text: Column, dims: int = 1024, embedder: Embedder = hashing, most_chars: int = 8000) -> DataFrame:
-    """Rows with ``embedding``; a vector of another size than ``dims`` is an error."""
+def embed(rows: DataFrame, text: Column, dims: int = 1024, embedder: Embedder = hashing, most_chars: int | None = 8000) -> DataFrame:
+    """Rows with ``embedding``; a vector of another size than ``dims`` is an error. ``most_chars`` None embeds whole texts."""
 
     @F.arrow_udf("array<float>")
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -35,7 +35,8 @@ def embed(rows: DataFrame, text: Column, dims: int = 1024, embedder: Embedder =
                 raise ValueError(f"embedding has {got.shape[1]} dimensions, not {dims}")
             yield pa.array(list(got.astype(np.float32)), pa.list_(pa.float32()))
 
-    return rows.withColumn("embedding", vectors(F.substring(F.coalesce(text, F.lit("")), 1, most_chars)))
+    whole = F.coalesce(text, F.lit(""))
+    return rows.withColumn("embedding", vectors(whole if most_chars is None else F.substring(whole, 1, most_chars)))
 
 
 def priority_page(signals: DataFrame, n: int, most_attempts: int = 3) -> DataFrame:

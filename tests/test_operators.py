@@ -116,6 +116,16 @@ def test_tables_by_distance():
         assert 1 - (1 - same**bits) ** n >= 0.95 > 1 - (1 - same**bits) ** (n - 1)
 
 
+def test_registered_embedding_is_that_of_whole_texts(spark, tmp_path):
+    from plumbline.plans import vectors
+    from plumbline.sources.embedder import hashing
+
+    texts = ["a b c", None, "word " * 3000 + "tail end"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.embedding for r in vectors.embed_text(spark, str(tmp_path)).collect()}
+    assert all(np.allclose(got[i], hashing([t or ""], 256)[0], atol=1e-6) for i, t in enumerate(texts))
+
+
 def test_truncated_vectors_have_length_one(spark):
     df = spark.createDataFrame([([float(i + 1) for i in range(1024)],), ([0.0] * 300,)], "v array<float>")
     a, b = (np.array(r.t) for r in df.select(V.truncate(F.col("v")).alias("t")).collect())
