@@ -1,15 +1,22 @@
 """Main text of HTML pages by tag-path ratios (operator 1).
 
-Each block of text has a root-to-leaf tag path. Text length and punctuation are summed per
-path and divided by the path's blocks; both ratios are smoothed along the page, fused by
-their product, and thresholded. The blocks selected vote for the container that holds the
-article; its blocks are the text, so that headings and short paragraphs stay with the long
-ones around them. Page furniture known by its tag, role or class (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) takes no part.
+Each block of text has a root-to-leaf tag path. Text length (without links) and punctuation
+are summed per path and divided by the path's blocks; both ratios are smoothed along the
+page, fused by their product, and weighed by a prior: names, roles and tags of page
+furniture (menus, headers, footers, sidebars, notices, adverts, forms, reader comments)
+lower it, ``article`` and ``main`` raise it. Paths over the threshold are content. Their
+blocks vote for the container that holds the article; its blocks are the text, so that
+headings and short paragraphs stay with the long ones around them. Inside it, blocks with a
+low prior and runs of links stay only where the ratios chose them. Scripts, styles, form
+controls and hidden elements have no text.
+
+As priors are relative, a page that stands in a form or a sidebar as a whole is judged as if
+it didn't.
 
 Null and empty pages, and pages without text, give an empty text. Markup may be broken: tags
-may be left open, closed twice or cut off. Each row is judged alone, so repeated rows give
-equal results; an empty table gives no rows; other columns are not read.
+may be left open, closed twice or cut off; of an element without text that is never closed,
+scripts, styles and comments apart, only the tag is dropped. Each row is judged alone, so
+repeated rows give equal results; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,23 +40,29 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title iframe svg math object select option button canvas audio video".split())
+_NEVER = frozenset(("script", "style"))  # without an end they go on to the end of the page
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _BOX = frozenset("html body article main section div td th table aside header footer nav center dd li blockquote".split())
 _ALONE = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+_HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _OUT_TAG = frozenset("nav footer aside form dialog menu head".split())
 _OUT_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _OUT_NAME = re.compile(
-    r"ads?|advert\w*|adsense|adbox|sponsor\w*|promo\w*|banner|sidebar\w*|side|aside|menus?|nav|navbar|navigation|topnav|breadcrumbs?|footer|foot|header|masthead|topbar"
-    r"|comments?|commentlist|commentary|replies|reply|respond|disqus|discussion|cookies?|consent|gdpr|notices?|alerts?|warning|newsletter|subscribe|subscription|signup|popup|modal|overlay"
-    r"|share|sharing|social|related|recommended|recommendations|widgets?|pagination|pager|paging|toolbar|login|search|searchbox|form|skip|copyright|legal|disclaimer|hidden|tags|taglist|readmore"
+    r"ads?|advert\w*|adsense|adbox|sponsor\w*|promo\w*|sidebar\w*|menus?|nav|navbar|navigation|topnav|breadcrumbs?|footer|masthead|topbar"
+    r"|comments?|commentlist|replies|reply|respond|disqus|cookies?|consent|gdpr|newsletter|subscribe|subscription|signup|popup|modal|overlay"
+    r"|share|sharing|social|related|recommended|recommendations|widgets?|pagination|pager|paging|toolbar|login|searchbox|taglist|readmore"
 )
+#: Names that parts of an article may have as well: there they count for less.
+_MAYBE_NAME = re.compile(r"banner|side|aside|foot|header|commentary|discussion|notices?|alerts?|warning|search|form|skip|copyright|legal|disclaimer|hidden|tags")
 _SPLIT_NAME = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _POINT = re.compile(r"[.,;:!?…、。¿¡]")
-#: A block's fused ratio must reach this share of the mean over the page's characters.
+#: A block's score must reach this share of the page's mean score, over characters.
 THRESHOLD = 0.35
 #: The article is the innermost container with this share of the selected text.
 SHARE = 0.7
+#: Priors: page furniture, its like inside an article, and article or main.
+FURNITURE, DOUBTFUL, ARTICLE = 0.05, 0.4, 2.0
 
 
 @dataclass(slots=True)
@@ -57,6 +70,7 @@ class _Open:
     tag: str
     out: bool
     inner: bool  # in an article or main part
+    prior: float
     link: bool
     path: int
     box: int
@@ -64,43 +78,47 @@ class _Open:
 
 @dataclass(slots=True)
 class Block:
-    """A block of text outside the page furniture."""
+    """A block of text."""
 
     text: str
     path: int
     box: int
     linked: int
+    prior: float
+    heads: bool
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)} if raw.strip(" /") else {}
 
 
-def _furniture(tag: str, attrs: dict[str, str], inner: bool) -> bool:
-    if tag in _OUT_TAG or (tag == "header" and not inner):
-        return True
-    if not attrs:
-        return False
-    if attrs.get("role", "").lower() in _OUT_ROLE or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
-        return True
-    if tag in ("html", "body", "main"):
-        return False
-    names = [x.lower() for x in _SPLIT_NAME.split(f"{attrs.get('class', '')} {attrs.get('id', '')}") if x]
-    found = {x for x in names if _OUT_NAME.fullmatch(x)}
-    return bool(found - {"header", "form", "tags", "side"} if inner else found)
+def _hidden(attrs: dict[str, str]) -> bool:
+    return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")))
 
 
-def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
-    """(blocks of text in page order, tag and parent of each container by number).
+def _prior(tag: str, attrs: dict[str, str], inner: bool) -> float:
+    """How likely the element is to hold the article, from its tag, role and names alone."""
+    if tag in _OUT_TAG or (tag == "header" and not inner) or attrs.get("role", "").lower() in _OUT_ROLE:
+        return FURNITURE
+    if attrs and tag not in ("html", "body", "main"):
+        names = [x.lower() for x in _SPLIT_NAME.split(f"{attrs.get('class', '')} {attrs.get('id', '')}") if x]
+        if any(map(_OUT_NAME.fullmatch, names)):
+            return FURNITURE
+        if any(map(_MAYBE_NAME.fullmatch, names)):
+            return DOUBTFUL if inner else FURNITURE
+    return ARTICLE if tag in ("article", "main") and not inner else 1.0
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int, float]]]:
+    """(blocks of text in page order, tag, parent and prior of each container by number).
 
     A path is a number, too: that of its parent path and last name, inline tags left out.
     """
-    stack = [_Open("#root", False, False, False, 0, -1)]
+    stack = [_Open("#root", False, False, 1.0, False, 0, -1)]
+    unclosed: set[str] = set()
     paths: dict[tuple[int, str], int] = {}
     open_tags: Counter[str] = Counter()
-    boxes: list[tuple[str, int]] = []
+    boxes: list[tuple[str, int, float]] = []
     out: list[Block] = []
     held: list[str] = []
     linked, where = 0, None
@@ -109,7 +127,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
         nonlocal linked, where
         text = " ".join("".join(held).split())
         if text and where is not None:
-            out.append(Block(text, where.path, where.box, linked))
+            out.append(Block(text, where.path, where.box, linked, where.prior, where.tag in _HEADS))
         held.clear()
         linked, where = 0, None
 
@@ -160,9 +178,16 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
                     break
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if not m[0].endswith("/>"):
-                at = end.end() if end else at if tag in ("option", "button", "select", "object") else n
+            if m[0].endswith("/>") and tag not in _NEVER:
+                continue
+            edge = None if tag in unclosed else (re.compile(rf"</{tag}\s*>", re.I) if tag in _NEVER else re.compile(rf"<(/?){tag}(?![\w-])[^<>]*>?", re.I)).search(page, at)
+            if edge is None:
+                unclosed.add(tag)
+                at = n if tag in _NEVER else at
+            elif tag in _NEVER or edge[1]:
+                at = edge.end()
+            elif tag in ("option", "title"):  # not closed: its text ends at the next tag
+                at = edge.start()
             continue
         if tag in _VOID:
             if tag == "br":
@@ -184,32 +209,32 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int]]]:
         if m[0].endswith("/>") and tag in _INLINE:
             continue
         inner = top.inner or tag in ("article", "main")
-        gone = top.out or _furniture(tag, attrs, top.inner)
+        gone = top.out or _hidden(attrs)
+        prior = max(top.prior * _prior(tag, attrs, top.inner), 1e-9)
         name = tag + "".join("." + c for c in attrs.get("class", "").split()[:2]) if tag in _BOX else tag
         path, box = top.path, top.box
         if tag not in _INLINE:
             path = paths.setdefault((path, name), len(paths) + 1)
         if tag in _BOX:
-            boxes.append((tag, box))
+            boxes.append((tag, box, prior))
             box = len(boxes) - 1
-        stack.append(_Open(tag, gone, inner, top.link or tag == "a", path, box))
+        stack.append(_Open(tag, gone, inner, prior, top.link or tag == "a", path, box))
         open_tags[tag] += 1
     flush()
     return out, boxes
 
 
 def _smooth(x: list[float]) -> list[float]:
-    """Weighted mean of each value and its two neighbours on either side."""
-    w = (1, 4, 6, 4, 1)
+    """Weighted mean of each value and its neighbours."""
     out = []
-    for i in range(len(x)):
-        near = [(w[j - i + 2], x[j]) for j in range(max(0, i - 2), min(len(x), i + 3))]
-        out.append(sum(a * b for a, b in near) / sum(a for a, _ in near))
+    for i, mid in enumerate(x):
+        low, high = x[max(i - 1, 0)], x[min(i + 1, len(x) - 1)]
+        out.append((low + 2 * mid + high) / 4)
     return out
 
 
-def select(blocks: list[Block]) -> list[bool]:
-    """Which blocks the tag-path ratios take for content."""
+def select(blocks: list[Block]) -> tuple[list[bool], list[bool]]:
+    """Which blocks the tag-path ratios take for content: with the ratios smoothed, and by their own path alone."""
     length: Counter[int] = Counter()
     points: Counter[int] = Counter()
     count: Counter[int] = Counter()
@@ -218,42 +243,68 @@ def select(blocks: list[Block]) -> list[bool]:
         length[p] += max(len(b.text) - b.linked, 0)
         points[p] += len(_POINT.findall(b.text))
         count[p] += 1
-    text = _smooth([length[p] / count[p] for p in leaf])
-    point = _smooth([points[p] / count[p] for p in leaf])
-    fused = [a * (1.0 + b) for a, b in zip(text, point, strict=True)]
-    size = sum(len(b.text) for b in blocks)
-    mean = sum(f * len(b.text) for f, b in zip(fused, blocks, strict=True)) / max(size, 1)
-    return [f >= THRESHOLD * mean and b.linked * 2 <= len(b.text) for f, b in zip(fused, blocks, strict=True)]
+    text = [length[p] / count[p] for p in leaf]
+    point = [points[p] / count[p] for p in leaf]
+    size = [len(b.text) * b.prior for b in blocks]
+    out = []
+    for t, q in ((_smooth(text), _smooth(point)), (text, point)):
+        fused = [x * (1.0 + y) * b.prior for x, y, b in zip(t, q, blocks, strict=True)]
+        bar = THRESHOLD * sum(f * n for f, n in zip(fused, size, strict=True)) / max(sum(size), 1e-12)
+        out.append([f >= bar and b.linked * 2 <= len(b.text) for f, b in zip(fused, blocks, strict=True)])
+    return out[0], out[1]
+
+
+def _home(blocks: list[Block], boxes: list[tuple[str, int, float]], chosen: list[bool], sure: list[bool]) -> int:
+    """The container of the article, by the votes of the chosen blocks; -1 is the page."""
+    vote, text, good = ([0] * len(boxes) for _ in range(3))
+    total = 0
+    for b, yes, own in zip(blocks, chosen, sure, strict=True):
+        n = len(b.text)
+        total += n * yes
+        if b.box >= 0:
+            vote[b.box] += n * yes
+            text[b.box] += n * (not b.heads)
+            good[b.box] += n * (own and not b.heads)
+    for x in range(len(boxes) - 1, 0, -1):  # a parent has a smaller number than its children
+        up = boxes[x][1]
+        if up >= 0:
+            vote[up], text[up], good[up] = vote[up] + vote[x], text[up] + text[x], good[up] + good[x]
+    home = max((x for x in range(len(boxes)) if vote[x] >= SHARE * total), default=-1)
+    at = home
+    while at >= 0:  # the part of an article stands for the article
+        if boxes[at][0] in ("article", "main"):
+            home = at
+            break
+        at = boxes[at][1]
+    while home >= 0 and boxes[home][1] >= 0:  # what stands beside it belongs to it if it is mostly content, or headings
+        up = boxes[home][1]
+        if 2 * (good[up] - good[home]) < text[up] - text[home] or boxes[up][0] == "html":
+            break
+        home = up
+    return home
 
 
 def main_text(page: str) -> str:
     """The article's blocks in page order, joined by line breaks."""
-    blocks, tags = blocks_of(page)
+    blocks, boxes = blocks_of(page)
     if not blocks:
         return ""
-    chosen = select(blocks)
+    chosen, sure = select(blocks)
     if not any(chosen):
-        chosen = [True] * len(blocks)
-    weight = [0] * len(tags)
-    total = 0
-    for b, yes in zip(blocks, chosen, strict=True):
-        if yes:
-            total += len(b.text)
-            if b.box >= 0:
-                weight[b.box] += len(b.text)
-    for x in range(len(tags) - 1, 0, -1):  # a parent has a smaller number than its children
-        if tags[x][1] >= 0:
-            weight[tags[x][1]] += weight[x]
-    articles = [x for x, (tag, _) in enumerate(tags) if tag in ("article", "main") and weight[x] > 0 and weight[x] >= (1 - SHARE) * total]
-    if articles:
-        homes = set([x for x in articles if tags[x][0] == "article"] or articles)
-    else:  # numbers grow inwards, so the last is the innermost
-        homes = {max((x for x in range(len(tags)) if weight[x] >= SHARE * total), default=-1)}
-    inside: list[bool] = []
-    for x, (_, parent) in enumerate(tags):
-        inside.append(x in homes or (parent >= 0 and inside[parent]))
-    own = [b for b in blocks if b.box >= 0 and inside[b.box]] or blocks
-    return "\n".join(b.text for b in own)
+        chosen = sure = [True] * len(blocks)
+    home = _home(blocks, boxes, chosen, sure)
+    inside = []
+    for x, (_, up, _) in enumerate(boxes):
+        inside.append(x == home or home < 0 or (up >= 0 and inside[up]))
+    here = [(b, yes) for b, yes in zip(blocks, chosen, strict=True) if home < 0 or (b.box >= 0 and inside[b.box])]
+    doubt = DOUBTFUL * (boxes[home][2] if home >= 0 else 1.0)
+    linked = [b.linked * 2 > len(b.text) for b, _ in here]
+    out = []
+    for i, (b, yes) in enumerate(here):
+        listed = linked[i] and any(all(linked[k : k + 3]) for k in range(max(i - 2, 0), min(i, len(here) - 3) + 1))
+        if yes or not (listed or b.prior <= doubt):
+            out.append(b.text)
+    return "\n".join(out)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

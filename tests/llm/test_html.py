@@ -28,11 +28,50 @@ def test_broken_and_empty_pages():
     assert H.main_text("<p>a<p>b &lt;c&gt; &nbsp;d</div></span>") == "a\nb <c> d"
 
 
+def test_ratios_decide_without_article_tags():
+    menu = "<ul>" + "<li><a href=x>Some link</a></li>" * 6 + "</ul>"
+    p = f"<body><div>{menu}</div><div>Buy now.</div><div><h1>Head</h1><p>{PARA}</p><p>{PARA} {PARA}</p><p>Short.</p></div><div>&copy; me, 2020</div></body>"
+    text = PARA.replace("&amp;", "&")
+    want = f"Head\n{text}\n{text} {text}\nShort."
+    assert H.main_text(p) == want
+    assert H.main_text(f"<form>{p}</form>") == want  # a page in a form as a whole
+    blocks, _ = H.blocks_of(p)
+    assert [b.text for b, yes in zip(blocks, H.select(blocks)[0], strict=True) if yes and b.linked] == []
+
+
+def test_path_ratios_by_hand():
+    """Two paths, five blocks: ratios per path, smoothed by 1-2-1, fused, against the mean over characters."""
+    blocks, _ = H.blocks_of("<div><p>aaaa aaaa, bbbb.</p><p>cc cc cc cc cc cc.</p></div><ul><li>x</li><li>y</li><li>z</li></ul>")
+    lengths, points = [16, 18, 1, 1, 1], [2, 1, 0, 0, 0]
+    text, point = [17, 17, 1, 1, 1], [1.5, 1.5, 0, 0, 0]
+    soft = lambda x: [(x[max(i - 1, 0)] + 2 * x[i] + x[min(i + 1, 4)]) / 4 for i in range(5)]
+    assert [len(b.text) for b in blocks] == lengths and sum(points) == 3
+    for got, (t, q) in zip(H.select(blocks), ((soft(text), soft(point)), (text, point)), strict=True):
+        fused = [a * (1 + b) for a, b in zip(t, q, strict=True)]
+        bar = H.THRESHOLD * sum(f * n for f, n in zip(fused, lengths, strict=True)) / sum(lengths)
+        assert got == [f >= bar for f in fused]
+
+
+def test_named_parts_of_an_article_stay():
+    p = page(f"<article><p>{PARA}</p><section class='discussion'><h2>Discussion</h2><p>{PARA}</p></section><div class='comments'><p>{PARA}</p></div></article>")
+    assert H.main_text(p).split("\n") == [PARA.replace("&amp;", "&"), "Discussion", PARA.replace("&amp;", "&")]
+
+
+def test_elements_never_closed_drop_nothing_else():
+    for tag in ("svg", "math", "noscript", "template", "iframe", "textarea", "canvas", "audio", "video", "select", "object", "button"):
+        assert H.main_text(f"<article><p>before</p><{tag} x=y><p>after</p>") == "before\nafter"
+        assert H.main_text(f"<article><p>before</p><{tag}>gone</{tag}><p>after</p>") == "before\nafter"
+        assert H.main_text(f"<article><p>before</p><{tag}><p>after</p><{tag}>gone</{tag}>") == "before\nafter"
+
+
 def test_hostile_pages_take_linear_time():
     begin = time.time()
-    for p in ("<a " * 50000, "<div>" * 20000 + "x", "<" * 100000, "</b>" * 50000, "<p>x" * 20000, "<!--" * 30000):
+    for p in ("<a " * 50000, "<div>" * 20000 + "x", "<" * 100000, "</b>" * 50000, "<p>x" * 20000, "<!--" * 30000, "<option>x" * 64000, "<svg>" * 50000, "<p>x<a href=y>y</a>" * 20000):
         H.main_text(p)
     assert time.time() - begin < 30
+    begin = time.time()
+    H.main_text("<option>" * 64000)
+    assert time.time() - begin < 3
 
 
 def test_table(spark):
