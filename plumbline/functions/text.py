@@ -13,6 +13,12 @@ from plumbline.functions.lexicon import AUDIENCES, QUESTION_STARTERS, QUESTION_W
 MIN_LEN, MAX_LEN, LONG_MIN, TRANSCRIPT_MAX = 80, 4000, 300, 20000
 
 
+
+def stripped(c: Column) -> Column:
+    """Without white space on either side, line breaks included."""
+    return F.btrim(c, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def title_body(title: Column, body: Column) -> Column:
     """Title, a space, body; nulls as empty, so the space always counts in the length."""
     return F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(body, F.lit("")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.plans import funnel, records, rollups, vectors, writes
+from plumbline.plans import feeds, funnel, records, rollups, vectors, writes
 from plumbline.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "funnel", "records", "rollups", "vectors", "writes"]
+__all__ = ["ORACLES", "QUERIES", "feeds", "funnel", "records", "rollups", "vectors", "writes"]

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.text import stripped
+
 ITEM = "_item"
 
 
@@ -52,7 +54,7 @@ class Feed:
     def rows(self, raw: DataFrame, payload: str = "payload") -> DataFrame:
         """(source_slug, ext_id, url, title, body, metadata, content_hash) and the payload's other columns."""
         source = F.get_json_object(payload, f"$.{self.items}") if self.items else F.col(payload)
-        one = F.when(F.startswith(F.trim(source), F.lit("{")), F.concat(F.lit("["), source, F.lit("]"))).otherwise(source)
+        one = F.when(F.startswith(stripped(source), F.lit("{")), F.concat(F.lit("["), source, F.lit("]"))).otherwise(source)
         rest = [c for c in raw.columns if c != payload]
         rows = raw.select(*rest, F.explode(F.from_json(one, "array<variant>")).alias(ITEM)).filter(self.ready())
         out = rows.select(F.lit(self.slug).alias("source_slug"), self.ext_id().alias("ext_id"), self.url().alias("url"), self.title().alias("title"), self.body().alias("body"), self.meta().alias("metadata"), *rest)
@@ -62,7 +64,7 @@ class Feed:
 def _entities(c: Column) -> Column:
     from plumbline.functions.htmlx import few_entities
 
-    return F.trim(few_entities(F.coalesce(c, F.lit(""))))
+    return stripped(few_entities(F.coalesce(c, F.lit(""))))
 
 
 def _either_url(path: str, prefix: str, key: str, suffix: str = "") -> Column:
@@ -80,7 +82,7 @@ FEEDS: dict[str, Feed] = {
              lambda: metadata(sub=F.coalesce(value("data.subreddit"), value("sub")), score="data.score", num_comments="data.num_comments", author="data.author", created_utc="data.created_utc", flair="data.link_flair_text")),
         Feed("hackernews", "hits", lambda: text("objectID"), lambda: _either_url("url", "https://news.ycombinator.com/item?id=", "objectID"), lambda: text("title"), lambda: either("story_text", "title", default=""),
              lambda: metadata(points="points", num_comments="num_comments", author="author", created_at="created_at", query="query")),
-        Feed("producthunt", "data.posts.edges", lambda: text("node.id"), lambda: text("node.url"), lambda: text("node.name"), lambda: F.trim(F.concat(F.coalesce(text("node.tagline"), F.lit("")), F.lit("\n"), F.coalesce(text("node.description"), F.lit("")))),
+        Feed("producthunt", "data.posts.edges", lambda: text("node.id"), lambda: text("node.url"), lambda: text("node.name"), lambda: stripped(F.concat(F.coalesce(text("node.tagline"), F.lit("")), F.lit("\n"), F.coalesce(text("node.description"), F.lit("")))),
              lambda: metadata(votes="node.votesCount", comments="node.commentsCount", created_at="node.createdAt", topics=F.transform(F.from_json(F.to_json(value("node.topics.edges")), "array<struct<node:struct<name:string>>>"), lambda t: t["node"]["name"]))),
         Feed("ycombinator", "", lambda: either("id", "slug"), lambda: _either_url("website", "https://www.ycombinator.com/companies/", "slug"), lambda: text("name"), lambda: either("long_description", "one_liner", default=""),
              lambda: metadata(one_liner="one_liner", batch="batch", industry="industry", subindustry="subindustry", tags="tags", team_size="team_size", locations="all_locations", top_company="top_company", is_hiring="isHiring", status="status", launched_at="launched_at")),
@@ -89,11 +91,11 @@ FEEDS: dict[str, Feed] = {
         Feed("wordpress_plugins", "plugins", lambda: either("slug"), lambda: _either_url("homepage", "https://wordpress.org/plugins/", "slug", "/"), lambda: _entities(text("name")),
              lambda: F.concat(_entities(text("short_description")), F.lit("\n\n[active_installs="), _words("active_installs"), F.lit(", rating="), _words("rating"), F.lit("/100 ("), _words("num_ratings"), F.lit(" ratings), support_threads="), _words("support_threads"), F.lit(", resolved="), _words("support_threads_resolved"), F.lit("]")),
              lambda: metadata(active_installs="active_installs", rating="rating", num_ratings="num_ratings", support_threads="support_threads", support_threads_resolved="support_threads_resolved", src="src")),
-        Feed("devto", "", lambda: F.nullif(either("id"), F.lit("0")), lambda: text("url"), lambda: F.coalesce(text("title"), F.lit("")), lambda: F.trim(F.concat(F.coalesce(text("title"), F.lit("")), F.lit("\n\n"), either("body_markdown", "description", default=""))),
+        Feed("devto", "", lambda: F.nullif(either("id"), F.lit("0")), lambda: text("url"), lambda: F.coalesce(text("title"), F.lit("")), lambda: stripped(F.concat(F.coalesce(text("title"), F.lit("")), F.lit("\n\n"), either("body_markdown", "description", default=""))),
              lambda: metadata(tags=F.coalesce(value("tag_list"), value("tags")), reactions=F.coalesce(value("public_reactions_count"), value("positive_reactions_count")), comments_count="comments_count", reading_time="reading_time_minutes", published_at="published_at", user=F.struct(value("user.username").alias("username"), value("user.name").alias("name")), tag_seed="tag_seed")),
         Feed("appstore_reviews", "feed.entry", lambda: either("id.label"), lambda: F.concat(F.lit("https://apps.apple.com/"), either("country", default="us"), F.lit("/app/id"), F.coalesce(text("app_id"), F.lit(""))), lambda: text("title.label"), lambda: text("content.label"),
              lambda: metadata(app="app", app_id="app_id", genre="genre", rating=F.try_variant_get(ITEM, "$['im:rating'].label", "string"), version=F.try_variant_get(ITEM, "$['im:version'].label", "string"), author="author.name.label"), lambda: F.try_variant_get(ITEM, "$['im:rating']", "variant").isNotNull()),
-        Feed("google_play_reviews", "reviews", lambda: either("reviewId"), lambda: text("url"), lambda: F.coalesce(either("title"), F.concat(F.trim(F.substring(text("content"), 1, 60)), F.when(F.char_length(text("content")) > 60, "...").otherwise(""))), lambda: text("content"),
+        Feed("google_play_reviews", "reviews", lambda: either("reviewId"), lambda: text("url"), lambda: F.coalesce(either("title"), F.concat(stripped(F.substring(text("content"), 1, 60)), F.when(F.char_length(text("content")) > 60, "...").otherwise(""))), lambda: text("content"),
              lambda: metadata(app="app", app_id="app_id", score="score", thumbs_up="thumbsUpCount", version=either("reviewCreatedVersion", "appVersion"), at=text("at"), keyword="keyword"), lambda: either("content").isNotNull()),
         Feed("atlassian_app", "_embedded.addons", lambda: either("key"), lambda: F.concat(F.lit("https://marketplace.atlassian.com/apps/"), text("key")), lambda: either("name", "key"),
              lambda: F.concat_ws("\n\n", either("name", "key"), either("tagLine", "summary"), F.when(F.coalesce(text("summary"), F.lit("")) != F.coalesce(either("tagLine", "summary"), F.lit("")), either("summary"))),

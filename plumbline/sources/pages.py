@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import htmlx
 from plumbline.functions.numbers import human_int
+from plumbline.functions.text import stripped
 
 
 def _field(path: str) -> Column:
@@ -65,11 +66,11 @@ def chrome_extensions(pages: DataFrame, suffix: str = " - Chrome Web Store") ->
     rating = number(r"([0-5](?:\.\d+)?) out of 5").try_cast("double")
     users = human_int(number(r"([\d,.]+[KMB]?\+?)\s+users"))
     counted = human_int(number(r"([\d,.]+[KMB]?)\s+ratings"))
-    category = F.nullif(F.trim(htmlx.few_entities(F.regexp_extract(html, r'(?is)href="[^"]*category/[^"]*"[^>]*>([^<]+)<', 1))), F.lit(""))
+    category = F.nullif(stripped(htmlx.few_entities(F.regexp_extract(html, r'(?is)href="[^"]*category/[^"]*"[^>]*>([^<]+)<', 1))), F.lit(""))
     found = rows.select("ext_id", "url", "_name", rating.alias("rating"), users.alias("users"), counted.alias("rating_count"), category.alias("category"), F.coalesce(htmlx.meta(html, "og:description"), htmlx.meta(html, "description"), F.lit("")).alias("_about"))
     found = found.filter("_name is not null or rating is not null or users is not null").withColumn("title", F.substring(F.coalesce("_name", "ext_id"), 1, 300))
     meta = F.to_json(F.struct("users", "rating", "rating_count", "category"))
-    return found.select(F.lit("chrome_extension").alias("source_slug"), "ext_id", "url", "title", F.trim(F.concat_ws(". ", "title", "_about")).alias("body"), meta.alias("metadata"))
+    return found.select(F.lit("chrome_extension").alias("source_slug"), "ext_id", "url", "title", stripped(F.concat_ws(". ", "title", "_about")).alias("body"), meta.alias("metadata"))
 
 
 def deal_pages(pages: DataFrame, path: str = "$.props.pageProps.deals") -> DataFrame:
@@ -103,7 +104,7 @@ def listing_posts(pages: DataFrame, base: str = "https://old.reddit.com") -> Dat
     post = F.explode(F.regexp_extract_all("html", F.lit(r'(?is)<div(?=[^>]*class="[^"]*\bthing\b)(?=[^>]*class="[^"]*\blink\b)[^>]*>(?:(?!<div[^>]*\bthing\b).)*'), 0))
     attribute = lambda n: F.nullif(F.regexp_extract("_post", rf'(?is)^<div[^>]*\b{n}="([^"]*)"', 1), F.lit(""))
     anchor = F.regexp_extract("_post", r'(?is)<a(?=[^>]*class="[^"]*\btitle\b)[^>]*>.*?</a>', 0)
-    title = F.trim(htmlx.few_entities(F.regexp_replace(F.regexp_extract(anchor, r"(?is)^<a[^>]*>(.*)</a>$", 1), "<[^>]*>", "")))
+    title = stripped(htmlx.few_entities(F.regexp_replace(F.regexp_extract(anchor, r"(?is)^<a[^>]*>(.*)</a>$", 1), "<[^>]*>", "")))
     href = F.regexp_extract(anchor, r'(?is)^<a[^>]*\bhref="([^"]*)"', 1)
     rows = pages.select("sub", post.alias("_post")).filter(anchor != "")
     meta = F.to_json(F.struct("sub", attribute("data-score").alias("score"), attribute("data-author").alias("author")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import date_in_name, money
+from plumbline.functions.text import stripped
 
 # Spellings of the report's columns.
 ALIASES = {
@@ -40,7 +41,7 @@ def seller_reports(rows: DataFrame, today: str) -> DataFrame:
     kind = F.substring(F.array_join(F.filter(F.split(name, "-"), lambda p: ~p.rlike(r"^\d+$")), "-"), 1, 60)
     raw = F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns if c != "_file")))
     out = rows.select(
-        F.coalesce(F.nullif(kind, F.lit("")), F.lit("report")).alias("report_type"), F.trim(F.coalesce(pick("asin"), F.lit(""))).alias("asin"), F.coalesce(date_in_name(F.col("_file")), F.lit(today).cast("date")).alias("snapshot_date"),
+        F.coalesce(F.nullif(kind, F.lit("")), F.lit("report")).alias("report_type"), stripped(F.coalesce(pick("asin"), F.lit(""))).alias("asin"), F.coalesce(date_in_name(F.col("_file")), F.lit(today).cast("date")).alias("snapshot_date"),
         *(pick(c).alias(c) for c in ("title", "brand", "category")), *(money(pick(c)).alias(c) for c in ("price", "monthly_revenue", "monthly_units", "rating")),
         F.coalesce(money(pick("reviews")).cast("int"), F.lit(0)).alias("reviews"), raw.alias("raw"), F.col("_file").alias("source_file"),
     )
@@ -49,7 +50,7 @@ def seller_reports(rows: DataFrame, today: str) -> DataFrame:
 
 def seed_ids(spark: SparkSession, path: str) -> DataFrame:
     """One id per line; blank lines and comments are skipped."""
-    line = F.trim("value")
+    line = stripped(F.col("value"))
     return spark.read.text(path).select(line.alias("id")).filter((line != "") & ~F.startswith(line, F.lit("#"))).distinct()
 
 
