@@ -115,6 +115,13 @@ def test_reports_and_seeds(spark, tmp_path):
     assert [r.t for r in seeds.collect()] == ["https://www.youtube.com/@me/videos", "https://www.youtube.com/watch?v=abc", "https://x"]
 
 
+def test_report_files_with_unlike_headers(spark, tmp_path):
+    (tmp_path / "a-1.csv").write_text("asin,title,price\nB1,One,5\n", encoding="utf-8")
+    (tmp_path / "b-2.csv").write_text("title,brand,asin\nTwo,Maker,B2\n\"Th\nree\",Maker\n", encoding="utf-8")
+    got = reports.seller_reports(reports.read_csv(spark, f"file://{tmp_path}"), "2020-01-01").orderBy("asin").collect()
+    assert [(r.report_type, r.asin, r.title, r.brand, r.price) for r in got] == [("a", "B1", "One", None, 5.0), ("b", "B2", "Two", "Maker", None)]
+
+
 def test_embedder(spark):
     df = spark.createDataFrame([(1, "a b", 5, 1), (2, None, 0, 9)], "id long, text string, score long, dup_count long")
     got = embedder.embed(df, F.col("text"), 16).collect()
