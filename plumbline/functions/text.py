@@ -44,7 +44,7 @@ def lexicon_hits(text: Column, words: Sequence[str] | None = None, squeeze: bool
 def has_phrase(text: Column, words: Sequence[str] | None = None) -> Column:
     """Any phrase is in the squeezed text: one alternation, matched in a single pass."""
     listed = phrases() if words is None else words
-    return squeezed(text).rlike("|".join(map(_java_quote, listed)))
+    return squeezed(text).rlike("|".join(map(_java_quote, listed))) if listed else F.lit(False)
 
 
 def _java_quote(text: str) -> str:
@@ -54,6 +54,8 @@ def _java_quote(text: str) -> str:
 def starts_question(text: Column, starters: Sequence[str] | None = None) -> Column:
     """A starter at the text's start, after a sentence end and white space, or after a line break; no word end is asked for."""
     joined = "|".join(map(_java_quote, QUESTION_STARTERS if starters is None else starters))
+    if not joined:
+        return F.lit(False)
     return F.lower(text).rlike(rf"(?i)(^|[.!?]\s+|\n\s*)({joined})")
 
 

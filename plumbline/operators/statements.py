@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import jsonx
-from plumbline.functions.text import topic_slug
+from plumbline.functions.text import priority, topic_slug
+from plumbline.operators.queues import in_batches
 
 Client = Callable[[Sequence[str]], Sequence[str]]
 
@@ -28,11 +29,13 @@ def ask(rows: DataFrame, prompt: Column, client: Client, out: str = "reply") ->
     return rows.withColumn(out, reply(prompt))
 
 
-def batches(signals: DataFrame, size: int = 200, text_chars: int = 500) -> DataFrame:
-    """Signals in groups of ``size`` by hash of their id, as (batch, items JSON)."""
-    n = max(1, -(-signals.count() // size))
+def batches(signals: DataFrame, size: int = 200, text_chars: int = 500, most: int = 20_000) -> DataFrame:
+    """The ``most`` signals of the highest priority in groups of ``size``, most important first, as (batch, items JSON)."""
     item = F.struct(F.col("id"), F.substring("text", 1, text_chars).alias("text"))
-    return signals.withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(n))).groupBy("batch").agg(F.to_json(F.sort_array(F.collect_list(item))).alias("items"))
+    rank = F.struct(-priority(F.col("score"), F.col("dup_count")), F.col("id"), item.alias("item"))
+    dealt = in_batches(signals, [priority(F.col("score"), F.col("dup_count")).desc(), F.col("id")], size, most)
+    listed = dealt.groupBy("batch").agg(F.sort_array(F.collect_list(rank)).alias("rows"))
+    return listed.select("batch", F.to_json(F.transform("rows", lambda r: r["item"])).alias("items"))
 
 
 def audience_of(icp: Column) -> Column:

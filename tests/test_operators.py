@@ -187,4 +187,27 @@ def test_ask_goes_through_the_client(spark):
     df = spark.createDataFrame([(1, "q")], "id long, text string")
     out = statements.ask(df, F.col("text"), lambda prompts: [p.upper() for p in prompts])
     assert out.first().reply == "Q"
-    assert statements.batches(df, 2).first()["items"] == '[{"id":1,"text":"q"}]'
+    many = spark.createDataFrame([(i, f"t{i}", i % 3, 1) for i in range(5)], "id long, text string, score long, dup_count long")
+    got = [(r.batch, r["items"]) for r in statements.batches(many, 2).orderBy("batch").collect()]
+    assert got == [(0, '[{"id":2,"text":"t2"},{"id":1,"text":"t1"}]'), (1, '[{"id":4,"text":"t4"},{"id":0,"text":"t0"}]'), (2, '[{"id":3,"text":"t3"}]')]
+
+
+def test_retries():
+    from plumbline.operators import queues
+
+    calls, waits = [], []
+
+    def fails(n):
+        def call():
+            calls.append(1)
+            if len(calls) <= n:
+                raise OSError("busy")
+            return "ok"
+
+        return call
+
+    assert queues.retried(fails(2), 3, queues.exponential, waits.append) == "ok" and waits == [1.0, 2.0]
+    calls.clear()
+    with pytest.raises(OSError):
+        queues.retried(fails(9), 3, sleep=waits.append)
+    assert len(calls) == 3 and waits[2:] == [2.0, 4.0]
