@@ -14,6 +14,8 @@ from plumbline.session import cut
 
 #: Vectors of a block; a task holds two blocks and their products.
 BLOCK = 2000
+#: Pairs whose buckets are compared at once.
+_AT_ONCE = 100_000
 
 
 def _unit(column: pa.ChunkedArray) -> np.ndarray:
@@ -30,8 +32,8 @@ def _blocked(vectors: DataFrame, id_col: str, vec_col: str, block: int) -> tuple
     return rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
 
 
-def _products(near: float):
-    """The pairs under ``near`` of the blocks x and y of vectors."""
+def _products(near: float, first: bool = False):
+    """The pairs under ``near`` of the blocks x and y of vectors; with ``first`` only those that no earlier table has ("before")."""
 
     def products(t: pa.Table) -> pa.Table:
         x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
@@ -39,8 +41,14 @@ def _products(near: float):
         one, two = np.flatnonzero(b == x), np.flatnonzero(b == y)
         d = 1.0 - v[one] @ v[two].T
         i, j = np.nonzero(d < near)
-        p, q, d = ids[one[i]], ids[two[j]], d[i, j]
-        yes = p < q if x == y else np.ones(len(p), bool)
+        i, j, d = one[i], two[j], d[i, j]
+        p, q = ids[i], ids[j]
+        yes = p < q if x == y else p != q
+        if first:
+            before = t.column("before").combine_chunks()
+            hs = before.flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1)
+            for at in range(0, len(p), _AT_ONCE):
+                yes[at : at + _AT_ONCE] &= ~(hs[i[at : at + _AT_ONCE]] == hs[j[at : at + _AT_ONCE]]).any(axis=1)
         return pa.table({"a": np.minimum(p, q)[yes], "b": np.maximum(p, q)[yes], "distance": d[yes]})
 
     return products
@@ -98,36 +106,52 @@ def lsh_tables(near: float, bits: int, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log1p(-(same**bits)))) if same < 1 else 1
 
 
-def lsh_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", dims: int = 64, tables: int | None = None, bits: int | None = None, seed: int = 42, recall: float = 0.95, block: int = BLOCK) -> DataFrame:
-    """Pairs under ``near`` that share a bucket of random hyperplanes in some table, each verified.
+def lsh_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", tables: int | None = None, bits: int | None = None, seed: int = 42, recall: float = 0.98, block: int = BLOCK) -> DataFrame:
+    """(a, b, distance) with a < b, each once: pairs under ``near`` that share a bucket of random hyperplanes in some table, verified.
 
     Candidates come from equal buckets, so cost follows the buckets, not all pairs. Where ``bits`` isn't given, a bucket
     has about ``block`` vectors; where ``tables`` isn't, there are so many that ``recall`` of the pairs at ``near`` are
-    expected, and more of the nearer ones. Larger buckets are met in blocks.
+    expected, and more of the nearer ones. Larger buckets are met in blocks. A pair counts in the first table in which it
+    meets, so what is found needs no second shuffle.
+
+    Null ids and vectors are left out, and vectors with another number of values than the longest. A vector of zeros
+    has distance one to all. Rows that repeat an id are neighbours of others, not of each other.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).filter("id is not null and v is not null")
+    count, dims = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    rows = rows.filter(F.size("v") == (dims or 0))
     if bits is None:
-        bits = max(2, min(24, round(math.log2(max(1, rows.count()) / block))))
+        bits = max(2, min(24, round(math.log2(max(1, count) / block))))
     if tables is None:
         tables = lsh_tables(near, bits, recall)
-    planes = np.random.default_rng(seed).standard_normal((tables, bits, dims))
+    planes = np.random.default_rng(seed).standard_normal((tables, bits, dims or 0))
 
     @F.arrow_udf("array<int>")
     def buckets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weight = 1 << np.arange(bits)
         for v in batches:
             x = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(v), -1)
-            signs = np.einsum("nd,tbd->ntb", x, planes[:, :, : x.shape[1]]) > 0
+            signs = np.einsum("nd,tbd->ntb", x, planes) > 0
             yield pa.array((signs * weight).sum(axis=2).astype(np.int32).tolist(), pa.list_(pa.int32()))
 
-    sizes = rows.select(F.posexplode(buckets("v")).alias("t", "h")).groupBy("t", "h").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1")
-    keyed = rows.select("id", "v", F.posexplode(buckets("v")).alias("t", "h")).join(sizes, ["t", "h"], "left")
+    hashed = rows.withColumn("hs", buckets("v"))
+    sizes = hashed.select(F.posexplode("hs").alias("t", "h")).groupBy("t", "h").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1")
+    keyed = hashed.select("id", "v", "hs", F.posexplode("hs").alias("t", "h")).join(sizes, ["t", "h"], "left")
     n = F.coalesce("blocks", F.lit(1))
     keyed = keyed.withColumn("n", n).withColumn("b", F.pmod(F.xxhash64("id"), n).cast("int"))
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.struct(F.least("b", o).alias("x"), F.greatest("b", o).alias("y"))))
-    met = keyed.withColumn("p", pair).select("t", "h", "id", "v", "b", "p.x", "p.y")
-    found = met.groupBy("t", "h", "x", "y").applyInArrow(_products(near), "a long, b long, distance double")
-    return found.groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    met = keyed.withColumn("p", pair).select("t", "h", "id", "v", "b", F.slice("hs", F.lit(1), F.col("t")).alias("before"), "p.x", "p.y")
+    return met.groupBy("t", "h", "x", "y").applyInArrow(_products(near, True), "a long, b long, distance double")
+
+
+def neighbours(pairs: DataFrame, k: int = 200) -> DataFrame:
+    """(seed, neighbour, distance, rank): of each row the k nearest rows that ``pairs`` has it with, ties by id.
+
+    The nearest k are kept per task before they are ranked, so a row with very many neighbours isn't put in order as a whole.
+    """
+    both = pairs.select(F.col("a").alias("seed"), F.col("b").alias("neighbour"), "distance").union(pairs.select("b", "a", "distance"))
+    rank = F.row_number().over(Window.partitionBy("seed").orderBy("distance", "neighbour"))
+    return both.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def fold(ids: DataFrame, pairs: DataFrame, id_col: str = "vec_id") -> DataFrame:

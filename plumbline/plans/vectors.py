@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.vectors import truncate
 from plumbline.operators import cluster, neighbors
 from plumbline.plans.registry import query, read
+from plumbline.session import cut
 
 NEAR = 0.60
 _PAIRS = f"(select a.vec_id as a, b.vec_id as b, 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) as d from embeddings a join embeddings b on a.vec_id < b.vec_id where 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) < {NEAR})"
@@ -72,6 +73,20 @@ def lsh_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbors.lsh_pairs(read(spark, sf_dir, "embeddings"), NEAR)
 
 
+@query()
+def ann_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every vector the 200 nearest under the distance, by the approximate index."""
+    found = neighbors.neighbours(neighbors.lsh_pairs(read(spark, sf_dir, "embeddings"), NEAR), 200)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query()
+def fold_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered greedy fold over the approximate pairs."""
+    e = read(spark, sf_dir, "embeddings")
+    return neighbors.fold(e, cut(neighbors.lsh_pairs(e, NEAR)))
+
+
 @query()
 def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings by the offline hashing embedder."""

@@ -94,7 +94,7 @@ def test_neighbours_in_blocks(spark):
     assert {(r.a, r.b) for r in neighbors.exact_pairs(df, 0.5, block=20).collect()} == want
     got = neighbors.knn(df, df.filter("vec_id < 7"), 5, block=20).collect()
     assert {(r.query, r.neighbour) for r in got} == {(i, int(j)) for i in range(7) for j in [k for k in np.argsort(d[i]) if k != i][:5]}
-    found = {(r.a, r.b) for r in neighbors.lsh_pairs(df, 0.5, dims=8, bits=4, tables=30).collect()}
+    found = {(r.a, r.b) for r in neighbors.lsh_pairs(df, 0.5, bits=4, tables=30).collect()}
     assert found <= want and len(found) >= 0.95 * len(want)
 
 
@@ -110,6 +110,45 @@ def test_registered_neighbours_are_nearly_all(spark, block, monkeypatch):
     assert len(found) == len(set(found)) and set(found) <= want and len(found) >= 0.95 * len(want)
 
 
+def test_top_neighbours_and_fold_over_approximate_pairs(spark):
+    """The registered query's ranks against brute force over what was found, and its recall; the fold is that of its pairs."""
+    from plumbline.plans import vectors
+
+    sf = "/root/testdata/sf0.01"
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    exact = {(r.a, r.b): r.distance for r in neighbors.exact_pairs(df, vectors.NEAR).collect()}
+    got = vectors.ann_topk(spark, sf).collect()
+    by: dict = {}
+    for r in got:
+        by.setdefault(r.seed, []).append((r.distance, r.neighbour, r.rank))
+        assert exact[min(r.seed, r.neighbour), max(r.seed, r.neighbour)] == pytest.approx(r.distance, abs=1e-6)
+    assert len(got) >= 0.95 * 2 * len(exact)
+    for rows_ in by.values():
+        assert [x[2] for x in sorted(rows_)] == list(range(1, len(rows_) + 1)) and len(rows_) <= 200
+    pairs = {(min(r.seed, r.neighbour), max(r.seed, r.neighbour)) for r in got}
+    less: dict = {}
+    for a, b in pairs:
+        less.setdefault(b, []).append(a)
+    seeds, want = set(), {}
+    for (i,) in sorted(df.select("vec_id").collect()):
+        near = [a for a in less.get(i, ()) if a in seeds]
+        want[i] = min(near) if near else i
+        if not near:
+            seeds.add(i)
+    assert dict(map(tuple, vectors.fold_lsh(spark, sf).collect())) == want
+
+
+def test_odd_vectors_have_no_neighbours(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((40, 128))
+    x[20:] = x[:20] + 0.1 * rng.standard_normal((20, 128))
+    rows_ = [(i, v.tolist()) for i, v in enumerate(x)] + [(None, x[0].tolist()), (100, None), (101, [1.0, 2.0]), (102, [0.0] * 128)]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<float>")
+    got = {(r.a, r.b) for r in neighbors.lsh_pairs(df, 0.2).collect()}
+    assert got == {(i, i + 20) for i in range(20)}
+    assert neighbors.lsh_pairs(df.limit(0), 0.2).count() == 0
+
+
 def test_tables_by_distance():
     for near, bits in ((0.6, 4), (0.6, 6), (0.2, 10)):
         same, n = 1 - np.arccos(1 - near) / np.pi, neighbors.lsh_tables(near, bits, 0.95)
