@@ -6,10 +6,12 @@ key is combined on the map side and neither side has to fit in memory.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.functions.jsonx import shallow_merge
 
@@ -67,33 +69,76 @@ def replace_stale(target: DataFrame, current: DataFrame, key: Sequence[str]) ->
 
 
 class SnapshotTable:
-    """A Parquet table that is replaced as a whole: versions in folders, the current one named by a pointer file.
+    """A keyed Parquet table in ``buckets`` by hash of its key; a version is a list of where each bucket lies.
 
-    One writer at a time. The pointer is written last, so a run that dies leaves the version before it.
+    A merge reads and writes only the buckets that its batch has keys of. The version's file is written last, so a run
+    that dies leaves the version before it. The last ``keep`` versions can be read; files that only older ones have are
+    deleted. One writer at a time. The number of buckets is that of the first write.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, keep: int = 2):
+        self.spark, self.path, self.buckets, self.keep = spark, path.rstrip("/"), buckets, keep
         self._fs_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _versions(self) -> list[int]:
+        base = self._fs_path(f"{self.path}/_versions")
+        names = [x.getPath().getName() for x in self._fs.listStatus(base)] if self._fs.exists(base) else []
+        return sorted(int(x) for x in names if x.isdigit())
+
     def version(self) -> int:
         """Number of the current version; 0 before the first."""
-        base = self._fs_path(f"{self.path}/_pointers")
-        if not self._fs.exists(base):
-            return 0
-        return max((int(x.getPath().getName()) for x in self._fs.listStatus(base)), default=0)
+        return max(self._versions(), default=0)
 
-    def read(self) -> DataFrame | None:
-        v = self.version()
-        return self.spark.read.parquet(f"{self.path}/v{v}") if v else None
+    def _state(self, version: int) -> dict:
+        return json.loads(self.spark.read.text(f"{self.path}/_versions/{version}", wholetext=True).first()[0])
+
+    def _rows(self, state: dict, only: Sequence[int] | None = None) -> DataFrame:
+        paths = [f"{self.path}/v{v}/_bucket={b}" for b, v in state["at"].items() if only is None or int(b) in only]
+        kind = StructType.fromJson(state["schema"])
+        return self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        v = self.version() if version is None else version
+        return self._rows(self._state(v)) if v else None
 
-    def write(self, df: DataFrame) -> int:
+    def _put(self, rows: DataFrame, key: Sequence[str], n: int, state: dict, replaced: Sequence[int] | None) -> int:
+        """Write rows as a version in which they are all that the replaced buckets have (None: all buckets)."""
         v = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        self._fs.create(self._fs_path(f"{self.path}/_pointers/{v}"), True).close()
+        to = f"{self.path}/v{v}"
+        bucket = F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
+        rows.withColumn("_bucket", bucket).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(to)
+        written = [x.getPath().getName().partition("=")[2] for x in self._fs.listStatus(self._fs_path(to)) if x.getPath().getName().startswith("_bucket=")]
+        stay = {} if replaced is None else {b: u for b, u in state["at"].items() if int(b) not in replaced}
+        now = {"schema": rows.schema.jsonValue(), "key": list(key), "buckets": n, "at": stay | dict.fromkeys(written, v)}
+        out = self._fs.create(self._fs_path(f"{self.path}/_versions/_{v}"), True)
+        out.write(bytearray(json.dumps(now).encode()))
+        out.close()
+        self._fs.rename(self._fs_path(f"{self.path}/_versions/_{v}"), self._fs_path(f"{self.path}/_versions/{v}"))
+        self._expire()
         return v
 
+    def _expire(self) -> None:
+        old, live = self._versions()[: -self.keep], self._versions()[-self.keep :]
+        used = {(b, v) for x in live for b, v in self._state(x)["at"].items()}
+        for x in old:
+            for b, v in self._state(x)["at"].items():
+                if (b, v) not in used:
+                    self._fs.delete(self._fs_path(f"{self.path}/v{v}/_bucket={b}"), True)
+            self._fs.delete(self._fs_path(f"{self.path}/_versions/{x}"), False)
+
+    def write(self, df: DataFrame, key: Sequence[str]) -> int:
+        """Replace the whole table."""
+        return self._put(df, key, self.buckets, {}, None)
+
     def merge(self, batch: DataFrame, key: Sequence[str], rules: dict[str, str], default: str = OLD) -> int:
-        now = self.read()
-        return self.write(batch if now is None else upsert(now, batch, key, rules, default))
+        v = self.version()
+        if not v:
+            return self.write(batch, key)
+        state = self._state(v)
+        n, kind = state["buckets"], StructType.fromJson(state["schema"])
+        batch = batch.withColumns({k: F.col(k).cast(kind[k].dataType) for k in key})  # the hash goes by the type
+        touched = [r[0] for r in batch.select(F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")).distinct().collect()]  # n at most
+        if not touched:
+            return v
+        return self._put(upsert(self._rows(state, touched), batch, key, rules, default), key, n, state, touched)

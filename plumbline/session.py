@@ -26,9 +26,12 @@ def build(name: str = "plumbline", **settings: str) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and go on from there.
 
-    The folder is the one that ``spark.checkpoint.dir`` names; only where it is unset a temporary one is used.
+    The folder is the one that ``spark.checkpoint.dir`` names; only where it is unset, and on one machine, a temporary one is used.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="plumbline-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="plumbline-"))
     return df.checkpoint()

@@ -35,6 +35,22 @@ def test_snapshots(spark, tmp_path):
     assert t.version() == 2 and rows(t.read()) == [(1, 7), (2, 2)]
 
 
+def test_snapshots_rewrite_touched_buckets_only(spark, tmp_path):
+    t = U.SnapshotTable(spark, f"file://{tmp_path}/t", buckets=8)
+    want = {i: 0 for i in range(40)}
+    t.write(spark.createDataFrame(sorted(want.items()), "k long, n long"), ["k"])
+    first = t._state(1)["at"]
+    for step in range(2, 6):
+        t.merge(spark.createDataFrame([(3, step), (100 + step, step)], "k int, n long"), ["k"], {"n": U.NEW})
+        want |= {3: step, 100 + step: step}
+        assert dict(map(tuple, t.read().collect())) == want
+    assert sum(v == 1 for v in t._state(5)["at"].values()) >= len(first) - 5  # the rest stays where it was
+    assert t._versions() == [4, 5] and dict(map(tuple, t.read(4).collect())) == {k: min(n, 4) for k, n in want.items() if k != 105}
+    folders = {p.name for p in (tmp_path / "t").iterdir()}
+    assert {"v1", "v4", "v5"} <= folders
+    assert t.merge(spark.createDataFrame([], "k long, n long"), ["k"], {}) == 5
+
+
 def test_stale_rows_go_and_null_keys_stay(spark):
     t = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     assert rows(U.replace_stale(t, spark.createDataFrame([(2,), (None,)], "k int"), ["k"])) == [(2,), (None,)]
