@@ -16,11 +16,15 @@ of the text; characters outside the vocabulary, and marks in the text itself, ar
 byte pieces.
 
 Null and empty texts have no pieces. A null key counts as key 0. Rows that repeat a key and
-its text have the same segmentation. Texts of any length are sampled whole.
+its text have the same segmentation. Texts of any length are sampled whole; of a stretch over
+``LONG`` bytes only the sums are kept, 12 bytes a character, and its pieces are found again on
+the way back.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import sentencepiece
@@ -33,6 +37,7 @@ _MARK_BYTES = MARK.encode()
 _MOST_EDGES, SLICE = 2_500_000, 1_000_000
 #: Longer stretches are summed one by one, with their sums rescaled on the way.
 _IN_STEP = 150
+LONG = 1 << 14
 _SMALL, _LARGE = 1e-120, 1e120
 _GOLDEN, _SILVER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
@@ -145,6 +150,50 @@ class Lattice:
             piece.append(-1)
             back.append(-1)
 
+    def _walk(self, text: str, key: np.uint64) -> list[int]:
+        """The pieces of one stretch, sampled with sums alone in memory; the same draws as in ``sample``."""
+        n, pieces, prefixes, longest = len(text), self.pieces, self.prefixes, self.longest
+        total, power = np.zeros(n + 1), np.zeros(n + 1, np.int32)  # a sum is total * 2**power
+        room = longest + 1
+        coming, shift = [0.0] * room, 0  # sums of the next places, by place modulo room
+        coming[0] = 1.0
+        for i in range(n + 1):
+            here, coming[i % room] = coming[i % room], 0.0
+            if here and not _SMALL < here < _LARGE:
+                k = math.frexp(here)[1]
+                here, coming, shift = math.ldexp(here, -k), [math.ldexp(x, -k) for x in coming], shift + k
+            total[i], power[i] = here, shift
+            if not here or i == n:
+                continue
+            alone = False
+            for j in range(i + 1, min(n, i + longest) + 1):
+                part = text[i:j]
+                if part not in prefixes:
+                    break
+                got = pieces.get(part)
+                if got is not None:
+                    coming[j % room] += here * got[1]
+                    alone = alone or j == i + 1
+            if not alone:
+                coming[(i + 1) % room] += here * 1e-6
+        out, at = [], n
+        while at:
+            if len(out) % 4096 == 0:
+                u = (mix(key + (np.arange(len(out), len(out) + 4096, dtype=np.uint64) * _SILVER)) >> np.uint64(12)) * 2.0**-52
+            draw, sum_, chosen = float(u[len(out) % 4096]), 0.0, None
+            for i in range(at - 1, max(0, at - longest) - 1, -1):
+                got = pieces.get(text[i:at])
+                weight = got[1] if got is not None else 1e-6 if i + 1 == at else 0.0
+                if not weight or not total[i]:
+                    continue
+                sum_ += math.ldexp(float(total[i]) * weight, int(power[i] - power[at])) / float(total[at])
+                chosen = (i, got[0] if got is not None else -2 - ord(text[i]))
+                if sum_ > draw:
+                    break
+            at = chosen[0]
+            out.append(chosen[1])
+        return out[::-1]
+
     def _forward_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """What ``_forward`` adds, for many short stretches in step: (cum, piece, back, end nodes)."""
         size = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -220,11 +269,13 @@ class Lattice:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         buf = np.frombuffer(data + bytes(16), np.uint8)
-        hashes = span_hashes(buf, start, end)
-        which, distinct = pd.factorize(hashes)
+        alone = end - start > LONG  # sampled one by one
+        short = np.flatnonzero(~alone)
+        begins, ends = start[short], end[short]
+        which, distinct = pd.factorize(span_hashes(buf, begins, ends))
         one = np.zeros(len(distinct), np.int64)
         one[which[::-1]] = np.arange(len(which))[::-1]
-        width = (end - start)[one]
+        width = (ends - begins)[one]
         if len(self.cum) > _MOST_EDGES:
             self._forget()
         place = np.searchsorted(self.keys, distinct)
@@ -233,13 +284,13 @@ class Lattice:
         known[inside] = self.keys[place[inside]] == distinct[inside]
         fresh = np.flatnonzero(~known)
         if len(fresh):
-            parts = [data[a:b].decode() for a, b in zip(start[one[fresh]].tolist(), end[one[fresh]].tolist(), strict=True)]
+            parts = [data[a:b].decode() for a, b in zip(begins[one[fresh]].tolist(), ends[one[fresh]].tolist(), strict=True)]
             last = np.zeros(len(parts), np.int64)
-            short = np.array([len(x) <= _IN_STEP for x in parts])
-            if short.any():
-                cum, piece, back, last[short] = self._forward_all([x for x in parts if len(x) <= _IN_STEP])
+            small = np.array([len(x) <= _IN_STEP for x in parts])
+            if small.any():
+                cum, piece, back, last[small] = self._forward_all([x for x in parts if len(x) <= _IN_STEP])
                 self._append(cum, piece, back)
-            for i in np.flatnonzero(~short).tolist():
+            for i in np.flatnonzero(~small).tolist():
                 cum, piece, back = [], [], []
                 last[i] = self._forward(parts[i], cum, piece, back)
                 self._append(cum, piece, back)
@@ -249,14 +300,14 @@ class Lattice:
             self.last_node = np.concatenate((self.last_node, last))[order]
             self.width = np.concatenate((self.width, width[fresh]))[order]
             place = np.searchsorted(self.keys, distinct)
-        if not (self.width[place] == width).all():
-            raise ValueError("two stretches of text share a hash")
+        clash = self.width[place][which] != ends - begins  # stretches that share a hash
+        alone[short[clash]] = True
         # Backward: all stretches step together, from their ends.
         text = np.repeat(np.arange(len(texts)), per_text)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         key = mix(np.asarray(keys).astype(np.int64).view(np.uint64) + np.uint64(seed * int(_SILVER) % (1 << 64)))[text]
         key = mix(key + nth.astype(np.uint64) * _GOLDEN)
-        node, active, steps = self.last_node[place][which], np.arange(len(text)), []
+        node, active, steps = self.last_node[place][which][~clash], short[~clash], []
         count, k = np.zeros(len(text), np.int64), 0
         while len(active):
             u = (mix(key[active] + np.uint64(k * int(_SILVER) % (1 << 64))) >> np.uint64(12)) * 2.0**-52
@@ -267,12 +318,17 @@ class Lattice:
             active, node = active[going], self.back[edge[going]]
             count[active] += 1
             k += 1
+        walked = {i: self._walk(data[start[i] : end[i]].decode(), key[i]) for i in np.flatnonzero(alone).tolist()}
+        for i, ids in walked.items():
+            count[i] = len(ids)
         first = np.cumsum(count) - count
         out = np.zeros(count.sum(), np.int64)
         for k, (at, drawn) in enumerate(steps):
             out[first[at] + count[at] - 1 - k] = drawn
-        ends = np.concatenate(([0], np.cumsum(count)))
-        bounds = ends[np.concatenate(([0], np.cumsum(per_text)))]
+        for i, ids in walked.items():
+            out[first[i] : first[i] + count[i]] = ids
+        stops = np.concatenate(([0], np.cumsum(count)))
+        bounds = stops[np.concatenate(([0], np.cumsum(per_text)))]
         return self._spell(out, bounds)
 
     def _spell(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

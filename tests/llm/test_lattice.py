@@ -64,3 +64,20 @@ def test_long_stretches_one_by_one_and_in_step_agree(model, monkeypatch):
     assert fresh.decode(slow) == raw[0] and model.decode(np.array(want)) == raw[0]
     long_ = b"x9" * 40000
     assert fresh.decode(fresh.sample([long_], np.array([1]), 2)[0]) == long_
+
+
+def test_walks_without_edges_give_the_same_pieces(model, monkeypatch):
+    raw = ["thonaningheat, and 漢字 🙂 of the\nrest▁x".encode() * 4, b"", b"x9" * 300, "ëëß".encode() * 500]
+    keys = np.arange(len(raw))
+    monkeypatch.setattr(L, "_IN_STEP", 10**6)
+    want = [x.tolist() for x in split(*L.Lattice(PATH).sample(raw, keys, 5))]
+    monkeypatch.setattr(L, "LONG", 0)
+    assert [x.tolist() for x in split(*L.Lattice(PATH).sample(raw, keys, 5))] == want
+
+
+def test_stretches_that_share_a_hash_are_sampled_alone(monkeypatch):
+    raw = [b"a aa aaa b", b"aaaa a bbb"]
+    monkeypatch.setattr(L, "span_hashes", lambda buf, start, end: buf[end - 1].astype(np.uint64))  # unlike lengths clash
+    m = L.Lattice(PATH)
+    got = split(*m.sample(raw, np.arange(2), 5))
+    assert [m.decode(x) for x in got] == raw
