@@ -5,13 +5,14 @@ budget of tokens flows down the tree. At each node it is shared among the childr
 weight; a child that can't use its share (its tokens, ``max_epochs`` times over, are fewer)
 is filled and what it leaves goes to its siblings, by weight again. As a node's capacity is
 that of all leaves below it, a shortage is made up among siblings before it reaches the
-ancestors' siblings. All sums are exact whole numbers.
+ancestors' siblings. All sums are exact whole numbers; what division leaves over goes to the
+first children by name, one token each, so every node's budget is spent in full.
 
 A leaf with a budget of q whole passes over its tokens and a rest takes each document q
 times, one per epoch, and of the next epoch the longest prefix within the rest. The order of
 an epoch is that of md5(seed:epoch:doc_id). The prefix is found from sums over hash ranges
-of the leaf, so that no task orders a large leaf; what is left of it is one row per leaf:
-its whole passes and the last hash that it takes.
+of the leaf, about the square root of its documents in number, so that no task orders a large
+leaf; what is left of it is one row per leaf: its whole passes and the last hash that it takes.
 
 Null domains, languages and sources count as ''. Null and empty texts have no tokens: they
 cost nothing and come with the prefix they stand in; a leaf without tokens takes each of its
@@ -22,13 +23,14 @@ no rows; other columns are kept by ``mix``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.shared import spare, table
 
 LEVELS = ("domain", "lang", "source")
-_RANGE = 3  # hex digits of the hash ranges: 4096 of them
 _BIG = "decimal(38,0)"
 
 
@@ -60,8 +62,12 @@ def _share(children: DataFrame, parent: tuple[str, ...], name: str) -> DataFrame
     rows = rows.withColumn("filled", full)
     rows = rows.withColumn("left", (F.col("budget") - F.coalesce(F.sum(F.when(F.col("filled"), F.col("cap"))).over(whole), F.lit(0))).cast("decimal(20,0)"))
     rows = rows.withColumn("w_left", F.sum(F.when(~F.col("filled"), F.col("w"))).over(whole).cast("decimal(12,0)"))
-    part = F.expr("(left * cast(w as decimal(12,0))) div w_left").cast(_BIG)
-    return rows.withColumn("budget", F.when(F.col("filled"), F.col("cap")).otherwise(part)).drop("cap_before", "w_rest", "filled", "left", "w_left")
+    rows = rows.withColumn("part", F.when(~F.col("filled"), F.expr("(left * cast(w as decimal(12,0))) div w_left").cast(_BIG)))
+    over = F.col("left") - F.sum("part").over(whole)
+    named = Window.partitionBy(*parent, "filled").orderBy(name)
+    more = F.when(F.row_number().over(named) <= over, 1).otherwise(0)  # less than the child's capacity: it isn't filled
+    budget = F.when(F.col("filled"), F.col("cap")).otherwise(F.col("part") + more).cast(_BIG)
+    return rows.withColumn("budget", budget).drop("cap_before", "w_rest", "filled", "left", "w_left", "part")
 
 
 def budgets(leaves: DataFrame, weights: dict[str, dict[str, int]], target: Column, max_epochs: int) -> DataFrame:
@@ -85,13 +91,15 @@ def _key(seed: int, epoch: Column) -> Column:
 
 def plan(slim: DataFrame, weights: dict[str, dict[str, int]], seed: int, share: float, max_epochs: int) -> DataFrame:
     """(doc_id, domain, lang, source, n_tokens) -> per leaf: tokens, budget, whole passes ``full``, and the last hash taken of the next."""
-    leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
+    # Hex digits of the hash ranges: 16^digits is about the root of the leaf's documents.
+    digits = F.greatest(F.lit(1), F.ceil(F.log(F.count("*").cast("double")) / (2 * math.log(16)))).cast("int")
+    leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), digits.alias("digits"))
     leaf = budgets(leaves, weights, F.floor(F.sum("tokens") * F.lit(share)), max_epochs)
     full = F.when(F.col("tokens") == 0, 1).otherwise(F.expr("budget div greatest(tokens, 1)")).cast("int")
     leaf = leaf.withColumn("full", full).withColumn("rest", F.when(F.col("tokens") == 0, 0).otherwise(F.col("budget") % F.greatest("tokens", F.lit(1))))
     leaf = table(leaf, "mix-leaves")
-    open_ = leaf.filter("rest > 0").select(*LEVELS, "full", "rest")
-    rows = slim.join(open_, list(LEVELS)).withColumn("key", _key(seed, F.col("full") + 1)).withColumn("range", F.substring("key", 1, _RANGE))
+    open_ = leaf.filter("rest > 0").select(*LEVELS, "full", "rest", "digits")
+    rows = slim.join(open_, list(LEVELS)).withColumn("key", _key(seed, F.col("full") + 1)).withColumn("range", F.substring("key", F.lit(1), F.col("digits")))
     sums = rows.groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("n"), F.max("rest").alias("rest"), F.max("key").alias("last"))
     along = Window.partitionBy(*LEVELS).orderBy("range")
     sums = table(sums.withColumn("after", F.sum("n").over(along)).withColumn("before", F.col("after") - F.col("n")), "mix-ranges")
@@ -140,8 +148,10 @@ o_{level} as (select *, coalesce(sum(cap) over (ord rows between unbounded prece
   (sum(w) over (grp) - coalesce(sum(w) over (ord rows between unbounded preceding and 1 preceding), 0))::hugeint as w_rest
   from c_{level} {using} window ord as ({part} order by cap / w, {level}), grp as ({part})),
 f_{level} as (select *, (budget - cap_before) * w >= cap * w_rest as filled from o_{level}),
-b_{level} as (select {cols}, (case when filled then cap else ((budget - coalesce(sum(case when filled then cap end) over (grp), 0)::hugeint) * w)
-  // (sum(case when not filled then w end) over (grp))::hugeint end)::hugeint as budget from f_{level} window grp as ({part}))"""
+l_{level} as (select *, (budget - coalesce(sum(case when filled then cap end) over (grp), 0))::hugeint as left_,
+  case when not filled then ((budget - coalesce(sum(case when filled then cap end) over (grp), 0)::hugeint) * w) // (sum(case when not filled then w end) over (grp))::hugeint end::hugeint as share_
+  from f_{level} window grp as ({part})),
+b_{level} as (select {cols}, (case when filled then cap else share_ + case when row_number() over ({part}{"," if part else "partition by"} filled order by {level}) <= left_ - sum(share_) over ({part}) then 1 else 0 end end)::hugeint as budget from l_{level})"""
         )
         above, up = below, f"b_{level}"
     return f"""with docs as (select doc_id, coalesce('domain' || (try_cast(nullif(regexp_extract(source, '([0-9]{{1,9}})$', 1), '') as bigint) % 4)::varchar, '') as domain,
