@@ -33,6 +33,15 @@ def test_against_brute_force(docs):
     assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept) for r in got) == want
 
 
+def test_method_rejects_what_the_base_rule_keeps(spark):
+    words = [f"w{i}" for i in range(300)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(words), " ".join([*words, passage, *words[:1], passage]), " ".join(words) + f"\n{passage}\n{passage}\n{passage}"]
+    got = repetition_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.base_failed for r in got] == [False] * 3 and [r.kept for r in got] == [True, False, False]
+    assert [brute(t)[-1] for t in texts] == [True, False, False]
+
+
 def test_empty_table_and_no_texts(empty):
     assert repetition_quality(empty).count() == 0
     assert measure([])["kept"].tolist() == []
