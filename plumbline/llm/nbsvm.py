@@ -6,12 +6,13 @@ its log-count ratio between the classes, each document to length one; a linear h
 model is fitted by dual coordinate descent, and its margins become probabilities by a
 logistic fit on held-back folds of the training rows.
 
-The model is fitted on at most ``MOST`` labelled rows, those with the smallest hash of their
-doc_id, in one task; only its weights (``SPACE`` numbers) go to the driver and to the
-executors. Scoring reads every text whole.
+The model is fitted on at most ``MOST`` labelled documents, those with the smallest hash of
+their doc_id, in one task, which gets their features (at most ``SPACE`` places each), not
+their texts; only its weights (``SPACE`` numbers) go to the driver and to the executors.
+Scoring reads every text whole.
 
-Null and empty texts have no features and get the score of the bias alone. Rows without
-label, with a null label or null doc_id, or whose document is missing don't train. Without
+Null and empty texts have no features and get the score of the bias alone. Of rows that repeat
+a doc_id the one with the smallest features trains. Rows with a null doc_id aren't held out. Rows without label, with a null label or null doc_id, or whose document is missing don't train. Without
 rows of both classes the score is the share of label 1, or 0.5 where there are none. Repeated
 rows score alike; an empty table gives no rows; other columns are not read.
 """
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import slices, texts_of, trim
+from plumbline.llm.shared import arrow_map, slices, texts_of, trim
 from plumbline.llm.words import Words, grams, mix
 
 SPACE, MOST, EPOCHS, COST, SMOOTH, FOLDS = 1 << 18, 4000, 8, 1.0, 1.0, 3
@@ -135,12 +136,15 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(texts: list[bytes], labels: np.ndarray) -> Model:
     """Fit on texts and their labels 0 or 1, in the order given."""
+    return _fit([at.astype(np.int32) for at in features(texts)], labels)
+
+
+def _fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     y = np.where(np.asarray(labels) == 1, 1.0, -1.0)
     if not len(y) or abs(y.sum()) == len(y):
         share = 0.5 if not len(y) else float((y > 0).mean())
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(SPACE, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
-    rows = [at.astype(np.int32) for at in features(texts)]
     counts = {s: np.full(SPACE, SMOOTH) for s in (1.0, -1.0)}
     for at, s in zip(rows, y, strict=True):
         counts[s][at] += 1
@@ -158,22 +162,25 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Model:
     return Model((w * ratio).astype(np.float32), bias, slope, offset)
 
 
+def _features(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+    found = [at.astype("<i4").tobytes() for at in features(texts)]
+    return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(found, pa.binary())], names=["doc_id", "label", "places"])
+
+
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ids, texts, labels = [], [], []
+    held: list[tuple[int, int, bytes]] = []
     for batch in batches:
-        ids += batch.column("doc_id").to_pylist()
-        texts += batch.column("text").cast(pa.binary()).to_pylist()
-        labels += batch.column("label").to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
-    m = fit([texts[i] for i in order], np.array([labels[i] for i in order]))
-    del ids, texts, labels
+        held += zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "places")), strict=True)
+    held.sort()
+    m = _fit([np.frombuffer(x, "<i4") for _, _, x in held], np.array([y for _, y, _ in held]))
+    del held
     trim()
     yield pa.RecordBatch.from_arrays([pa.array([m.weight.tobytes()]), *(pa.array([x]) for x in (m.bias, m.slope, m.offset))], names=["weight", "bias", "slope", "offset"])
 
 
 def held_out(doc_id: F.Column) -> F.Column:
     """Rows that never train: CRC-32 of the id as text is a multiple of 5."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST) -> Model:
@@ -181,8 +188,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # the bound that makes it fit to broadcast
-    joined = texts_of(docs).join(F.broadcast(sample), "doc_id").repartition(1)
-    got = joined.mapInArrow(_fit_rows, "weight binary, bias double, slope double, offset double").first()
+    found = arrow_map(texts_of(docs).join(F.broadcast(sample), "doc_id"), _features, "doc_id long, label int, places binary")
+    one = found.groupBy("doc_id", "label").agg(F.min("places").alias("places"))  # at most ``most`` rows
+    got = one.repartition(1).mapInArrow(_fit_rows, "weight binary, bias double, slope double, offset double").first()
     if got is None:
         return fit([], np.zeros(0))
     return Model(np.frombuffer(bytes(got["weight"]), np.float32), got["bias"], got["slope"], got["offset"])

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import nbsvm
 
@@ -68,3 +69,49 @@ def test_train_and_score(spark, docs, empty):
     assert scored.count() == docs.count() and scored.filter("score is null or score < 0 or score > 1").count() == 0
     assert nbsvm.with_score(empty.drop("score"), model).count() == 0
     assert nbsvm.train(empty, marks.limit(0)).score([b"x"])[0] == pytest.approx(0.5)
+
+
+def _mixed(x):
+    m = 2**64 - 1
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & m
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & m
+    return x ^ x >> 31
+
+
+def brute_places(text):
+    out = set()
+    for k in range(4):
+        for i in range(len(text) - k):
+            gram = int.from_bytes(text[i : i + k + 1], "little")
+            out.add(((gram * nbsvm._ODD[k] + k) * 0x9E3779B1) % 2**32 >> 14)
+    kind = lambda c: 5 if c > 127 else 1 if chr(c).islower() else 2 if chr(c).isupper() else 3 if chr(c).isdigit() else 4
+    words = text.split()
+    shape = [_mixed((min(len(w), 15) // 4 | kind(w[0]) << 4 | kind(w[-1]) << 8 | (i > 0 and words[i - 1] == w) << 12) + 1) for i, w in enumerate(words)]
+    for n in (1, 2, 3):
+        for i in range(len(shape) - n + 1):
+            acc = 0
+            for h in shape[i : i + n]:
+                acc = (acc * 0x9E3779B97F4A7C15 + h) % 2**64
+            out.add(_mixed(acc ^ n) >> 46)
+    return sorted(out)
+
+
+def test_features_and_scores_against_brute_force():
+    texts = [b"", b"a", "Some words, some Words ß 漢字 12 !!".encode(), b"the the the end. The END\nand more of it 3x"]
+    found = [x.tolist() for x in nbsvm.features(texts)]
+    assert found == [brute_places(t) for t in texts]
+    model = nbsvm.fit(*corpus(80, 4))
+    for t, p in zip(texts, model.score(texts), strict=True):
+        at = brute_places(t)
+        margin = sum(float(model.weight[i]) for i in at) / max(len(at), 1) ** 0.5 + model.bias
+        assert p == pytest.approx(1 / (1 + np.exp(-(model.slope * margin + model.offset))))
+
+
+def test_repeated_and_missing_ids(spark):
+    texts, labels = corpus(60, 5)
+    rows = [(i, t.decode(), int(y)) for i, (t, y) in enumerate(zip(texts, labels, strict=True))]
+    one = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    many = one.union(one).union(one)
+    a, b = (nbsvm.train(x.select("doc_id", "text"), one.select("doc_id", "quality")) for x in (one, many))
+    assert (a.weight == b.weight).all() and a.bias == b.bias
+    assert spark.sql("select cast(null as long) as i").select(nbsvm.held_out(F.col("i"))).first()[0] is False
