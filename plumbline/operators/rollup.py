@@ -92,3 +92,18 @@ def token_cost(calls: DataFrame, price_in: float, price_out: float) -> DataFrame
     """Tokens and their price over all calls. Prices are per million tokens."""
     cost = (F.sum("tok_in") * price_in + F.sum("tok_out") * price_out) / 1_000_000
     return calls.agg(F.count("*").alias("calls"), F.sum("tok_in").alias("tok_in"), F.sum("tok_out").alias("tok_out"), cost.alias("cost"))
+
+
+def names(rows: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """(by, names, n): the names of a group in order, as one text."""
+    return rows.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(name)), ", ").alias("names"), F.count("*").alias("n"))
+
+
+def inventory(services: DataFrame, containers: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(service, container, host): services on the containers of hosts."""
+    return services.join(containers, "container_id").join(hosts, "host_id").select("service", "container", "host")
+
+
+def scope_counts(rows: DataFrame, by: Sequence[str], **flags: Column) -> DataFrame:
+    """Rows of each scope, and how many of them have each flag."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), *(F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in flags.items()))

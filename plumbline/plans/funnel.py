@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import text as T
 from plumbline.functions.fts import full_text_match
 from plumbline.functions.lexicon import AUDIENCES
-from plumbline.operators import tier0
+from plumbline.operators import queues, tier0
 from plumbline.plans.registry import query, read
 
 PROBE = ["and the", "of the", "is and"]
@@ -90,7 +90,7 @@ def tier0_idempotent_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a second run over everything adds after a first over the even ids."""
     rows = kept(spark, sf_dir)
     first = rows.filter(F.col("source_id").cast("long") % 2 == 0)
-    return tier0.insert_new(first, rows, rows).select("source_id")
+    return tier0.insert_new(first, rows).select("source_id")
 
 
 _RANKED = f"""select doc_id::varchar as source_id, ((greatest({_SCORE}, 0) + 1) * n)::bigint as priority, row_number() over (order by (greatest({_SCORE}, 0) + 1) * n desc, doc_id::varchar) as place
@@ -147,7 +147,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = read(spark, sf_dir, "documents").filter("n_chars > 500").select("source")
     b = read(spark, sf_dir, "conversations").filter("length(text) > 50").select(F.col("role").alias("source"))
     c = read(spark, sf_dir, "pages").select(F.lit("page").alias("source"))
-    return a.unionByName(b).unionByName(c).groupBy("source").agg(F.count("*").alias("n"))
+    return queues.union_all([a, b, c]).groupBy("source").agg(F.count("*").alias("n"))
 
 
 @query()

@@ -116,10 +116,9 @@ def transcript_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("conv_id", F.array_join(F.transform("t", lambda s: s["text"]), " ").alias("transcript"))
 
 
-@query(r"select doc_id, case when length(t) <= 80 then t else regexp_replace(t[1:79], '\s?\S*$', '') || ' …' end as snippet from (select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as t from documents where lang = 'en')")
+@query(r"select doc_id, case when length(t) <= 80 then t else regexp_replace(substr(t, 1, 79), '[ \t\n\x0b\f\r]?[^ \t\n\x0b\f\r]*$', '') || ' …' end as snippet from (select doc_id, trim(regexp_replace(coalesce(text, ''), '[ \t\n\x0b\f\r]+', ' ', 'g'), ' ') as t from documents)")
 def text_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "documents").filter("lang = 'en'")
-    return d.select("doc_id", snippet(F.col("text"), 80).alias("snippet"))
+    return read(spark, sf_dir, "documents").select("doc_id", snippet(F.col("text"), 80).alias("snippet"))
 
 
 @query("select doc_id::varchar as ext_id, 'https://x.test/' || doc_id as url, source as title, case when doc_id % 2 = 0 then text else source end as body from documents where doc_id % 7 <> 0")

@@ -90,14 +90,16 @@ def pain_points_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select n_regionkey, string_agg(n_name, ', ' order by n_name) as names, count(*) as n from nation group by 1")
 def name_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ", ").alias("names"), F.count("*").alias("n"))
+    return rollup.names(read(spark, sf_dir, "nation"), ["n_regionkey"], "n_name")
 
 
 @query("select s_name as service, n_name as container, r_name as host from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
 def service_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventory view: services on containers on hosts."""
-    s, n, r = (read(spark, sf_dir, x) for x in ("supplier", "nation", "region"))
-    return s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]).select(F.col("s_name").alias("service"), F.col("n_name").alias("container"), F.col("r_name").alias("host"))
+    services = read(spark, sf_dir, "supplier").select(F.col("s_name").alias("service"), F.col("s_nationkey").alias("container_id"))
+    containers = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("container_id"), F.col("n_name").alias("container"), F.col("n_regionkey").alias("host_id"))
+    hosts = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("host_id"), F.col("r_name").alias("host"))
+    return rollup.inventory(services, containers, hosts)
 
 
 @query("select count(*) as calls, sum(user_id)::bigint as tok_in, sum(event_id)::bigint as tok_out, round((sum(user_id) * 0.2288 + sum(event_id) * 0.3432) / 1000000, 6) as cost from events")
@@ -108,7 +110,7 @@ def token_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select event_type, count(*) as n, sum(case when value > 50 then 1 else 0 end)::bigint as high from events group by 1")
 def scope_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.when(F.col("value") > 50, 1).otherwise(0)).cast("bigint").alias("high"))
+    return rollup.scope_counts(read(spark, sf_dir, "events"), ["event_type"], high=F.col("value") > 50)
 
 
 @query("select n.n_name as subreddit, r.r_name as keyword, 'New' as sort_by, 10 as num_of_posts from nation n cross join region r")

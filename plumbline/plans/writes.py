@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.operators import threads
+from plumbline.operators import queues, threads
 from plumbline.operators.rollup import resume_offsets as offsets
 from plumbline.operators.upsert import MERGE, NEW, OLD, RICHER, insert_ignore, last_wins, replace_stale, upsert
 from plumbline.plans.registry import query, read
@@ -66,11 +66,18 @@ def upsert_owner_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(a, batch(spark, sf_dir, 1).drop("props"), KEY, {"value": NEW}, OLD).select(*KEY, "value", "transcript")
 
 
-@query("select conv_id * 100 + turn as comment_id, case when turn > 0 then conv_id * 100 + turn - 1 end as parent_id, text from conversations where turn > 0")
+@query(
+    """with c as (select conv_id * 100 + turn as comment_id, conv_id * 100 + turn - 1 as parent, turn, text from conversations where turn > 0),
+    o as (select comment_id, case when turn % 2 = 1 then parent end as parent_id, 'old' as text from c where turn % 3 <> 2), b as (select comment_id, case when turn % 2 = 0 then parent end as parent_id, text from c where turn % 3 <> 1)
+    select comment_id, coalesce(b.parent_id, o.parent_id) as parent_id, coalesce(b.text, o.text) as text from o full join b using (comment_id)"""
+)
 def upsert_coalesce_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A later batch without parents keeps those known."""
-    c = comments(spark, sf_dir).select("comment_id", F.col("parent").alias("parent_id"), "text")
-    return upsert(c.withColumn("text", F.lit("old")), c.withColumn("parent_id", F.lit(None).cast("long")), ["comment_id"], {"text": NEW, "parent_id": RICHER})
+    """A batch that overlaps the table: its texts win, and parents that it doesn't know stay."""
+    c = comments(spark, sf_dir).select("comment_id", F.col("parent").alias("parent_id"), "text", "turn")
+    known = lambda odd: F.when(F.col("turn") % 2 == odd, F.col("parent_id")).alias("parent_id")
+    old = c.filter("turn % 3 <> 2").select("comment_id", known(1), F.lit("old").alias("text"))
+    new = c.filter("turn % 3 <> 1").select("comment_id", known(0), "text")
+    return upsert(old, new, ["comment_id"], {"text": NEW, "parent_id": RICHER})
 
 
 @query(_BATCHES + "select event_type, user_id, coalesce(i2, i1) as event_id, coalesce(t2, t1) as ts, coalesce(v2, v1) as value, coalesce(p2, p1) as props from m")
@@ -92,12 +99,17 @@ def report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(first, last_wins(r, key, ["seq"]).select(*key, "revenue"), key, {"revenue": NEW}).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
-@query("select c_custkey as problem_statement_id, 'new' as title, (c_custkey % 5)::bigint as sub_score, (c_custkey % 7)::bigint as final_score from customer")
+@query(
+    """with o as (select c_custkey as k from customer where c_custkey % 5 <> 0), b as (select c_custkey as k from customer where c_custkey % 3 <> 0)
+    select coalesce(o.k, b.k) as problem_statement_id, case when b.k is null then 'old' else 'new' end as title, case when o.k is null then 9 else o.k % 5 end::bigint as sub_score, case when b.k is null then 0 else b.k % 7 end::bigint as final_score from o full join b on o.k = b.k"""
+)
 def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rerun updates the title and the final score; sub-scores stay as first written."""
-    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("problem_statement_id"), (F.col("c_custkey") % 5).alias("sub_score"), (F.col("c_custkey") % 7).alias("final_score"))
-    old = c.withColumn("title", F.lit("old")).withColumn("final_score", F.lit(0).cast("bigint"))
-    return upsert(old, c.withColumn("title", F.lit("new")).withColumn("sub_score", F.lit(9).cast("bigint")), ["problem_statement_id"], {"title": NEW, "final_score": NEW}).select("problem_statement_id", "title", "sub_score", "final_score")
+    """A rerun over some rows updates their title and final score; sub-scores stay as first written."""
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("problem_statement_id"))
+    k, number = F.col("problem_statement_id"), lambda c: c.cast("bigint")
+    old = c.filter(k % 5 != 0).select(k, F.lit("old").alias("title"), number(k % 5).alias("sub_score"), number(F.lit(0)).alias("final_score"))
+    new = c.filter(k % 3 != 0).select(k, F.lit("new").alias("title"), number(F.lit(9)).alias("sub_score"), number(k % 7).alias("final_score"))
+    return upsert(old, new, ["problem_statement_id"], {"title": NEW, "final_score": NEW})
 
 
 @query("select c_custkey as cluster_key from customer where c_custkey in (select o_custkey from orders where o_custkey is not null)")
@@ -110,7 +122,7 @@ def stale_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mark_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run still has to process: documents without a processed key."""
     d = read(spark, sf_dir, "documents").filter(F.char_length("text") > 40).select("doc_id")
-    return d.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+    return queues.unprocessed(d, read(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("select vec_id, case when label < 5 then vec_id % 7 when vec_id % 2 = 0 then 100 + label end as cluster_id from embeddings")
@@ -127,7 +139,7 @@ def reset_reassign(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seen_keys_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
     seen = read(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == 0).select(F.col("c_custkey").alias("user_id"))
-    return e.join(seen, "user_id", "left_anti").groupBy(F.col("event_type").alias("source")).agg(F.count("*").alias("n"))
+    return queues.unprocessed(e, seen, "user_id").groupBy(F.col("event_type").alias("source")).agg(F.count("*").alias("n"))
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
