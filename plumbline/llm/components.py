@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import table
+from plumbline.llm.shared import drop, table
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def stars(edges: DataFrame) -> DataFrame:
     now = table(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     while True:
-        now = table(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        before, now = now, table(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        drop(before)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == tuple(seen):
             return now

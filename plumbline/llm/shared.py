@@ -19,9 +19,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset."""
+    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset, on one machine."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("plumbline.scratch", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("plumbline.scratch", root)
     return root.rstrip("/")
@@ -39,17 +41,30 @@ def table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``table`` made, as soon as what was made of them is a table itself."""
+    for df in tables:
+        _delete(df.sparkSession, df._scratch)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    if (spark, path) in _written:
+        _written.remove((spark, path))
 
 
 @atexit.register
 def release() -> None:
     """Delete the intermediate tables of this process."""
     while _written:
-        spark, path = _written.pop()
         try:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(*_written[-1])
         except Exception:  # the session has gone already; the folder belongs to the cluster
             return
 
@@ -67,6 +82,17 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+#: Text bytes of a range of rows: the least, and the most however large the table is.
+LEAST_BYTES, MOST_BYTES, RANGES = 4 << 20, 64 << 20, 50_000
+
+
+def range_count(texts: DataFrame, column: str = "text") -> int:
+    """In how many ranges of rows a table is dealt out, by the bytes of its texts; a small table gives each core one."""
+    size = texts.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    each = min(max(size // RANGES, LEAST_BYTES), MOST_BYTES)
+    return max(1, -(-size // each), min(texts.sparkSession.sparkContext.defaultParallelism, -(-size // (1 << 16))))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut batches into runs of rows with about ``most`` bytes of text each; texts come as UTF-8 bytes."""
     for batch in batches:

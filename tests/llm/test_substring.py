@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from plumbline.llm import substring as S
 
 
@@ -49,12 +51,26 @@ def test_shared_passages(spark):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
-def test_anchors_of_many_contexts_go_by_their_windows(spark, monkeypatch):
-    monkeypatch.setattr(S, "HOT", 2)
+@pytest.mark.parametrize("hot", [2, 12])
+def test_anchors_of_many_contexts_are_folded_and_go_by_their_windows(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "HOT", hot)
     rows = mixed(4, 50)
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [2, 500])
+def test_rows_that_repeat_a_doc_id_with_other_texts(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "HOT", hot)
+    rows = [(i % 12, t) for i, t in mixed(5, 40)]
+    rows += rows[:3]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)) == brute(rows)
+
+
+def test_one_word_over_and_over(spark):
+    rows = [(1, "a " * 900), (2, "b " * 60 + "a " * 700), (3, "a b " * 300), (4, "b " * 55 + "a b " * 90)]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_automaton_matches_like_search():
     rng = random.Random(2)
     for _ in range(200):
