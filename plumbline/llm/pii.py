@@ -7,20 +7,20 @@ base spans. Over all documents, with c an entity and t a term,
 
     disclosure(c, t) = PMI(c, t) / IC(c) = log(N n(c,t) / (n(c) n(t))) / log(N / n(c))
 
-which is 1 when t only ever occurs with c. A pair counts when the term was seen with it in
-``SUPPORT`` different surroundings or more (its ``REACH`` terms on either side, where it stands
-first in a document), so copies of one passage are no evidence. Most values are
-too rare for that, so c is also each class that a value belongs to: the name and the domain
-of an e-mail, the network of an IP, the issuer of a card, the prefix of a phone, and the
-kind itself. Classes are common, so there a pair needs so many surroundings that chance
+which is 1 when t only ever occurs with c. A pair counts when ``SUPPORT`` different texts or
+more have both, so exact copies of one text are no evidence and near copies are. Most values
+are too rare for that, so c is also each class that a value belongs to: the name and the
+domain of an e-mail, the network of an IP, the issuer of a card, the prefix of a phone, and
+the kind itself. Classes are common, so there a pair needs so many texts that chance
 gives them with probability ``CHANCE`` at most. The highest disclosure counts. From
 ``GENERALISE`` on the term is replaced by its kind, from ``REMOVE`` on it is removed, wherever it
 stands in the documents that hold its entity.
 
 Null and empty texts have no spans. Statistics are over documents (rows by doc_id); rows with
-a null doc_id are searched for base spans but give no statistics and no terms. Of rows that
-repeat a doc_id each keeps its own base spans; terms go by doc_id. An empty table gives no
-rows; other columns are kept by ``sanitise`` and not read by the rest.
+a null doc_id are searched for base spans but give no statistics and no terms. Rows that
+repeat a doc_id are one document, which holds the entities of all of them; each row keeps its
+own base spans and terms. An empty table gives no rows; other columns are kept by
+``sanitise`` and not read by the rest.
 """
 
 from __future__ import annotations
@@ -34,11 +34,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import arrow_map, slices, spare, table, texts_of, trim
-from plumbline.llm.words import Words, covered, grams, span_hashes
+from plumbline.llm.shared import arrow_map, drop, slices, spare, table, texts_of, trim
+from plumbline.llm.words import Words, covered, span_hashes
 
 KINDS = ("email", "ip", "card", "phone")
-REACH, SUPPORT, GENERALISE, REMOVE, LEAST = 10, 3, 0.7, 0.9, 3
+SUPPORT, GENERALISE, REMOVE = 2, 0.7, 0.9
 CHANCE = 1e-4
 _BITS = 24
 _HELD = 1 << 20
@@ -139,12 +139,17 @@ def _find(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
     rows = [[{"entity": next(entity), "wide": wide} for _, wide in row] for row in held]
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
     of = pa.list_(pa.struct([("entity", pa.int64()), ("wide", pa.bool_())]))
-    return pa.RecordBatch.from_arrays([part.column(0), pa.array(found, span), pa.array(rows, of), pa.array(kept, pa.string())], names=["doc_id", "base", "of", "text"])
+    return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(found, span), pa.array(rows, of), pa.array(kept, pa.string())], names=["doc_id", "row", "base", "of", "text"])
+
+
+def row_of(text: F.Column) -> F.Column:
+    """What tells rows of one doc_id apart, and texts from their copies."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
     """Per row: its base spans, the entities that they are or belong to, and the text where there are any."""
-    return arrow_map(texts_of(docs), _find, f"doc_id long, base {_SPAN}, of {_OF}, text string")
+    return arrow_map(texts_of(docs).withColumn("row", row_of(F.col("text"))), _find, f"doc_id long, row long, base {_SPAN}, of {_OF}, text string")
 
 
 class _Outside:
@@ -161,27 +166,22 @@ class _Outside:
         low, high = (spans.field(f).to_numpy() + first[which] for f in ("start", "stop"))
         inside = np.concatenate(([0], np.cumsum(covered(int(point[-1]), low, high - low))))
         start, stop = point[w.start], point[w.end]
-        self.at = np.flatnonzero((w.end - w.start >= LEAST) & (inside[stop] == inside[start]))
+        self.at = np.flatnonzero(inside[stop] == inside[start])
         self.hash = w.hashes()
         self.start, self.stop = start - first[w.doc], stop - first[w.doc]
 
 
 def _terms(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
-    """Each term of a text once, with its surroundings where it stands first."""
+    """Each term of a text once."""
     o = _Outside(part, texts)
-    w, at = o.words, o.at
-    if not len(at):
+    if not len(o.at):
         return None
-    # REACH places without a word part the texts, so that no window sees another text.
-    place = np.arange(len(w.start)) + REACH * (w.doc + 1)
-    row = np.zeros(len(w.start) + REACH * (len(texts) + 1), np.uint64)
-    row[place] = o.hash
-    around = grams(row, 2 * REACH + 1)[place[at] - REACH]
-    order = np.lexsort((at, o.hash[at], w.doc[at]))
-    h, d = o.hash[at][order], w.doc[at][order]
-    once = order[np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))]
-    ids = part.column(0).take(pa.array(w.doc[at[once]]))
-    return pa.RecordBatch.from_arrays([ids, pa.array(o.hash[at[once]].view(np.int64)), pa.array(around[once].view(np.int64))], names=["doc_id", "term", "around"])
+    h, d = o.hash[o.at], o.words.doc[o.at]
+    order = np.lexsort((h, d))
+    h, d = h[order], d[order]
+    once = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))
+    ids, rows = (part.column(c).take(pa.array(d[once])) for c in ("doc_id", "row"))
+    return pa.RecordBatch.from_arrays([ids, rows, pa.array(h[once].view(np.int64))], names=["doc_id", "row", "term"])
 
 
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -194,8 +194,8 @@ def _places(bits: np.ndarray, part: pa.RecordBatch, texts: list[bytes]) -> pa.Re
     """Every place of the terms whose bit is set."""
     o = _Outside(part, texts)
     at = o.at[_has(bits, o.hash[o.at])]
-    ids = part.column(0).take(pa.array(o.words.doc[at]))
-    return pa.RecordBatch.from_arrays([ids, pa.array(o.hash[at].view(np.int64)), pa.array(o.start[at].astype(np.int32)), pa.array(o.stop[at].astype(np.int32))], names=["doc_id", "term", "start", "stop"])
+    ids, rows = (part.column(c).take(pa.array(o.words.doc[at])) for c in ("doc_id", "row"))
+    return pa.RecordBatch.from_arrays([ids, rows, pa.array(o.hash[at].view(np.int64)), pa.array(o.start[at].astype(np.int32)), pa.array(o.stop[at].astype(np.int32))], names=["doc_id", "row", "term", "start", "stop"])
 
 
 def _summed(term: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +249,7 @@ def _bitmap(terms: DataFrame) -> np.ndarray:
 
 
 def needed(n_class: F.Column, n: float) -> F.Column:
-    """Surroundings that a term would share with a class of ``n_class`` among ``n`` documents by chance ``CHANCE`` at most."""
+    """Texts that a term would share with a class of ``n_class`` among ``n`` documents by chance ``CHANCE`` at most."""
     return F.greatest(F.lit(SUPPORT).cast("long"), F.ceil(F.log(F.lit(CHANCE)) / F.log(n_class / F.lit(n))))
 
 
@@ -277,33 +277,35 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     sizes = table(sizes.withColumn("least", least * (1 - 1e-9)).withColumn("most", F.col("n_entity") / F.col("least")), "pii-entities")
     bound = sizes.agg(F.min("least"), F.max("most")).first()
     least, most = bound[0] or 1.0, bound[1] or 0.0
-    words = table(arrow_map(_holders(found).select("doc_id", "base", "text"), _terms, "doc_id long, term long, around long"), "pii-words")
-    often = words.groupBy("term").agg(F.count_distinct("around").alias("n"), F.count("*").alias("held")).filter(F.col("n") >= SUPPORT)
+    words = table(arrow_map(_holders(found).select("doc_id", "row", "base", "text"), _terms, "doc_id long, row long, term long"), "pii-words")
+    often = words.groupBy("term").agg(F.count_distinct("row").alias("n"), F.count("*").alias("held")).filter(F.col("n") >= SUPPORT)
     often = table(often.select("term", "held"), "pii-terms-held")
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(often))
     counts = ids.mapInArrow(lambda batches: _term_counts(bits.value, batches), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     # Where rows repeat a doc_id the count of a term may exceed its documents, which lowers the disclosure.
     rare = often.join(counts, "term").filter(F.col("n_term").between(SUPPORT, most) & (F.col("held") >= F.col("n_term") * least))
     near = words.join(rare, "term").join(members.join(sizes, "entity"), "doc_id").filter("n_term <= most and held >= n_term * least")
-    joint = near.groupBy("entity", "wide", "term", "n_entity", "n_term").agg(F.count_distinct("around").alias("support"), F.count_distinct("doc_id").alias("both"))
+    joint = near.groupBy("entity", "wide", "term", "n_entity", "n_term").agg(F.count_distinct("row").alias("support"), F.count_distinct("doc_id").alias("both"))
     joint = joint.filter((F.col("support") >= SUPPORT) & (~F.col("wide") | (F.col("support") >= needed(F.col("n_entity"), n))))
     share = F.log(F.lit(n) * F.col("both") / (F.col("n_entity") * F.greatest("n_term", "both"))) / F.log(F.lit(n) / F.col("n_entity"))
-    return joint.select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE)
+    flagged = table(joint.select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE), "pii-flagged")
+    drop(sizes, words, often)
+    return flagged
 
 
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, terms): every place of a disclosing term in the documents of its entity, with its disclosure, by start."""
-    flagged = table(disclosing_terms(docs, found), "pii-flagged")
+    """(doc_id, row, terms): every place of a disclosing term in the documents of its entity, with its disclosure, by start."""
+    flagged = disclosing_terms(docs, found)
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(flagged))
-    places = arrow_map(_holders(found).select("doc_id", "base", "text"), lambda part, texts: _places(bits.value, part, texts), "doc_id long, term long, start int, stop int")
-    hit = places.join(_members(found), "doc_id").join(flagged, ["entity", "term"]).groupBy("doc_id", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
-    return hit.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "disclosure"))).alias("terms"))
+    places = arrow_map(_holders(found).select("doc_id", "row", "base", "text"), lambda part, texts: _places(bits.value, part, texts), "doc_id long, row long, term long, start int, stop int")
+    hit = places.join(_members(found), "doc_id").join(flagged, ["entity", "term"]).groupBy("doc_id", "row", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
+    return hit.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "disclosure"))).alias("terms"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, ``base`` spans, and ``terms`` that disclose an entity near them."""
+    """Per row: doc_id, ``base`` spans, and ``terms`` that disclose an entity of the document."""
     found = table(find_entities(docs), "pii-found")
-    return found.select("doc_id", "base").join(term_spans(docs, found), "doc_id", "left")
+    return found.select("doc_id", "row", "base").join(term_spans(docs, found), ["doc_id", "row"], "left").drop("row")
 
 
 def listed(spans: F.Column) -> F.Column:
@@ -326,15 +328,15 @@ def _replaced(text: str, terms: list[dict]) -> str:
 
 def sanitise(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with personal data replaced in the text; a null text stays null, other columns stay as they are."""
-    found = table(find_entities(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))), "pii-found")
-    terms = table(term_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), found), "pii-terms")
-    of, listed_terms = spare(docs, "of"), spare(docs, "terms")
-    terms = terms.select(F.col("doc_id").alias(of), F.col("terms").alias(listed_terms))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = table(find_entities(slim), "pii-found")
+    of, row, own = spare(docs, "of"), spare(docs, "row"), spare(docs, "terms")
+    terms = table(term_spans(slim, found), "pii-terms").select(F.col("doc_id").alias(of), F.col("row").alias(row), F.col("terms").alias(own))
 
     @F.arrow_udf("string")
     def clean(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, spans in batches:
             yield pa.array([None if t is None else _replaced(t, s or []) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
-    joined = docs.join(terms, docs[id_col].cast("long") == terms[of], "left")
-    return joined.select(*(clean(docs[c].cast("string"), terms[listed_terms]).alias(c) if c == text_col else docs[c] for c in docs.columns))
+    joined = docs.join(terms, (docs[id_col].cast("long") == terms[of]) & (row_of(docs[text_col]) == terms[row]), "left")
+    return joined.select(*(clean(docs[c].cast("string"), terms[own]).alias(c) if c == text_col else docs[c] for c in docs.columns))
