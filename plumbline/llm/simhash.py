@@ -4,7 +4,9 @@ Fingerprints are cut into blocks; two that differ in at most ``DISTANCE`` bits a
 but ``DISTANCE`` blocks, so they meet under one of the keys made of the blocks left over.
 Every pair that meets is verified by its Hamming distance. Inside one key's bucket a
 breadth-first search over the distinct fingerprints keeps a spanning forest of the true
-links, so copies never become pairs and no link between different texts is lost.
+links, so copies never become pairs and no link between different texts is lost. A bucket
+of more than ``MOST`` fingerprints is dealt out again: of the bits that its key leaves open
+further blocks are cut, and the same rule holds for them.
 
 Null and empty texts have fingerprint zero, linked like any other; texts under four words
 hash the whole sequence. Repeated rows share a fingerprint and hence a component. An empty
@@ -26,6 +28,8 @@ from plumbline.llm.components import stars
 from plumbline.llm.shared import arrow_map, spare, table, texts_of
 
 WIDTH, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
+#: Distinct fingerprints of a bucket, and how often a larger one is dealt out again. Any values find every link.
+MOST, DEPTH = 20_000, 2
 #: Bits are counted over this many shingles at a time, to bound memory on long texts.
 _STEP = 4096
 
@@ -66,11 +70,11 @@ def blocks_for(n: int) -> int:
     return next((m for m in (6, 7, 8) if n <= 4 << (WIDTH * (m - DISTANCE) // m)), 8)
 
 
-def block_masks(m: int) -> list[int]:
-    """The bits of each key: every choice of m - DISTANCE of the m blocks."""
-    cut = [WIDTH * i // m for i in range(m + 1)]
-    block = [(1 << b) - (1 << a) for a, b in zip(cut, cut[1:], strict=False)]
-    return [sum(x) for x in combinations(block, m - DISTANCE)]
+def block_masks(m: int, given: int = 0) -> list[int]:
+    """The bits of each key: every choice of m - DISTANCE of the m blocks that the bits not ``given`` make, and the given ones."""
+    free = [i for i in range(WIDTH) if not given >> i & 1]
+    block = [sum(1 << i for i in free[len(free) * j // m : len(free) * (j + 1) // m]) for j in range(m)]
+    return [given | sum(x) for x in combinations(block, m - DISTANCE)]
 
 
 def _signed(x: int) -> int:
@@ -116,27 +120,49 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = rep[np.concatenate(a)], rep[np.concatenate(b)]
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["u", "v"])
 
-    held = None
+    held: list[list[np.ndarray]] = []  # parts of the bucket that isn't known to be whole
+    last = None
     for batch in batches:
         now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
         now[2] = now[2].view(np.uint64)
-        held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-        if not len(held[0]):
+        k, key = now[:2]
+        if not len(k):
             continue
-        k, key = held[:2]
-        last = int(np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (key[1:] != key[:-1]))))[-1])
-        if last:
-            yield solve(*(x[:last] for x in held))
-            held = [x[last:] for x in held]
-    if held is not None and len(held[0]):
-        yield solve(*held)
+        edge = np.flatnonzero(np.append(last is not None and last != (k[0], key[0]), (k[1:] != k[:-1]) | (key[1:] != key[:-1])))
+        if len(edge):
+            whole = [*held, [x[: edge[-1]] for x in now]]
+            yield solve(*map(np.concatenate, zip(*whole, strict=True)))
+            held = []
+        held.append([x[edge[-1] if len(edge) else 0 :] for x in now])
+        last = (k[-1], key[-1])
+    if held:
+        yield solve(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def _keyed(fp: F.Column, masks: F.Column, first: F.Column) -> F.Column:
+    """An array of (k, key), one for each mask."""
+    return F.transform(masks, lambda m, i: F.struct((first + i).cast("long").alias("k"), fp.bitwiseAND(m).alias("key")))
 
 
 def near_links(fps: DataFrame) -> DataFrame:
     """Distinct (fp, rep) -> links (u, v) between reps that span the groups of near fingerprints."""
-    masks = block_masks(blocks_for(fps.count()))
-    keys = F.explode(F.array(*(F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks))))
-    rows = fps.select(keys.alias("x"), "fp", "rep").select("x.k", "x.key", "fp", "rep")
+    m = blocks_for(fps.count())
+    masks = [block_masks(m)]  # by k
+    rows = fps.select(F.explode(_keyed(F.col("fp"), F.array(*(F.lit(_signed(x)) for x in masks[0])), F.lit(0))).alias("x"), "fp", "rep").select("x.*", "fp", "rep")
+    done = None
+    level = masks[0]
+    for depth in range(DEPTH):
+        large = table(rows.groupBy("k", "key").agg(F.count("*").alias("n")).filter(F.col("n") > MOST).select("k", "key"), "large-buckets")
+        if large.isEmpty():
+            break
+        small = rows.join(large, ["k", "key"], "left_anti")
+        done = small if done is None else done.unionByName(small)
+        finer = [block_masks(6, x) for x in level]
+        of = F.get(F.array(*(F.array(*(F.lit(_signed(y)) for y in x)) for x in finer)), (F.col("k") % 1_000_000).cast("int"))
+        first = F.lit((depth + 1) * 1_000_000) + F.col("k") % 1_000_000 * len(finer[0])
+        again = rows.join(large, ["k", "key"], "left_semi").select(F.explode(_keyed(F.col("fp"), of, first)).alias("x"), "fp", "rep")
+        rows, level = table(again.select("x.*", "fp", "rep"), "dealt-again"), [y for x in finer for y in x]
+    rows = rows if done is None else done.unionByName(rows)
     return rows.repartition("k", "key").sortWithinPartitions("k", "key").mapInArrow(_links, "u long, v long")
 
 

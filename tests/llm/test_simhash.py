@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from plumbline.llm import simhash as S
@@ -37,13 +38,17 @@ def test_fingerprints_and_components(docs):
     assert kept == {i for i, c in components(fps).items() if i == c} | {None}
 
 
-def test_links_of_random_and_near_fingerprints(spark):
+@pytest.mark.parametrize("most", [2, 20_000])
+def test_links_of_random_and_near_fingerprints(spark, monkeypatch, most):
+    monkeypatch.setattr(S, "MOST", most)
     rng = random.Random(5)
     fps = {}
     for i in range(0, 600, 3):  # chains: each at most four bits from the one before
         fps[i] = rng.getrandbits(64)
         fps[i + 1] = fps[i] ^ sum(1 << b for b in rng.sample(range(64), 4))
         fps[i + 2] = fps[i + 1] ^ sum(1 << b for b in rng.sample(range(64), rng.choice([3, 4, 5])))
+    for i in range(600, 800):  # a full bucket of unlike ones, as short texts make
+        fps[i] = rng.getrandbits(40)
     rows = [(S._signed(f), i) for i, f in fps.items()]
     links = S.near_links(spark.createDataFrame(rows, "fp long, rep long"))
     label = dict.fromkeys(fps)
@@ -59,6 +64,8 @@ def test_every_choice_of_blocks_meets_each_close_pair():
         for _ in range(200):
             d = sum(1 << b for b in rng.sample(range(64), 4))
             assert any(d & x == 0 for x in masks)
+            given = next(x for x in masks if d & x == 0)
+            assert any(d & x == 0 and x & given == given and x != given for x in S.block_masks(6, given))
 
 
 def test_forest_spans_dense_groups():
