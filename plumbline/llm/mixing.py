@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import spare, table
+from plumbline.llm.shared import drop, spare, table
 
 LEVELS = ("domain", "lang", "source")
 _BIG = "decimal(38,0)"
@@ -108,7 +108,9 @@ def plan(slim: DataFrame, weights: dict[str, dict[str, int]], seed: int, share:
     inside = rows.join(cut, [*LEVELS, "range"]).withColumn("upto", F.col("before") + F.sum("n_tokens").over(Window.partitionBy(*LEVELS, "range").orderBy("key")))
     lasts = inside.filter("upto <= rest").select(*LEVELS, F.col("key").alias("last")).unionByName(sums.filter("after <= rest").select(*LEVELS, "last"))
     lasts = lasts.groupBy(*LEVELS).agg(F.max("last").alias("last"))
-    return table(leaf.join(lasts, list(LEVELS), "left"), "mix-plan")
+    out = table(leaf.join(lasts, list(LEVELS), "left"), "mix-plan")
+    drop(leaf, sums)
+    return out
 
 
 def mix(docs: DataFrame, weights: dict[str, dict[str, int]], seed: int = 0, share: float = 1.0, max_epochs: int = 2, domain: Column | None = None, with_leaf: bool = False) -> DataFrame:
