@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from plumbline.llm import mixing, nbsvm, pii, simhash
 from plumbline.llm.lattice import SLICE
 from plumbline.llm.queries import MIX, SEED, WEIGHTS
-from plumbline.llm.shared import arrow_map, spare, table
+from plumbline.llm.shared import arrow_map, drop, spare, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +77,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for i, (_, stage) in enumerate(STAGES):
         docs = table(stage(spark, docs, sf_dir), f"stage-{i}")
+        drop(*before)
+        before = [docs]
     return docs
