@@ -183,6 +183,31 @@ def source_reddit_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("reddit_id", "post_reddit_id", "parent_reddit_id", "author", "body", "score", F.unix_timestamp("created_utc").alias("created"))
 
 
+def _submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    post = _json(id=F.concat(F.lit("p"), _text()), subreddit=F.col("p_brand"), title=F.col("p_name"), selftext=F.when(_k() % 2 == 0, F.col("p_type")).otherwise(""), author=F.when(_k() % 5 != 0, F.lit("u")), score=F.col("p_size"), upvote_ratio=F.lit(0.5), num_comments=F.lit(2), url=F.concat(F.lit("https://x.test/"), _text()), link_flair_text=F.lit("f"), created_utc=1700000000 + _k())
+    first = _json(id=F.concat(F.lit("c"), _text()), parent_id=F.concat(F.lit("t3_p"), _text()), body=F.col("p_type"), author=F.lit("a"), score=F.col("p_size"), depth=F.lit(0), all_awardings=F.when(_k() % 2 == 0, F.array(F.lit("x"), F.lit("y"))), created_utc=1700000000 + _k())
+    second = _json(id=F.concat(F.lit("d"), _text()), parent_id=F.concat(F.lit("t1_c"), _text()), body=F.col("p_brand"), score=F.col("p_size") + 1, depth=F.lit(1), all_awardings=F.array().cast("array<string>"), created_utc=1700000001 + _k())
+    item = F.concat(post, F.lit(',"comments":['), first, F.lit(","), second, F.lit("]"))
+    return _raw(spark, sf_dir, '{"submission":', item, "}")
+
+
+@query(
+    """select 'p' || p_partkey as reddit_id, p_brand as subreddit, p_name as title, case when p_partkey % 2 = 0 then p_type end as selftext, case when p_partkey % 5 = 0 then 'None' else 'u' end as author, p_size::bigint as score, 0.5::double as upvote_ratio, 'f' as flair, 1700000000 + p_partkey as created from part"""
+)
+def source_legacy_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions of the older worker."""
+    return feeds.legacy_posts(_submissions(spark, sf_dir)).select("reddit_id", "subreddit", "title", "selftext", "author", "score", "upvote_ratio", "flair", F.unix_timestamp("created_utc").alias("created"))
+
+
+@query(
+    """select 'p' || p_partkey as post_reddit_id, 'c' || p_partkey as reddit_id, 'p' || p_partkey as parent_reddit_id, p_type as body, 'a' as author, p_size::bigint as score, 0 as depth, case when p_partkey % 2 = 0 then 2 else 0 end as awards from part
+    union all select 'p' || p_partkey, 'd' || p_partkey, 'c' || p_partkey, p_brand, 'None', p_size + 1, 1, 0 from part"""
+)
+def source_legacy_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment trees of the older worker, with depth and awards."""
+    return feeds.legacy_comments(_submissions(spark, sf_dir)).drop("created_utc")
+
+
 @query(
     """select 'v' || p_partkey as video_id, case when p_partkey % 2 = 0 then 'UC' || p_partkey else '@' || p_partkey end as channel_id, p_name as title, p_type as description, p_size::bigint as duration_sec, (p_size * 100)::bigint as view_count,
     case when p_partkey % 4 <> 0 then p_size end::bigint as like_count, case when p_partkey % 3 = 0 then 1700000000 + p_partkey else 1704067200 end as published, '["a","b"]' as tags, 0 as n_heavy from part where p_partkey % 9 <> 0"""

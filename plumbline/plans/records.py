@@ -130,3 +130,16 @@ def map_feed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = F.to_json(F.struct(F.when(i % 7 != 0, i.cast("string")).alias("objectID"), F.concat(F.lit("https://x.test/"), i.cast("string")).alias("url"), F.col("source").alias("title"), F.when(i % 2 == 0, F.col("text")).alias("story_text")))
     raw = read(spark, sf_dir, "documents").select(F.concat(F.lit('{"hits":['), hit, F.lit("]}")).alias("payload"))
     return FEEDS["hackernews"].rows(raw).select("ext_id", "url", "title", "body")
+
+
+@query("select page_id, list_filter(string_split(rtrim(url, '/'), '/'), lambda x: true)[-1] as handle from pages")
+def url_handles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last part of each page's address."""
+    return read(spark, sf_dir, "pages").select("page_id", htmlx.last_part(F.col("url")).alias("handle"))
+
+
+@query(f"select c_custkey as problem_statement_id, substr(c_name, 1, 200) as title, c_name as statement, 'ecom' as icp, ok as saturation_ok, wedge::double as wedge_score, wave::double as wave_score, edge::double as edge_score, '' as bear_case, 'bulk' as validated_by, 'scored' as status from (select *, least(5, c_custkey % 6) as wedge_, {_SCORES} from customer)")
+def opportunity_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An opportunity's row as it is written."""
+    got = S.opportunities(verdicts(spark, sf_dir), judge="bulk")
+    return got.select("problem_statement_id", "title", "statement", "icp", "saturation_ok", *(F.col(c).cast("double").alias(c) for c in ("wedge_score", "wave_score", "edge_score")), "bear_case", "validated_by", "status")

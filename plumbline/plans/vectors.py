@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.vectors import truncate
 from plumbline.operators import cluster, neighbors
-from plumbline.plans.registry import query, read
+from plumbline.plans.registry import ORACLES, query, read
 from plumbline.session import cut
 
 NEAR = 0.60
@@ -49,6 +49,18 @@ def fold_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbors.fold(e, neighbors.exact_pairs(e, NEAR))
 
 
+@query(
+    f"""select vec_id, case when vec_id = seed then total else own end::bigint as dup_count, vec_id <> seed as is_duplicate, true as deduped
+    from (select id as vec_id, seed, id % 3 + 1 as own, sum(id % 3 + 1) over (partition by seed) as total from ({ORACLES["fold_dedup"]}))"""
+)
+def folded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds take the copies of their members, members are marked."""
+    e = read(spark, sf_dir, "embeddings")
+    folded = neighbors.fold(e, neighbors.exact_pairs(e, NEAR))
+    rows = e.select("vec_id", (F.col("vec_id") % 3 + 1).alias("dup_count"))
+    return neighbors.fold_counts(rows, folded).select("vec_id", F.col("dup_count").cast("bigint").alias("dup_count"), "is_duplicate", "deduped")
+
+
 @query("select vec_id as id, dense_rank() over (order by bucket, first_id) - 1 as cluster_id from (select vec_id, bucket, min(vec_id) over (partition by bucket, local) as first_id from (select vec_id, vec_id % 5 as bucket, label as local from embeddings) where local <> 3)")
 def relabel_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense labels over (bucket, first appearance); noise stays out."""
@@ -93,3 +105,12 @@ def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.sources.embedder import embed
 
     return embed(read(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"), dims=256, most_chars=None).select("doc_id", F.size("embedding").alias("dims"), "embedding")
+
+
+@query()
+def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older stage: documents with a body of more than 30 characters, by the first 2000 of title and body, 768 values."""
+    from plumbline.sources.embedder import embed
+
+    d = read(spark, sf_dir, "documents").filter(F.char_length("text") > 30).select("doc_id", F.concat_ws(". ", "source", "text").alias("text"))
+    return embed(d, F.col("text"), dims=768, most_chars=2000).select("doc_id", "embedding")

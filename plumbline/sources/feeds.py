@@ -132,3 +132,24 @@ def reddit_comments(raw: DataFrame, payload: str = "payload") -> DataFrame:
     parent = F.when(F.startswith(text("parent_id"), F.lit("t1_")), F.substring(text("parent_id"), 4, 100))
     out = rows.select(text("id").alias("reddit_id"), F.regexp_replace(text("link_id"), "^t3_", "").alias("post_reddit_id"), parent.alias("parent_reddit_id"), text("author").alias("author"), text("body").alias("body"), F.coalesce(text("score").try_cast("bigint"), F.lit(0)).alias("score"), F.timestamp_seconds(text("created_utc").try_cast("double").cast("bigint")).alias("created_utc"))
     return out.filter("reddit_id is not null and created_utc is not null")
+
+
+def _time(path: str) -> Column:
+    return F.timestamp_seconds(text(path).try_cast("double").cast("bigint"))
+
+
+def legacy_posts(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """Submissions as the older worker fetched them, one payload each: {"submission": {..}, "comments": [..]}."""
+    rows = raw.select(F.try_parse_json(F.get_json_object(payload, "$.submission")).alias(ITEM)).filter(F.col(ITEM).isNotNull())
+    count = lambda k: text(k).try_cast("bigint").alias(k)
+    out = rows.select(text("id").alias("reddit_id"), text("subreddit").alias("subreddit"), text("title").alias("title"), either("selftext").alias("selftext"), _words("author").alias("author"), count("score"), text("upvote_ratio").try_cast("double").alias("upvote_ratio"), count("num_comments"), text("url").alias("url"), text("link_flair_text").alias("flair"), _time("created_utc").alias("created_utc"))
+    return out.filter("reddit_id is not null")
+
+
+def legacy_comments(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """Their whole comment trees: the parent by its bare id whether post or comment, depth, number of awards."""
+    post = F.get_json_object(payload, "$.submission.id").alias("post_reddit_id")
+    rows = raw.select(post, F.explode(F.from_json(F.get_json_object(payload, "$.comments"), "array<variant>")).alias(ITEM))
+    awards = F.coalesce(F.size(F.from_json(F.to_json(value("all_awardings")), "array<variant>")), F.lit(0))
+    out = rows.select("post_reddit_id", text("id").alias("reddit_id"), F.regexp_replace(text("parent_id"), "^[^_]*_", "").alias("parent_reddit_id"), text("body").alias("body"), _words("author").alias("author"), text("score").try_cast("bigint").alias("score"), text("depth").try_cast("int").alias("depth"), F.greatest(awards, F.lit(0)).alias("awards"), _time("created_utc").alias("created_utc"))
+    return out.filter("reddit_id is not null")

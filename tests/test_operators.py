@@ -171,6 +171,18 @@ def test_tables_by_distance():
         assert 1 - (1 - same**bits) ** n >= 0.95 > 1 - (1 - same**bits) ** (n - 1)
 
 
+def test_older_embedding_is_that_of_the_beginning(spark, tmp_path):
+    from plumbline.plans import vectors
+    from plumbline.sources.embedder import hashing
+
+    texts = ["short", None, "some words that make more than thirty characters", "word " * 3000 + "tail end"]
+    spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.embedding for r in vectors.embed_documents(spark, str(tmp_path)).collect()}
+    assert set(got) == {2, 3}
+    for i, v in got.items():
+        assert np.allclose(v, hashing([("src. " + texts[i])[:2000]], 768)[0], atol=1e-6)
+
+
 def test_registered_embedding_is_that_of_whole_texts(spark, tmp_path):
     from plumbline.plans import vectors
     from plumbline.sources.embedder import hashing
