@@ -10,26 +10,23 @@ Likeness of two fingerprints: bins with equal tuples, as a share of the bins tha
 Two empty fingerprints are alike (1.0), an empty one and another are not (0.0).
 
 Null and empty texts, and texts of white space, have empty fingerprints. Equal texts have
-equal fingerprints. Positions are kept in 26 bits; k-mers past 2^26 words take the last
-position, which only blurs their order. The next document is that of the next row by
-(doc_id, text), so rows that repeat a doc_id follow each other; null ids come first; after
-the last row comes the first, and a single row follows itself. An empty table gives no rows;
-other columns are not read.
+equal fingerprints. The next document is that of the next row by (doc_id, hash of the text),
+so rows that repeat a doc_id follow each other; null ids come first; after the last row comes
+the first, and a single row follows itself. An empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import texts_of
+from plumbline.llm.shared import range_count, table, texts_of
 
 K, BINS, PICKS = 5, 32, 2
-_PLACE = 26
-#: Documents of a bucket of neighbours, and the most buckets (their first ids are broadcast: 16 bytes each).
-ROWS, MOST_BUCKETS = 2000, 100_000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -37,66 +34,58 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _bin(key: Column) -> Column:
-    return F.shiftrightunsigned(key, 64 - 5)
-
-
-def _order(keys: Column) -> Column:
-    return F.sort_array(keys)
+def _bin(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - 5)
 
 
 def _smallest(keys: Column) -> Column:
     """Of ascending keys, the first ``PICKS`` of each bin."""
-    return F.filter(keys, lambda x, i: ~_bin(x).eqNullSafe(_bin(F.get(keys, i - PICKS))))
+    return F.filter(keys, lambda x, i: ~_bin(x["h"]).eqNullSafe(_bin(F.get(keys, i - PICKS)["h"])))
 
 
-def _kmers(words: Column) -> Column:
-    n = F.size(words)
-    whole = F.transform(F.slice(words, F.lit(1), F.greatest(n - (K - 1), F.lit(1))), lambda w, i: F.xxhash64(w, *(F.get(words, i + j) for j in range(1, K))))
-    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(whole)
+def _key(h: Column, place: Column) -> Column:
+    """A k-mer's hash, then its place in the text."""
+    return F.struct(h.alias("h"), place.alias("place"))
 
 
-def _keyed(h: Column, place: Column) -> Column:
-    """The hash's upper bits, then the place in the text."""
-    upper = F.shiftleft(F.shiftrightunsigned(h, _PLACE), _PLACE)
-    return upper.bitwiseOR(F.least(place, F.lit((1 << _PLACE) - 1)).cast("long"))
+_KEYS = "array<struct<h:bigint,place:int>>"
 
 
-def _numbered(kmers: Column) -> Column:
-    """Ascending keys of the selected numbered k-mers: a first occurrence goes by its k-mer's hash, later ones by (hash, number)."""
+def _kmers(words: Column) -> Column:
+    n = F.size(words)
+    whole = F.transform(F.slice(words, F.lit(1), F.greatest(n - (K - 1), F.lit(1))), lambda w, i: _key(F.xxhash64(w, *(F.get(words, i + j) for j in range(1, K))), i))
+    return F.when(n == 0, F.array().cast(_KEYS)).otherwise(F.sort_array(whole))
+
 
-    def upper(key: Column) -> Column:
-        return F.shiftrightunsigned(key, _PLACE)
+def _numbered(keys: Column) -> Column:
+    """Ascending k-mers -> the selected numbered ones: a first occurrence goes by its k-mer's hash, later ones by (hash, number)."""
 
     def renamed(again: Column) -> Column:
         """Ascending keys of second and later occurrences -> keys by hash and number."""
-        begins = F.filter(F.sequence(F.lit(0), F.size(again) - 1), lambda i: ~upper(F.get(again, i)).eqNullSafe(upper(F.get(again, i - 1))))
+        begins = F.filter(F.sequence(F.lit(0), F.size(again) - 1), lambda i: ~F.get(again, i)["h"].eqNullSafe(F.get(again, i - 1)["h"]))
 
         def numbers(at: Column) -> Column:
             stop = lambda r: F.coalesce(F.get(at, r + 1), F.size(again))
-            return F.flatten(F.transform(at, lambda i, r: F.transform(F.slice(again, i + 1, stop(r) - i), lambda k, j: _keyed(F.xxhash64(upper(k), j + 2), k.bitwiseAND((1 << _PLACE) - 1)))))
+            return F.flatten(F.transform(at, lambda i, r: F.transform(F.slice(again, i + 1, stop(r) - i), lambda k, j: _key(F.xxhash64(k["h"], j + 2), k["place"]))))
 
-        return F.when(F.size(again) == 0, F.array().cast("array<bigint>")).otherwise(_let(begins, numbers))
+        return F.when(F.size(again) == 0, F.array().cast(_KEYS)).otherwise(_let(begins, numbers))
 
-    def of_sorted(keys: Column) -> Column:
-        firsts = F.filter(keys, lambda x, i: ~upper(x).eqNullSafe(upper(F.get(keys, i - 1))))
-        again = F.filter(keys, lambda x, i: upper(x).eqNullSafe(upper(F.get(keys, i - 1))))
-        more = _let(_order(_let(again, renamed)), _smallest)
-        return _let(_order(F.concat(_let(firsts, _smallest), more)), _smallest)
-
-    return _let(_order(F.transform(kmers, lambda h, i: _keyed(h, i))), of_sorted)
+    firsts = F.filter(keys, lambda x, i: ~x["h"].eqNullSafe(F.get(keys, i - 1)["h"]))
+    again = F.filter(keys, lambda x, i: x["h"].eqNullSafe(F.get(keys, i - 1)["h"]))
+    more = _let(F.sort_array(_let(again, renamed)), _smallest)
+    return _let(F.sort_array(F.concat(_let(firsts, _smallest), more)), _smallest)
 
 
 def _tuples(keys: Column) -> Column:
     """One long for each bin that has k-mers: the bin, then 32 bits of the tuple in text order."""
 
     def tuple_of(i: Column) -> Column:
-        own = F.filter(F.slice(keys, i + 1, F.lit(PICKS)), lambda k: _bin(k) == _bin(F.get(keys, i)))
-        placed = _order(F.transform(own, lambda k: F.struct(k.bitwiseAND((1 << _PLACE) - 1).alias("place"), F.shiftrightunsigned(k, _PLACE).alias("kmer"))))
-        hashed = _let(placed, lambda p: F.xxhash64(*(F.get(p, F.lit(j))["kmer"] for j in range(PICKS))))
-        return F.shiftleft(_bin(F.get(keys, i)), 32).bitwiseOR(hashed.bitwiseAND((1 << 32) - 1))
+        own = F.filter(F.slice(keys, i + 1, F.lit(PICKS)), lambda k: _bin(k["h"]) == _bin(F.get(keys, i)["h"]))
+        placed = F.sort_array(F.transform(own, lambda k: F.struct(k["place"].alias("place"), k["h"].alias("h"))))
+        hashed = _let(placed, lambda p: F.xxhash64(*(F.get(p, F.lit(j))["h"] for j in range(PICKS))))
+        return F.shiftleft(_bin(F.get(keys, i)["h"]), 32).bitwiseOR(hashed.bitwiseAND((1 << 32) - 1))
 
-    begins = F.filter(F.transform(keys, lambda k, i: F.when(~_bin(k).eqNullSafe(_bin(F.get(keys, i - 1))), i)), lambda i: i.isNotNull())
+    begins = F.filter(F.transform(keys, lambda k, i: F.when(~_bin(k["h"]).eqNullSafe(_bin(F.get(keys, i - 1)["h"])), i)), lambda i: i.isNotNull())
     return F.transform(begins, tuple_of)
 
 
@@ -122,30 +111,48 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return texts_of(docs).withColumn("signature", signature(F.col("text")))
 
 
+def _place_of() -> Column:
+    """Where a row stands in the order of documents, as a struct without nulls."""
+    return F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("row"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows with (bucket, late): ranges between sampled quantiles of their place, each followed (late) by the first rows of the next.
+
+    The ranges' heads are looked up in two steps, as in a book: the square root of their number is a literal, and as many
+    for each of those are joined by broadcast. So they cost 25 bytes for each range.
+    """
+    n = range_count(rows)
+    places = table(rows.select(_place_of().alias("place")), "places")
+    heads = places.repartitionByRange(n, "place").groupBy(F.spark_partition_id().alias("p")).agg(F.min("place").alias("head"))
+    # One row per range.
+    heads = table(heads.select("head", (F.row_number().over(Window.orderBy("head")) - 1).alias("b")), "heads")
+    step = math.isqrt(n - 1) + 1
+    pages = [tuple(r["head"]) for r in heads.filter(F.col("b") % step == 0).orderBy("b").collect()]
+    last = heads.count() - 1
+    if last < 0:
+        return rows.withColumn("bucket", F.lit(0)).withColumn("late", F.lit(0))
+    lines = heads.groupBy((F.col("b") / step).cast("int").alias("page")).agg(F.sort_array(F.collect_list("head")).alias("heads"))
+    upto = lambda heads, place: F.size(F.filter(heads, lambda h: h <= place)) - 1
+    book = F.array(*(F.struct(F.lit(known).alias("known"), F.lit(i).cast("long").alias("id"), F.lit(h).cast("long").alias("row")) for known, i, h in pages))
+    found = rows.withColumn("place", _place_of()).withColumn("page", upto(book, F.col("place"))).join(F.broadcast(lines), "page")
+    found = found.withColumn("line", upto(F.col("heads"), F.col("place")))
+    bucket = F.col("page") * step + F.col("line")
+    first = F.get("heads", F.col("line")) == F.col("place")
+    to = lambda b, late: F.struct(b.cast("int").alias("bucket"), F.lit(late).alias("late"))
+    before = F.when(bucket == 0, to(F.lit(last), 2)).otherwise(to(bucket - 1, 1))
+    dealt = found.select("doc_id", "row", "text", "signature", F.explode(F.when(first, F.array(to(bucket, 0), before)).otherwise(F.array(to(bucket, 0)))).alias("to"))
+    return dealt.select("doc_id", "row", "text", "signature", "to.bucket", "to.late")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, signature) of each row, and next_text, next_signature of the row that follows by (doc_id, text).
+    """(doc_id, text, signature) of each row, and next_text, next_signature of the row that follows by (doc_id, hash of the text).
 
-    Rows are dealt into buckets of neighbours; the first rows of each bucket's first id are
-    also sent to the bucket before it. So each text is shuffled once.
+    Each text is shuffled once, after its fingerprint is made; the first rows of a bucket are also sent to the one before.
     """
-    rows = texts_of(docs)
-    ids = rows.select("doc_id")
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    spread = 0 if low is None else high - low + 1
-    width = max(1, -(-spread * ROWS // max(n, 1)), -(-spread // MOST_BUCKETS))
-    bucket = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low or 0)) / width).cast("long"), F.lit(-1).cast("long"))
-    own = rows.select("doc_id", "text", bucket.alias("bucket"), F.lit(0).alias("late"))
-    # At most MOST_BUCKETS + 1 rows: each bucket's first id, and the bucket that it is sent to.
-    heads = ids.withColumn("bucket", bucket).groupBy("bucket").agg(F.min("doc_id").alias("head"))
-    around = Window.orderBy("bucket")
-    heads = heads.select("head", F.lag("bucket").over(around).alias("to"), F.max("bucket").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end"))
-    heads = heads.select("head", F.coalesce("to", "end").alias("to"), F.when(F.col("to").isNull(), 2).otherwise(1).alias("late"))
-    sent = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head")))
-    sent = sent.select("doc_id", "text", F.col("to").alias("bucket"), "late")
-    order = Window.partitionBy("bucket").orderBy("late", "doc_id", "text")
-    # The few rows that are sent are picked before any fingerprint is made.
-    all_rows = own.unionByName(sent).withColumn("signature", signature(F.col("text")))
-    following = all_rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_signature", F.lead("signature").over(order))
+    rows = texts_of(docs).withColumn("row", F.xxhash64("text")).withColumn("signature", signature(F.col("text")))
+    order = Window.partitionBy("bucket").orderBy("late", "doc_id", "row", "text")
+    following = _dealt(rows).withColumn("next_text", F.lead("text").over(order)).withColumn("next_signature", F.lead("signature").over(order))
     return following.filter("late = 0").select("doc_id", "text", "signature", "next_text", "next_signature")
 
 

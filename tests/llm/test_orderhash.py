@@ -17,22 +17,19 @@ def brute(spark, text):
         return []
     grams = [words[i : i + O.K] for i in range(max(1, len(words) - O.K + 1))]
     rows = spark.createDataFrame([(i, *(g + [None] * (O.K - len(g)))) for i, g in enumerate(grams)], "i int, " + ", ".join(f"w{j} string" for j in range(O.K)))
-    base = {r.i: r.h & (2**64 - 1) for r in rows.select("i", F.xxhash64(*(f"w{j}" for j in range(O.K))).alias("h")).collect()}
+    base = {r.i: r.h for r in rows.select("i", F.xxhash64(*(f"w{j}" for j in range(O.K))).alias("h")).collect()}
     seen, picked = {}, []
     for i in sorted(base):
-        short = base[i] >> 26
-        seen[short] = seen.get(short, 0) + 1
-        picked.append((i, short, seen[short]))
+        seen[base[i]] = seen.get(base[i], 0) + 1
+        picked.append((i, base[i], seen[base[i]]))
     again = [(i, s, n) for i, s, n in picked if n > 1]
     named = {}
     if again:
         df = spark.createDataFrame(again, "i int, s long, n int").select("i", F.xxhash64("s", "n").alias("h"))
-        named = {r.i: (r.h & (2**64 - 1)) >> 26 for r in df.collect()}
-    signed = lambda x: x - 2**38 if x >> 37 else x
-    keys = sorted((signed(named.get(i, s)), i) for i, s, _ in picked)
+        named = {r.i: r.h for r in df.collect()}
     bins = {}
-    for k, i in keys:
-        bins.setdefault((k % 2**38) >> 33, []).append((i, k % 2**38))
+    for k, i in sorted((named.get(i, s), i) for i, s, _ in picked):
+        bins.setdefault((k % 2**64) >> 59, []).append((i, k))
     tuples = []
     for b, found in sorted(bins.items(), key=lambda x: x[0] - 32 if x[0] > 15 else x[0]):
         tuples.append((b, [k for _, k in sorted(found[: O.PICKS])]))
@@ -56,7 +53,8 @@ def test_order_matters_and_equal_texts_agree(spark):
 
 
 def test_neighbours_and_edited_text(docs, empty):
-    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("t"))
+    rows = [(r.doc_id, r.t) for r in ordered.collect()]
     got = O.with_next(docs).withColumn("edited", O.edited(F.col("text"), F.col("next_text"))).collect()
     want = []
     for i, (d, t) in enumerate(rows):
@@ -67,11 +65,17 @@ def test_neighbours_and_edited_text(docs, empty):
     assert O.with_next(empty).count() == 0
 
 
-def test_buckets_of_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(O, "ROWS", 3)
-    rows = [(i * i, f"text {i}") for i in range(40)]
-    got = {r.text: r.next_text for r in O.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {f"text {i}": f"text {(i + 1) % 40}" for i in range(40)}
+def test_ranges_of_neighbours(spark, monkeypatch):
+    """Ids far apart, repeated and missing: ranges hold about as many rows, and each row meets the next."""
+    for n in (1, 2, 7, 40):
+        monkeypatch.setattr(O, "range_count", lambda df: n)  # noqa: B023
+        rows = [(i * i, f"text {i}") for i in range(300)] + [(1 << 62, "far"), (-(1 << 62), "farther")] + [(None, f"none {i}") for i in range(150)] + [(9, f"nine {i}") for i in range(150)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        order = [(r.doc_id, r.text) for r in df.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+        got = {(r.doc_id, r.text): r.next_text for r in O.with_next(df).collect()}
+        assert got == {a: b[1] for a, b in zip(order, order[1:] + order[:1], strict=True)}
+        dealt = O._dealt(df.select("doc_id", "text", F.xxhash64("text").alias("row"), F.lit(0).alias("signature"))).filter("late = 0").groupBy("bucket").count().collect()
+        assert sum(r["count"] for r in dealt) == len(rows) and max(r["count"] for r in dealt) <= 3 * len(rows) / n + 3
     one = spark.createDataFrame([(5, "alone")], "doc_id long, text string")
     assert [r.next_text for r in O.with_next(one).collect()] == ["alone"]
 
