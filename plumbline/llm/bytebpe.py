@@ -4,11 +4,16 @@ The tokenizer cuts a text into stretches before it merges bytes, so a text may b
 such a stretch surely ends: before the last white space ahead of a visible character, after
 it unless it is a space, and between an ASCII letter and punctuation. Each distinct piece is
 given to the tokenizers library once for a worker; a text's ids are those of its pieces in
-order. A piece is known by a 64-bit hash of its bytes and by its length.
+order. A piece is known by a 64-bit hash of its bytes and by its length; texts of a slice in
+which that fails, or in which the tokenizer sees a stretch beyond a cut, are encoded whole.
+Texts are first cut at the literals of added tokens, which the tokenizer takes out before it
+does anything else.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from tokenizers import Tokenizer
@@ -29,12 +34,20 @@ _POINT = np.zeros(256, bool)
 _POINT[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = True
 
 
+class Unsure(Exception):
+    """Pieces don't surely give the ids of their texts."""
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        #: None where added tokens do more than stand for themselves: such texts are encoded whole.
+        plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized and not t.special for t in self.tokenizer.get_added_tokens_decoder().values())
+        literals = b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))
+        self.at_added = re.compile(b"(" + literals + b")") if literals and plain else None
         vocab = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
@@ -70,7 +83,7 @@ class Encoder:
             stop = np.cumsum(size) - 1
             cut = np.searchsorted(ends, stop)
             if not (ends[cut] == stop).all():
-                raise ValueError("a stretch of text ran over a cut")
+                raise Unsure("a stretch of text ran over a cut")
             begin = np.concatenate(([0], cut[:-1] + 2))
             for i, a, b in zip(g, begin.tolist(), (cut + 1).tolist(), strict=True):
                 out[i] = ids[a:b]
@@ -80,6 +93,36 @@ class Encoder:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has)."""
+        if not any(t in x for t in self.added for x in texts):
+            return self._sure(texts)
+        if self.at_added is None:
+            return self._whole(texts)
+        cut = [self.at_added.split(x) for x in texts]  # texts and added tokens by turns
+        ids, counts = self._sure([part for row in cut for part in row[::2]])
+        ends, out, at = np.cumsum(counts), [], 0
+        for row in cut:
+            for k, part in enumerate(row):
+                if k % 2:
+                    out.append(np.array([self.added[part]], np.uint32))
+                else:
+                    out.append(ids[ends[at] - counts[at] : ends[at]])
+                    at += 1
+        size = np.fromiter(map(len, out), np.int64, len(out))
+        first = np.concatenate(([0], np.cumsum([len(row) for row in cut])[:-1])).astype(np.int64)
+        return np.concatenate(out), np.add.reduceat(size, first)
+
+    def _whole(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        rows = [np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, np.uint32) for t in texts]
+        return np.concatenate([np.zeros(0, np.uint32), *rows]), np.fromiter(map(len, rows), np.int64, len(rows))
+
+    def _sure(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        try:
+            return self._pieces(texts)
+        except Unsure:
+            self._forget()
+            return self._whole(texts)
+
+    def _pieces(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         data = b"".join(texts)
         n = len(data)
         begin = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
@@ -119,7 +162,7 @@ class Encoder:
             self.width = np.concatenate((self.width, end[at] - start[at]))[order]
             place = np.searchsorted(self.keys, distinct)
         if not (self.width[place][which] == end - start).all():
-            raise ValueError("two stretches of text share a hash")
+            raise Unsure("two stretches of text share a hash")
         size = self.size[place][which]
         first = np.cumsum(size) - size
         ids = self.ids[np.arange(size.sum()) + np.repeat(self.at[place][which] - first, size)]

@@ -10,12 +10,12 @@ doc_id, with about ``CHUNK`` ids packed into Simple-8b words (see ``simple8b``).
     words           the words, 64 bits little-endian
 
 Parquet parts are written by Spark, so lost executors are made good and any store will do.
-Buckets are equal ranges of doc_id of about ``ROWS`` documents; ids far from uniform make
-uneven buckets, which stay right and only sort more at a time.
+Buckets are ranges of (doc_id, hash of the text) between sampled quantiles, so they hold
+about the same number of rows however the ids are spread.
 
-Null and empty texts have the end id alone. Rows with a null doc_id come first, in one
-bucket. Rows that repeat a doc_id stay rows of their own, in the order of their texts. An
-empty table makes a folder without rows; other columns are not read.
+Null and empty texts have the end id alone. Rows with a null doc_id come first. Rows that
+repeat a doc_id stay rows of their own, in the order of a hash of their texts. An empty table
+makes a folder without rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,32 +26,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import simple8b
-from plumbline.llm.shared import slices, texts_of
+from plumbline.llm.shared import range_count, slices, texts_of
 
-END_ID, CHUNK, ROWS = 2, 1 << 16, 2000
+END_ID, CHUNK = 2, 1 << 16
 _CHUNK = "bucket long, chunk int, base long, doc_ids array<long>, sizes array<int>, first binary, words binary"
 
 
-def id_buckets(docs: DataFrame, rows: int = ROWS) -> F.Column:
-    """Number of the equal range of doc_id that a row is in; about ``rows`` rows each when ids are even."""
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    if not n:
-        return F.lit(0).cast("long")
-    width = max(1, -(-(high - low + 1) * rows // n))
-    return F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - low) / width).cast("long"), F.lit(-1).cast("long"))
-
-
 def _pack(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from plumbline.llm.bytebpe import encoder
 
         encode = encoder(path)
-        bucket, chunk, base = None, 0, 0
+        bucket, chunk, base = TaskContext.get().partitionId(), 0, 0
         docs, sizes, held = [], [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -68,12 +60,10 @@ def _pack(path: str):
         for part, texts in slices(batches):
             ids, counts = encode(texts)
             at, total = 0, sum(sizes)
-            for b, d, n in zip(part.column("bucket").to_pylist(), part.column("doc_id").to_pylist(), counts.tolist(), strict=True):
-                if b != bucket or total >= CHUNK:
+            for d, n in zip(part.column("doc_id").to_pylist(), counts.tolist(), strict=True):
+                if total >= CHUNK:
                     yield from flush()
                     total = 0
-                    if b != bucket:
-                        bucket, chunk, base = b, 0, 0
                 docs.append(d)
                 sizes.append(n + 1)
                 held += [ids[at : at + n], np.array([END_ID], np.uint32)]
@@ -85,8 +75,8 @@ def _pack(path: str):
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     """Encode every text and write the token file ``path``, in order of doc_id."""
-    texts = texts_of(docs)
-    dealt = texts.withColumn("bucket", id_buckets(texts)).repartition("bucket").sortWithinPartitions("bucket", "doc_id", "text")
+    texts = texts_of(docs).withColumn("row", F.xxhash64("text"))
+    dealt = texts.repartitionByRange(range_count(texts), "doc_id", "row").sortWithinPartitions("doc_id", "row", "text")
     dealt.mapInArrow(_pack(tokenizer), _CHUNK).write.parquet(path)
 
 

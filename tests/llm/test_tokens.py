@@ -31,10 +31,38 @@ def test_pieces_encode_as_the_whole_text(texts):
     ids, counts = encoder(PATH)([t.encode() for t in texts])
     end = np.cumsum(counts)
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     assert [ids[b - n : b].tolist() for n, b in zip(counts, end, strict=True)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_are_their_own_ids(monkeypatch):
+    from plumbline.llm import bytebpe
+
+    t, e = Tokenizer.from_file(PATH), bytebpe.Encoder(PATH)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "", " x <|endoftext|> \n<|endoftext|><|endoftext|>y z", "<|endoftext", "plain, text"]
+    for _ in range(2):
+        ids, counts = e([x.encode() for x in texts])
+        end = np.cumsum(counts)
+        assert [ids[b - n : b].tolist() for n, b in zip(counts, end, strict=True)] == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+
+        def unsure(self, texts):
+            raise bytebpe.Unsure
+
+        monkeypatch.setattr(bytebpe.Encoder, "_pieces", unsure)
+
+
+def test_far_and_missing_ids_make_no_large_bucket(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(tokenfile, "range_count", lambda df: 8)
+    rows = [(i, f"text {i}") for i in range(2000)] + [(1 << 62, "far"), (-(1 << 62), "far")] + [(None, f"none {i}") for i in range(1000)]
+    path = f"file://{tmp_path}/far"
+    tokenfile.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, PATH)
+    sizes = [r.n for r in spark.read.parquet(path).groupBy("bucket").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < len(rows) / 4
+    got = tokenfile.read_digests(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda d: -(1 << 63) if d is None else d)
+
+
 def test_files_and_back(spark, docs, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenfile, "CHUNK", 300)
     path = f"file://{tmp_path}/tokens"
