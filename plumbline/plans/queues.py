@@ -106,11 +106,11 @@ def priority_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", F.col("batch").cast("bigint").alias("batch"))
 
 
-@query("select c_custkey as id, (greatest(coalesce(c_acctbal::bigint, 0), 0) + 1) * (c_custkey % 3 + 1) as priority from customer where c_custkey % 4 <> 0 and c_custkey % 5 < 3 order by priority desc, id limit 100")
+@query("select c_custkey as id, (greatest(coalesce(floor(c_acctbal)::bigint, 0), 0) + 1) * (c_custkey % 3 + 1) as priority from customer where c_custkey % 4 <> 0 and c_custkey % 5 < 3 order by priority desc, id limit 100")
 def embed_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next page to embed: without a vector, not failed too often, most important first."""
     k = F.col("c_custkey")
-    c = read(spark, sf_dir, "customer").select(k.alias("id"), F.round("c_acctbal").cast("bigint").alias("score"), (k % 3 + 1).alias("dup_count"), F.when(k % 4 == 0, F.array(F.lit(1.0))).alias("embedding"), (k % 5).alias("attempts"))
+    c = read(spark, sf_dir, "customer").select(k.alias("id"), F.floor("c_acctbal").cast("bigint").alias("score"), (k % 3 + 1).alias("dup_count"), F.when(k % 4 == 0, F.array(F.lit(1.0))).alias("embedding"), (k % 5).alias("attempts"))
     return embedder.priority_page(c, 100).select("id", priority(F.col("score"), F.col("dup_count")).alias("priority"))
 
 
