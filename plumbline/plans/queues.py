@@ -179,7 +179,7 @@ def transcripts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("video_id")).agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("transcript"))
     videos = c.withColumn("view_count", F.lit(0)).withColumn("published_at", F.lit(None).cast("timestamp"))
     got = tier0.transcript_signals(videos, words=["and the", "of the", "is and"], starters=[], long_min=10**6)
-    return got.select(F.col("source_id").cast("bigint").alias("id"), F.char_length("text").alias("n"))
+    return got.select(F.col("source_id").cast("bigint").alias("id"), F.char_length("text").cast("bigint").alias("n"))
 
 
 @query("select w as lexeme, o_orderkey, list(i order by i)::varchar as positions from (select o_orderkey, unnest([o_orderkey::varchar, o_custkey::varchar, o_orderkey::varchar]) as w, unnest([1, 3, 4]) as i from orders) group by all")
