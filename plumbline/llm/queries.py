@@ -11,13 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import html_text, mixing, nbsvm, oracles, orderhash, pii, repetition, simhash, substring, tokenfile
+from plumbline.llm import fim, html_text, mixing, nbsvm, oracles, orderhash, pii, repetition, simhash, substring, tokenfile
 from plumbline.llm.lattice import SLICE
 from plumbline.llm.shared import arrow_map, scratch, texts_of
 
 SEED = 20240131
 #: Whole weights of the mixing tree's nodes; those not named weigh one.
 WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
+FIM = {"seed": 7, "rate": 100, "spm": 50}
 MIX = {"seed": SEED, "share": 1.0, "max_epochs": 2}
 
 
@@ -112,6 +113,21 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_quality(read(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text cut in three and put in order behind sentinels, and the text that these give back."""
+    made = fim.arranged(read(spark, sf_dir, "documents"), **FIM)
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.char_length("prefix").cast("long").alias("prefix_chars"),
+        F.char_length("middle").cast("long").alias("middle_chars"),
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline, all stages."""
     import corpus_pipeline  # it imports this module
@@ -130,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_token_files": op9_token_files,
     "op10_repetition": op10_repetition,
+    "op11_fill_in_middle": op11_fill_in_middle,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op3_mixing": mixing.oracle(WEIGHTS, **MIX), "op4_substring_dedup": oracles.OP4, "op10_repetition": oracles.OP10}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.oracle(WEIGHTS, **MIX), "op4_substring_dedup": oracles.OP4, "op10_repetition": oracles.OP10, "op11_fill_in_middle": fim.oracle(**FIM)}
