@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import fim, html_text, mixing, nbsvm, oracles, orderhash, pii, repetition, simhash, substring, tokenfile, vacode
+from plumbline.llm import fim, html_text, jaccard, mixing, nbsvm, oracles, orderhash, pii, repetition, simhash, substring, tokenfile, vacode
 from plumbline.llm.lattice import SLICE
 from plumbline.llm.shared import arrow_map, scratch, texts_of
 
@@ -128,6 +128,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of each document under Jaccard similarity of its shingles."""
+    return jaccard.similar(read(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of the vectors, their errors, and the codebooks' digest."""
     return vacode.compress(read(spark, sf_dir, "embeddings"))
@@ -152,7 +157,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_repetition": op10_repetition,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op3_mixing": mixing.oracle(WEIGHTS, **MIX), "op4_substring_dedup": oracles.OP4, "op10_repetition": oracles.OP10, "op11_fill_in_middle": fim.oracle(**FIM), "op13_vector_codes": vacode.oracle()}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.oracle(WEIGHTS, **MIX), "op4_substring_dedup": oracles.OP4, "op10_repetition": oracles.OP10, "op11_fill_in_middle": fim.oracle(**FIM), "op12_jaccard_join": jaccard.ORACLE, "op13_vector_codes": vacode.oracle()}
