@@ -9,8 +9,10 @@ of more than ``MOST`` fingerprints is dealt out again: of the bits that its key
 further blocks are cut, and the same rule holds for them.
 
 Null and empty texts have fingerprint zero, linked like any other; texts under four words
-hash the whole sequence. Repeated rows share a fingerprint and hence a component. An empty
-table gives no rows; other columns are not read.
+hash the whole sequence. Repeated rows share a fingerprint and hence a component. Fingerprints
+are what is linked, so a row with a null doc_id links others like any row; its component_id
+is the smallest doc_id reachable, null only where no row reachable has one. An empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ from plumbline.llm.components import stars
 from plumbline.llm.shared import arrow_map, spare, table, texts_of
 
 WIDTH, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
-#: Distinct fingerprints of a bucket, and how often a larger one is dealt out again. Any values find every link.
-MOST, DEPTH = 20_000, 2
+#: Distinct fingerprints of a bucket, and how often a larger one is dealt out again: after four times its key leaves
+#: open under 14 bits, and so fewer fingerprints than ``MOST``. Any values find every link.
+MOST, DEPTH = 20_000, 4
 #: Bits are counted over this many shingles at a time, to bound memory on long texts.
 _STEP = 4096
 
@@ -106,7 +109,8 @@ def forest(fp: np.ndarray, near: int = DISTANCE) -> tuple[np.ndarray, np.ndarray
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (k, key) -> links inside each bucket. A bucket may span batches."""
 
-    def solve(k: np.ndarray, key: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+    def solve(k: np.ndarray, key: np.ndarray, signed: np.ndarray) -> pa.RecordBatch:
+        fp = signed.view(np.uint64)
         change = np.concatenate(([True], (k[1:] != k[:-1]) | (key[1:] != key[:-1])))
         begin = np.flatnonzero(change)
         size = np.diff(np.append(begin, len(k)))
@@ -117,14 +121,13 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = forest(fp[i : i + n])
             a.append(x + i)
             b.append(y + i)
-        a, b = rep[np.concatenate(a)], rep[np.concatenate(b)]
+        a, b = signed[np.concatenate(a)], signed[np.concatenate(b)]
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["u", "v"])
 
     held: list[list[np.ndarray]] = []  # parts of the bucket that isn't known to be whole
     last = None
     for batch in batches:
-        now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        now[2] = now[2].view(np.uint64)
+        now = [batch.column(i).to_numpy() for i in range(3)]
         k, key = now[:2]
         if not len(k):
             continue
@@ -145,23 +148,24 @@ def _keyed(fp: F.Column, masks: F.Column, first: F.Column) -> F.Column:
 
 
 def near_links(fps: DataFrame) -> DataFrame:
-    """Distinct (fp, rep) -> links (u, v) between reps that span the groups of near fingerprints."""
-    m = blocks_for(fps.count())
-    masks = [block_masks(m)]  # by k
-    rows = fps.select(F.explode(_keyed(F.col("fp"), F.array(*(F.lit(_signed(x)) for x in masks[0])), F.lit(0))).alias("x"), "fp", "rep").select("x.*", "fp", "rep")
+    """Distinct fingerprints (fp) -> links (u, v) that span the groups of near ones."""
+    level = dict(enumerate(block_masks(blocks_for(fps.count()))))  # the bits of each key, by k
+    rows = fps.select(F.explode(_keyed(F.col("fp"), F.array(*(F.lit(_signed(x)) for x in level.values())), F.lit(0))).alias("x"), "fp").select("x.*", "fp")
     done = None
-    level = masks[0]
-    for depth in range(DEPTH):
+    for depth in range(1, DEPTH + 1):
         large = table(rows.groupBy("k", "key").agg(F.count("*").alias("n")).filter(F.col("n") > MOST).select("k", "key"), "large-buckets")
-        if large.isEmpty():
+        used = sorted(r["k"] for r in large.select("k").distinct().collect())  # as many as there are choices of blocks at most
+        if not used:
             break
         small = rows.join(large, ["k", "key"], "left_anti")
         done = small if done is None else done.unionByName(small)
-        finer = [block_masks(6, x) for x in level]
-        of = F.get(F.array(*(F.array(*(F.lit(_signed(y)) for y in x)) for x in finer)), (F.col("k") % 1_000_000).cast("int"))
-        first = F.lit((depth + 1) * 1_000_000) + F.col("k") % 1_000_000 * len(finer[0])
-        again = rows.join(large, ["k", "key"], "left_semi").select(F.explode(_keyed(F.col("fp"), of, first)).alias("x"), "fp", "rep")
-        rows, level = table(again.select("x.*", "fp", "rep"), "dealt-again"), [y for x in finer for y in x]
+        finer = [block_masks(6, level[k]) for k in used]
+        place = F.array_position(F.array(*map(F.lit, used)), F.col("k")).cast("int") - 1
+        of = F.get(F.array(*(F.array(*(F.lit(_signed(y)) for y in x)) for x in finer)), place)
+        first = F.lit(depth * 1_000_000) + place * len(finer[0])
+        again = rows.join(large, ["k", "key"], "left_semi").select(F.explode(_keyed(F.col("fp"), of, first)).alias("x"), "fp")
+        rows = table(again.select("x.*", "fp"), "dealt-again")
+        level = {depth * 1_000_000 + i: y for i, y in enumerate(y for x in finer for y in x)}
     rows = rows if done is None else done.unionByName(rows)
     return rows.repartition("k", "key").sortWithinPartitions("k", "key").mapInArrow(_links, "u long, v long")
 
@@ -169,9 +173,11 @@ def near_links(fps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over near fingerprints."""
     prints = table(fingerprints(docs), "fingerprints")
-    fps = table(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "representatives")
-    roots = stars(near_links(fps)).select(F.col("u").alias("rep"), F.col("v").alias("root"))
-    classes = fps.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    fps = table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    roots = stars(near_links(fps.select("fp"))).select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    rooted = table(fps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
