@@ -7,11 +7,14 @@ furniture (menus, headers, footers, sidebars, notices, adverts, forms, reader co
 lower it, ``article`` and ``main`` raise it. Paths over the threshold are content. Their
 blocks vote for the container that holds the article; its blocks are the text, so that
 headings and short paragraphs stay with the long ones around them. Inside it, blocks with a
-low prior and runs of links stay only where the ratios chose them. Scripts, styles, form
-controls and hidden elements have no text.
+low prior and runs of links stay only where the ratios chose them, or where a run of links
+stands between chosen blocks. Scripts, styles, form controls and hidden elements have no text.
 
-As priors are relative, a page that stands in a form or a sidebar as a whole is judged as if
-it didn't.
+A prior never outvotes the text. Names are read as a whole: ``related-posts`` is furniture,
+``has-share``, ``comments-open`` and ``promo-effects`` say nothing. Names of an ``article`` or
+``main`` don't count, and one with most of the page's text counts as such wherever it stands.
+Any other element with nearly all of the text (a form around the page) isn't furniture.
+Inside an article most names only raise doubt, so that a paragraph like its neighbours stays.
 
 Null and empty pages, and pages without text, give an empty text. Markup may be broken: tags
 may be left open, closed twice or cut off; of an element without text that is never closed,
@@ -53,14 +56,20 @@ _OUT_NAME = re.compile(
     r"|comments?|commentlist|replies|reply|respond|disqus|cookies?|consent|gdpr|newsletter|subscribe|subscription|signup|popup|modal|overlay"
     r"|share|sharing|social|related|recommended|recommendations|widgets?|pagination|pager|paging|toolbar|login|searchbox|taglist|readmore"
 )
+#: Those that aren't part of an article even where it holds them.
+_NEVER_NAME = re.compile(r"ads?|advert\w*|adsense|adbox|sponsor\w*|comments?|commentlist|replies|reply|respond|disqus|cookies?|consent|gdpr|newsletter|subscribe|subscription|signup|popup|modal|overlay")
 #: Names that parts of an article may have as well: there they count for less.
 _MAYBE_NAME = re.compile(r"banner|side|aside|foot|header|commentary|discussion|notices?|alerts?|warning|search|form|skip|copyright|legal|disclaimer|hidden|tags")
+#: What may stand beside a name of furniture without changing what it says.
+_BESIDE_NAME = re.compile(r"\d+|site|page|main|global|top|bottom|left|right|primary|secondary|box|bar|block|section|area|wrap|wrapper|container|inner|outer|list|items?|links?|buttons?|posts?|articles?|stories|content|text|the|user|reader|in|slot|unit|panel|row|col|column|module|component|region|group|js|fixed|sticky")
 _SPLIT_NAME = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _POINT = re.compile(r"[.,;:!?…、。¿¡]")
 #: A block's score must reach this share of the page's mean score, over characters.
 THRESHOLD = 0.35
 #: The article is the innermost container with this share of the selected text.
 SHARE = 0.7
+#: An article or main part is one wherever it stands, and any other element isn't furniture, with this share of the page's text outside links.
+MOSTLY, NEARLY_ALL = 0.5, 0.85
 #: Priors: page furniture, its like inside an article, and article or main.
 FURNITURE, DOUBTFUL, ARTICLE = 0.05, 0.4, 2.0
 
@@ -70,7 +79,6 @@ class _Open:
     tag: str
     out: bool
     inner: bool  # in an article or main part
-    prior: float
     link: bool
     path: int
     box: int
@@ -96,25 +104,57 @@ def _hidden(attrs: dict[str, str]) -> bool:
     return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")))
 
 
+def _named(attrs: dict[str, str], pattern: re.Pattern[str]) -> bool:
+    """Whether a class or the id is a name of ``pattern``, alone or beside words that don't change what it says."""
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        words = [x.lower() for x in _SPLIT_NAME.split(name) if x]
+        hit = [bool(pattern.fullmatch(x)) for x in words]
+        if any(hit) and all(yes or _BESIDE_NAME.fullmatch(x) or _OUT_NAME.fullmatch(x) or _MAYBE_NAME.fullmatch(x) for x, yes in zip(words, hit, strict=True)):
+            return True
+    return False
+
+
 def _prior(tag: str, attrs: dict[str, str], inner: bool) -> float:
     """How likely the element is to hold the article, from its tag, role and names alone."""
     if tag in _OUT_TAG or (tag == "header" and not inner) or attrs.get("role", "").lower() in _OUT_ROLE:
         return FURNITURE
-    if attrs and tag not in ("html", "body", "main"):
-        names = [x.lower() for x in _SPLIT_NAME.split(f"{attrs.get('class', '')} {attrs.get('id', '')}") if x]
-        if any(map(_OUT_NAME.fullmatch, names)):
-            return FURNITURE
-        if any(map(_MAYBE_NAME.fullmatch, names)):
+    if attrs and tag not in ("html", "body", "main", "article"):
+        if _named(attrs, _OUT_NAME):
+            return DOUBTFUL if inner and not _named(attrs, _NEVER_NAME) else FURNITURE
+        if _named(attrs, _MAYBE_NAME):
             return DOUBTFUL if inner else FURNITURE
     return ARTICLE if tag in ("article", "main") and not inner else 1.0
 
 
+def _weighed(blocks: list[Block], boxes: list[tuple[str, int, float]]) -> list[tuple[str, int, float]]:
+    """Sets the blocks' priors and gives the containers theirs, from the factors of their elements and where the text stands."""
+    text = [0] * len(boxes)
+    for b in blocks:
+        if b.box >= 0:
+            text[b.box] += len(b.text) - b.linked
+    for x in range(len(boxes) - 1, 0, -1):  # a parent has a smaller number than its children
+        if boxes[x][1] >= 0:
+            text[boxes[x][1]] += text[x]
+    total = sum(len(b.text) - b.linked for b in blocks)
+    out: list[tuple[str, int, float]] = []
+    for (tag, up, factor), n in zip(boxes, text, strict=True):
+        prior = out[up][2] if up >= 0 else 1.0
+        if factor < 1 and n >= NEARLY_ALL * total:
+            factor = 1.0
+        if tag in ("article", "main") and n > MOSTLY * total:
+            prior, factor = max(prior, ARTICLE), 1.0
+        out.append((tag, up, max(prior * factor, 1e-9)))
+    for b in blocks:
+        b.prior = out[b.box][2] if b.box >= 0 else 1.0
+    return out
+
+
 def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int, float]]]:
     """(blocks of text in page order, tag, parent and prior of each container by number).
 
     A path is a number, too: that of its parent path and last name, inline tags left out.
     """
-    stack = [_Open("#root", False, False, 1.0, False, 0, -1)]
+    stack = [_Open("#root", False, False, False, 0, -1)]
     unclosed: set[str] = set()
     paths: dict[tuple[int, str], int] = {}
     open_tags: Counter[str] = Counter()
@@ -127,7 +167,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int, float]]]:
         nonlocal linked, where
         text = " ".join("".join(held).split())
         if text and where is not None:
-            out.append(Block(text, where.path, where.box, linked, where.prior, where.tag in _HEADS))
+            out.append(Block(text, where.path, where.box, linked, 1.0, where.tag in _HEADS))
         held.clear()
         linked, where = 0, None
 
@@ -210,18 +250,18 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[str, int, float]]]:
             continue
         inner = top.inner or tag in ("article", "main")
         gone = top.out or _hidden(attrs)
-        prior = max(top.prior * _prior(tag, attrs, top.inner), 1e-9)
+        factor = _prior(tag, attrs, top.inner)
         name = tag + "".join("." + c for c in attrs.get("class", "").split()[:2]) if tag in _BOX else tag
         path, box = top.path, top.box
         if tag not in _INLINE:
             path = paths.setdefault((path, name), len(paths) + 1)
-        if tag in _BOX:
-            boxes.append((tag, box, prior))
+        if tag in _BOX or factor < 1:
+            boxes.append((tag, box, factor))
             box = len(boxes) - 1
-        stack.append(_Open(tag, gone, inner, prior, top.link or tag == "a", path, box))
+        stack.append(_Open(tag, gone, inner, top.link or tag == "a", path, box))
         open_tags[tag] += 1
     flush()
-    return out, boxes
+    return out, _weighed(out, boxes)
 
 
 def _smooth(x: list[float]) -> list[float]:
@@ -299,10 +339,12 @@ def main_text(page: str) -> str:
     here = [(b, yes) for b, yes in zip(blocks, chosen, strict=True) if home < 0 or (b.box >= 0 and inside[b.box])]
     doubt = DOUBTFUL * (boxes[home][2] if home >= 0 else 1.0)
     linked = [b.linked * 2 > len(b.text) for b, _ in here]
+    ahead = [i for i, (_, yes) in enumerate(here) if yes]
     out = []
     for i, (b, yes) in enumerate(here):
         listed = linked[i] and any(all(linked[k : k + 3]) for k in range(max(i - 2, 0), min(i, len(here) - 3) + 1))
-        if yes or not (listed or b.prior <= doubt):
+        amid = bool(ahead) and ahead[0] < i < ahead[-1]  # links between paragraphs are the article's own
+        if yes or not (listed and not amid or b.prior <= doubt):
             out.append(b.text)
     return "\n".join(out)
 

@@ -1,5 +1,9 @@
+import re
 import time
 
+import duckdb
+import pytest
+
 from plumbline.llm import html_text as H
 
 PARA = "First &amp; long paragraph of text, with some words; and it goes on. Indeed it does."
@@ -81,3 +85,56 @@ def test_table(spark):
     want = PARA.replace("&amp;", "&")
     assert [tuple(r) for r in got] == [(1, "u", want, len(want)), (2, None, "", 0), (None, "v", "", 0)]
     assert H.extract(df.limit(0)).count() == 0
+
+
+LONG = "This is a long paragraph with words, and some more words; it goes on. Indeed it does, yes."
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f'<article class="post {{}}"><h1>T</h1><p>{LONG}</p><p>{LONG}</p></article><div class="x"><p>See also.</p></div>', ["T", LONG, LONG]),
+        (f'<div class="post {{}}"><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div class="x"><p>See also.</p></div>', ["T", LONG, LONG]),
+        (f'<div class="sidebar {{}}"><article><h1>T</h1><p>{LONG}</p><p>{LONG}</p></article></div><div class="x"><p>See also.</p></div>', ["T", LONG, LONG]),
+    ],
+)
+@pytest.mark.parametrize("names", ["has-share", "comments-open", "no-sidebar", "with-ads", "has-share no-sidebar comments-open"])
+def test_names_dont_sink_the_article(html, want, names):
+    assert H.main_text(html.format(names)).split("\n") == want
+
+
+def test_page_in_a_form_keeps_its_heading():
+    assert H.main_text(f"<body><form><div><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div></form>").split("\n") == ["T", LONG, LONG]
+
+
+@pytest.mark.parametrize("name", ["promo-effects", "related"])
+def test_paragraphs_like_their_neighbours_stay(name):
+    assert H.main_text(f'<article><p>{LONG}</p><section class="{name}"><p>{LONG}</p></section><p>{LONG}</p></article>').split("\n") == [LONG] * 3
+
+
+def test_links_amid_paragraphs_stay():
+    links = "".join(f"<li><a href={i}>reference {i}</a></li>" for i in range(4))
+    assert H.main_text(f"<article><p>{LONG}</p><ul>{links}</ul><p>{LONG}</p></article>").split("\n") == [LONG, *(f"reference {i}" for i in range(4)), LONG]
+
+
+def as_div(page, tags="article|main"):
+    return re.sub(rf"(</?)({tags})\b", r"\1div", page)
+
+
+@pytest.mark.parametrize(
+    "change, equal",
+    [
+        (lambda h: h, 2500),
+        (as_div, 2497),
+        (lambda h: re.sub(' class="[^"]*"', "", as_div(h, "article|main|nav|footer|aside|header")), 1890),
+        (lambda h: h.replace("<article>", '<article class="post has-share no-sidebar comments-open with-ads">'), 2500),
+        (lambda h: as_div(h.replace("<article>", '<article class="post has-share no-sidebar comments-open with-ads">')), 2497),
+    ],
+    ids=["as given", "article as div", "no names", "noise", "noise on div"],
+)
+def test_all_pages_against_their_articles(change, equal):
+    """How many pages of the largest table give just the article's own blocks (the figures of the README)."""
+    pages = [h for (h,) in duckdb.sql("select html from '/root/testdata/sf0.1/pages.parquet'").fetchall()]
+    own = [re.search("<article>(.*?)(</article>|<footer>)", h, re.S)[1] for h in pages]
+    want = ["\n".join(b.text for b in H.blocks_of(x)[0]) for x in own]
+    assert sum(H.main_text(change(h)) == w for h, w in zip(pages, want, strict=True)) >= equal
