@@ -11,10 +11,14 @@ which is 1 when t only ever occurs with c. A pair counts when ``SUPPORT`` differ
 more have both, so exact copies of one text are no evidence and near copies are. Most values
 are too rare for that, so c is also each class that a value belongs to: the name and the
 domain of an e-mail, the network of an IP, the issuer of a card, the prefix of a phone, and
-the kind itself. Classes are common, so there a pair needs so many texts that chance
-gives them with probability ``CHANCE`` at most. The highest disclosure counts. From
-``GENERALISE`` on the term is replaced by its kind, from ``REMOVE`` on it is removed, wherever it
-stands in the documents that hold its entity.
+the kind itself. A pair also needs so many texts that chance would give an entity at most
+``CHANCE`` of its terms, of all the terms that are tried (a bound on the tail, times their
+number). The highest disclosure counts. From ``GENERALISE`` on the term is replaced by its kind,
+from ``REMOVE`` on it is removed, wherever it stands in the documents that hold its entity.
+
+What a pair scores follows from the sets of documents that have c and t alone. So entities
+that stand in the same documents are one group, terms that do so another, and pairs are made
+of groups: two copies of a directory make one pair, not one for each name and number.
 
 Null and empty texts have no spans. Statistics are over documents (rows by doc_id); rows with
 a null doc_id are searched for base spans but give no statistics and no terms. Rows that
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +39,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.bits import bitmap, has
 from plumbline.llm.shared import arrow_map, drop, slices, spare, table, texts_of, trim
 from plumbline.llm.words import Words, covered, span_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT, GENERALISE, REMOVE = 2, 0.7, 0.9
-CHANCE = 1e-4
-_BITS = 24
+CHANCE = 0.05
 _HELD = 1 << 20
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -184,16 +189,10 @@ def _terms(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([ids, rows, pa.array(h[once].view(np.int64))], names=["doc_id", "row", "term"])
 
 
-def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Which hashes have their bit set."""
-    low = h & np.uint64((1 << _BITS) - 1)
-    return ((bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1) > 0
-
-
 def _places(bits: np.ndarray, part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
     """Every place of the terms whose bit is set."""
     o = _Outside(part, texts)
-    at = o.at[_has(bits, o.hash[o.at])]
+    at = o.at[has(bits, o.hash[o.at])]
     ids, rows = (part.column(c).take(pa.array(o.words.doc[at])) for c in ("doc_id", "row"))
     return pa.RecordBatch.from_arrays([ids, rows, pa.array(o.hash[at].view(np.int64)), pa.array(o.start[at].astype(np.int32)), pa.array(o.stop[at].astype(np.int32))], names=["doc_id", "row", "term", "start", "stop"])
 
@@ -215,7 +214,7 @@ def _term_counts(bits: np.ndarray, batches: Iterable[pa.RecordBatch]) -> Iterato
     for _, texts in slices(batches):
         w = Words([t.lower() for t in texts], _BETWEEN)
         h = w.hashes()
-        at = np.flatnonzero(_has(bits, h))
+        at = np.flatnonzero(has(bits, h))
         if not len(at):
             continue
         h, d = h[at], w.doc[at]
@@ -236,21 +235,11 @@ def _term_counts(bits: np.ndarray, batches: Iterable[pa.RecordBatch]) -> Iterato
     trim()
 
 
-def _bitmap(terms: DataFrame) -> np.ndarray:
-    """Which of 2^24 hash ends are those of ``terms``: 2 MB whatever their number."""
-    place = F.col("term").bitwiseAND((1 << _BITS) - 1) + 1  # the functions count places from one
-    rows = terms.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("at")).groupBy("k").agg(F.bitmap_construct_agg("at").alias("bits")).collect()
-    out = np.zeros((1 << _BITS) // 8, np.uint8)
-    for r in rows:
-        part = np.frombuffer(bytes(r["bits"]), np.uint8)
-        begin = (r["k"] - 1) * 4096
-        out[begin : begin + len(part)] |= part
-    return out
-
-
-def needed(n_class: F.Column, n: float) -> F.Column:
-    """Texts that a term would share with a class of ``n_class`` among ``n`` documents by chance ``CHANCE`` at most."""
-    return F.greatest(F.lit(SUPPORT).cast("long"), F.ceil(F.log(F.lit(CHANCE)) / F.log(n_class / F.lit(n))))
+def unlikely(support: F.Column, n_class: F.Column, n_term: F.Column, n: float, tried: int) -> F.Column:
+    """Whether so many texts with both are more than chance gives: Chernoff's bound of the tail for a term strewn over ``n`` documents, for ``tried`` terms."""
+    mean = n_class * n_term / F.lit(n)
+    bound = support * F.log(support / mean) - support + mean
+    return (support > mean) & (bound >= F.lit(np.log(max(tried, 1) / CHANCE)))
 
 
 def _holders(found: DataFrame) -> DataFrame:
@@ -263,43 +252,73 @@ def _members(found: DataFrame) -> DataFrame:
     return _holders(found).select("doc_id", F.explode("of").alias("x")).select("doc_id", "x.entity", "x.wide").distinct()
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs that exceed the lower threshold.
+def _group(*ids: str) -> tuple[F.Column, F.Column]:
+    """Two sums by which sets of rows are told apart."""
+    return F.sum(F.xxhash64(*ids).cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(*ids, F.lit(7))).alias("x")
+
 
-    Pairs are made only of terms and entities that can still pass: n(c,t) is at most n(c), and at most the number of
+@dataclass
+class Disclosure:
+    """Pairs of groups over the lower threshold, and who is in a group."""
+
+    flagged: DataFrame  # (entities, terms, disclosure)
+    entity_groups: DataFrame  # (entity, entities)
+    holders: DataFrame  # (doc_id, entities)
+    term_groups: DataFrame  # (term, terms)
+
+
+def disclosing_groups(docs: DataFrame, found: DataFrame) -> Disclosure:
+    """The pairs of groups of entities and of terms that exceed the lower threshold.
+
+    Pairs are made only of groups that can still pass: n(c,t) is at most n(c), and at most the number of
     documents that have t and any entity; either bounds n(t).
     """
     ids = texts_of(docs).filter("doc_id is not null")
     n = float(ids.select("doc_id").distinct().count())
-    members = _members(found)
-    sizes = members.groupBy("entity").agg(F.count("*").alias("n_entity")).filter((F.col("n_entity") >= SUPPORT) & (F.col("n_entity") < n))
+    members = table(_members(found), "pii-members")
+    sizes = members.groupBy("entity", "wide").agg(F.count("*").alias("n_entity"), *_group("doc_id")).filter((F.col("n_entity") >= SUPPORT) & (F.col("n_entity") < n))
+    sizes = table(sizes.select("entity", "n_entity", F.xxhash64("n_entity", "s", "x").alias("entities")), "pii-entities")
+    holders = table(members.join(sizes, "entity").select("doc_id", "entities").distinct(), "pii-holders")
     least = F.pow(F.col("n_entity") / F.lit(n), F.lit(1 - GENERALISE))  # of the documents of a term, the share that must hold the entity
-    sizes = table(sizes.withColumn("least", least * (1 - 1e-9)).withColumn("most", F.col("n_entity") / F.col("least")), "pii-entities")
-    bound = sizes.agg(F.min("least"), F.max("most")).first()
+    groups = sizes.groupBy("entities").agg(F.first("n_entity").alias("n_entity")).withColumn("least", least * (1 - 1e-9)).withColumn("most", F.col("n_entity") / F.col("least"))
+    groups = table(groups, "pii-entity-groups")
+    bound = groups.agg(F.min("least"), F.max("most")).first()
     least, most = bound[0] or 1.0, bound[1] or 0.0
     words = table(arrow_map(_holders(found).select("doc_id", "row", "base", "text"), _terms, "doc_id long, row long, term long"), "pii-words")
-    often = words.groupBy("term").agg(F.count_distinct("row").alias("n"), F.count("*").alias("held")).filter(F.col("n") >= SUPPORT)
-    often = table(often.select("term", "held"), "pii-terms-held")
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(often))
+    often = words.groupBy("term").agg(F.count_distinct("row").alias("n"), F.count("*").alias("held"), *_group("doc_id", "row")).filter(F.col("n") >= SUPPORT)
+    often = table(often.drop("n"), "pii-terms-held")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(often, "term"))
     counts = ids.mapInArrow(lambda batches: _term_counts(bits.value, batches), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     # Where rows repeat a doc_id the count of a term may exceed its documents, which lowers the disclosure.
     rare = often.join(counts, "term").filter(F.col("n_term").between(SUPPORT, most) & (F.col("held") >= F.col("n_term") * least))
-    near = words.join(rare, "term").join(members.join(sizes, "entity"), "doc_id").filter("n_term <= most and held >= n_term * least")
-    joint = near.groupBy("entity", "wide", "term", "n_entity", "n_term").agg(F.count_distinct("row").alias("support"), F.count_distinct("doc_id").alias("both"))
-    joint = joint.filter((F.col("support") >= SUPPORT) & (~F.col("wide") | (F.col("support") >= needed(F.col("n_entity"), n))))
+    rare = table(rare.select("term", "n_term", "held", F.xxhash64("n_term", "held", "s", "x").alias("terms")), "pii-terms")
+    tried = rare.count()
+    of = words.join(rare, "term").groupBy("doc_id", "terms").agg(F.first("n_term").alias("n_term"), F.first("held").alias("held"), F.collect_set("row").alias("rows"))
+    near = of.join(holders, "doc_id").join(groups, "entities").filter("n_term <= most and held >= n_term * least")
+    near = near.select("entities", "terms", "n_entity", "n_term", F.posexplode("rows").alias("nth", "row"))
+    joint = near.groupBy("entities", "terms", "n_entity", "n_term").agg(F.count_distinct("row").alias("support"), F.sum((F.col("nth") == 0).cast("long")).alias("both"))
+    joint = joint.filter((F.col("support") >= SUPPORT) & unlikely(F.col("support"), F.col("n_entity"), F.col("n_term"), n, tried))
     share = F.log(F.lit(n) * F.col("both") / (F.col("n_entity") * F.greatest("n_term", "both"))) / F.log(F.lit(n) / F.col("n_entity"))
-    flagged = table(joint.select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE), "pii-flagged")
-    drop(sizes, words, often)
-    return flagged
+    flagged = table(joint.select("entities", "terms", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE), "pii-flagged")
+    drop(members, groups, words, often)
+    return Disclosure(flagged, sizes.select("entity", "entities"), holders, rare.select("term", "terms"))
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(entity, term, disclosure) of each pair over the lower threshold; as many rows as there are pairs."""
+    d = disclosing_groups(docs, found)
+    return d.flagged.join(d.entity_groups, "entities").join(d.term_groups, "terms").select("entity", "term", "disclosure")
 
 
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(doc_id, row, terms): every place of a disclosing term in the documents of its entity, with its disclosure, by start."""
-    flagged = disclosing_terms(docs, found)
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(flagged))
+    d = disclosing_groups(docs, found)
+    terms = d.term_groups.join(d.flagged.select("terms").distinct(), "terms")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(terms, "term"))
     places = arrow_map(_holders(found).select("doc_id", "row", "base", "text"), lambda part, texts: _places(bits.value, part, texts), "doc_id long, row long, term long, start int, stop int")
-    hit = places.join(_members(found), "doc_id").join(flagged, ["entity", "term"]).groupBy("doc_id", "row", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
-    return hit.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "disclosure"))).alias("terms"))
+    told = d.flagged.join(d.holders, "entities").groupBy("doc_id", "terms").agg(F.max("disclosure").alias("disclosure"))
+    hit = places.join(terms, "term").join(told, ["doc_id", "terms"])
+    return hit.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "stop", "disclosure"))).alias("terms"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
