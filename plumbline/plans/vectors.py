@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.vectors import truncate
-from plumbline.operators import cluster, neighbors
+from plumbline.operators import cluster, neighbors, vecindex
 from plumbline.plans.registry import ORACLES, query, read
-from plumbline.session import cut
+from plumbline.session import cut, scratch
 
 NEAR = 0.60
 _PAIRS = f"(select a.vec_id as a, b.vec_id as b, 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) as d from embeddings a join embeddings b on a.vec_id < b.vec_id where 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) < {NEAR})"
@@ -99,6 +99,35 @@ def fold_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbors.fold(e, cut(neighbors.lsh_pairs(e, NEAR)))
 
 
+@query()
+def index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every vector the 200 nearest by a kept index, to which a third of the rows was appended after it was built."""
+    e = read(spark, sf_dir, "embeddings")
+    late = F.pmod(F.xxhash64("vec_id"), F.lit(3)) == 0
+    index = vecindex.VectorIndex.build(e.filter(~late), scratch(spark, "vector-index"))
+    index.append(e.filter(late))
+    return index.search(e, 200, NEAR).withColumn("distance", F.round("distance", 6))
+
+
+@query(f"select q.vec_id as query, e.vec_id as neighbour from embeddings q join embeddings e on 1 - list_cosine_similarity(q.embedding::double[], e.embedding::double[]) < {NEAR} where q.vec_id % 100 = 0")
+def index_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors under the distance of every query whose id is divisible by 100, from the kept index, exactly."""
+    e = read(spark, sf_dir, "embeddings")
+    index = vecindex.VectorIndex.build(e, scratch(spark, "vector-index"))
+    return index.within(e.filter("vec_id % 100 = 0"), NEAR).select("query", "neighbour")
+
+
+@query(ORACLES["fold_dedup"])
+def fold_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered greedy fold in three batches by ranges of ids, each against the kept seeds."""
+    e = read(spark, sf_dir, "embeddings")
+    low, high = e.agg(F.min("vec_id"), F.max("vec_id")).first()
+    state = vecindex.OnlineFold(spark, scratch(spark, "fold"), NEAR)
+    for i in range(3):
+        state.add(e.filter(F.floor((F.col("vec_id") - low) * 3 / (high - low + 1)) == i))
+    return state.folded()
+
+
 @query()
 def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings by the offline hashing embedder."""

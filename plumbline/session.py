@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,15 +25,42 @@ def build(name: str = "plumbline", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; only where it is unset, and on one machine, a temporary one."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("plumbline.shared", None)
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="plumbline-")
+        spark.conf.set("plumbline.shared", named)
+    return named.rstrip("/")
+
+
+_kept: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder; what is written there goes when this process ends."""
+    path = f"{shared_folder(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
+    _kept.append((spark, path))
+    return path
 
-    The folder is the one that ``spark.checkpoint.dir`` names; only where it is unset, and on one machine, a temporary one is used.
-    """
+
+@atexit.register
+def _release() -> None:
+    while _kept:
+        spark, path = _kept.pop()
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session has gone already; the folder belongs to the cluster
+            return
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and go on from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        if not named and not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="plumbline-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
