@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plumbline.functions.automaton import phrase_hits
 from plumbline.functions.lexicon import AUDIENCES, QUESTION_STARTERS, QUESTION_WORDS, phrases
 
 MIN_LEN, MAX_LEN, LONG_MIN, TRANSCRIPT_MAX = 80, 4000, 300, 20000
@@ -34,17 +35,23 @@ def length_gate(text: Column, low: int = MIN_LEN, high: int = MAX_LEN) -> Column
 
 
 def lexicon_hits(text: Column, words: Sequence[str] | None = None, squeeze: bool = False) -> Column:
-    """Phrases found in the text: as listed on the raw lower-case text, or sorted on the squeezed text."""
-    listed = F.array(*map(F.lit, phrases() if words is None else words))
-    low = squeezed(text) if squeeze else F.lower(text)
-    hits = F.filter(listed, lambda p: F.instr(low, p) > 0)
-    return F.array_sort(F.array_distinct(hits)) if squeeze else hits
+    """Phrases found in the text: on the raw lower-case text as listed (those of the lexicon with longer ones first), or sorted on the squeezed text."""
+    hits = phrase_hits(squeezed(text) if squeeze else F.lower(text), phrases() if words is None else words)
+    if squeeze:
+        return F.array_sort(F.array_distinct(hits))
+    return hits if words is not None else longest_first(hits)
+
+
+def longest_first(texts: Column) -> Column:
+    """Longer texts before shorter ones, equally long ones by name."""
+    keyed = F.array_sort(F.transform(texts, lambda p: F.struct((-F.char_length(p)).alias("n"), p.alias("p"))))
+    return F.transform(keyed, lambda s: s["p"])
 
 
 def has_phrase(text: Column, words: Sequence[str] | None = None) -> Column:
-    """Any phrase is in the squeezed text: one alternation, matched in a single pass."""
+    """Any phrase is in the squeezed text."""
     listed = phrases() if words is None else words
-    return squeezed(text).rlike("|".join(map(_java_quote, listed))) if listed else F.lit(False)
+    return F.size(phrase_hits(squeezed(text), listed)) > 0 if listed else F.lit(False)
 
 
 def _java_quote(text: str) -> str:

@@ -13,10 +13,16 @@ def one(spark, value, expr, kind="string"):
     return spark.createDataFrame([(value,)], f"x {kind}").select(expr(F.col("x")).alias("y")).first().y
 
 
-def test_lexicon_has_its_phrases_once_and_longest_first():
+def test_lexicon_has_its_phrases_once():
     listed = lexicon.phrases()
     assert len(listed) == len(set(listed)) == 111
-    assert [len(p) for p in listed] == sorted((len(p) for p in listed), reverse=True)
+
+
+def test_hits_of_the_lexicon_come_longest_first(spark):
+    text = "tedious manual work by hand, takes hours and hours every week, over and over"
+    hits = one(spark, text, T.lexicon_hits)
+    assert hits == sorted((p for p in lexicon.phrases() if p in text), key=lambda p: (-len(p), p)) and len(hits) == 6
+    assert one(spark, text, lambda c: T.lexicon_hits(c, ["tedious", "by hand", "over and over", "none"])) == ["tedious", "by hand", "over and over"]
 
 
 def test_hits_of_a_known_sentence(spark):
