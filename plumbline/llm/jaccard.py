@@ -8,7 +8,8 @@ number that a set of n elements can share with a linked one. So
 * small sets (up to a boundary) enumerate the subsets of two elements of that prefix with
   k = 2; two small sets that link have a subset in common, and few others do;
 * large sets are looked up in inverted lists of the single elements of their prefix with
-  k = 1, which also list the small sets that are large enough to link with a large one.
+  k = ``wanted``, which also list the small sets that are large enough to link with a large
+  one; a set that is in fewer shared lists than its partners' k links with none and leaves them.
 
 The boundary is where the cost is least: rows to enumerate for sets of each size against rows
 to list and pairs to scan, by the lengths of the lists. Any boundary finds every link.
@@ -17,9 +18,12 @@ Equal sets are folded to one first. Lists are not expanded into pairs. In two ro
 sets are compared by exact intersection, and a list yields a spanning forest of its links:
 first every set in its longest and its shortest list, cut into chunks of ``MOST`` that share
 one leader, which joins most groups of near copies; then, in each list that still has sets of
-different components, those of different ones. A list of more than ``MOST`` is dealt out in
-pairs of blocks: its largest component's against the others', and these against each other.
-No list is too long, and no pair is skipped but those that are connected already.
+different components, those of different ones. There sets come as sketches first: the parity
+of their elements in each of ``SKETCH`` cells or more. Two sketches differ in no more cells than their
+sets have elements that the other lacks, so only sets that may link with one of another
+component are compared as a whole. A list of more than ``MOST`` is dealt out in pairs of
+blocks: its largest component's against the others', and these against each other. No list
+is too long, and no pair is skipped but those that are connected or can't link.
 
 Texts under ``SHINGLE`` words are one element; those without words are empty and link with
 nothing, but keep a component of their own. Null texts count as empty. Rows with a null id
@@ -46,9 +50,17 @@ from plumbline.llm.words import Words, grams, mix
 SHINGLE, PERCENT = 4, 85
 #: Sets above which an element counts as heavy and a list is dealt out in blocks. Any value finds every link.
 MOST = 256
-#: Cost of shuffling one row of a list, in steps of comparing two sets, of which a pair takes as many as it has elements.
-ROW = 300
+#: Cost of one row of a list, in steps of comparing two sets, of which a pair takes as many as it has elements.
+ROW = 3000
+#: Lists in which a set is compared for certain; the others are only looked at where they are still open.
+SCANNED = 2
 _CLASSES = 64
+#: Cells of a sketch at least; a larger set has the power of two above its size.
+SKETCH = 2048
+#: How often sets in too few lists are looked for; any number of times finds every link.
+_LEAVE = 2
+#: Of so many elements of the plain prefix one more is asked for.
+_MORE = 4
 
 
 def shared_least(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -56,11 +68,36 @@ def shared_least(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
+def smallest(n: np.ndarray) -> np.ndarray:
+    """The size of the smallest set that one of n elements can link to."""
+    return -(-PERCENT * n // 100)
+
+
 def prefix_size(n: np.ndarray) -> np.ndarray:
     """How many first elements of a set have one at least in common with every set that it links to; none if it can only link to its equals."""
     n = np.asarray(n)
-    size = n - shared_least(n, -(-PERCENT * n // 100)) + 1
-    return np.where(n < -(-PERCENT // (100 - PERCENT)), 0, size)
+    return np.where(n < smallest_linking(), 0, n - shared_least(n, smallest(n)) + 1)
+
+
+def smallest_linking() -> int:
+    """Sets of fewer elements link to their equals alone."""
+    return -(-PERCENT // (100 - PERCENT))
+
+
+def wanted(n: np.ndarray) -> np.ndarray:
+    """How many lists of a set of n elements count as its prefix's k."""
+    return 1 + prefix_size(n) // _MORE
+
+
+def needed(n: np.ndarray) -> np.ndarray:
+    """In how many lists a set meets each set that it links to, whose own k may be smaller. As sizes grow a prefix shrinks by one at most."""
+    return 1 + np.maximum(prefix_size(smallest(n)) - 1, 0) // _MORE
+
+
+def listed_size(n: np.ndarray) -> np.ndarray:
+    """Length of the prefix for k = ``wanted``, and for subsets of two at least."""
+    long = prefix_size(n)
+    return np.where(long, np.minimum(long + np.maximum(wanted(n) - 1, 1), n), 0)
 
 
 class Sets:
@@ -98,29 +135,14 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _prefixes(heavy: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text: the size and the name of its set, and the prefix in the global order, by one element longer than lists need."""
+    """Per text: the size and the name of its set, the lists that it needs, and the prefix in the global order."""
     for part, texts in slices(batches):
         s = Sets(texts)
         late = np.zeros(len(s.h), bool) if heavy is None else has(heavy, s.h)
         order = np.lexsort((s.h, late, s.doc))
         nth = np.arange(len(order)) - s.first[s.doc]
-        long = prefix_size(s.size)
-        keep = np.flatnonzero(nth < np.where(long, long + 1, 0)[s.doc])
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s.size.astype(np.int64)), _signed(s.names()), _rows(s, keep, s.h[order[keep]])], names=["doc_id", "n", "node", "prefix"])
-    trim()
-
-
-def _touched(heavy: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All elements of the sets that have a heavy one in their prefix, with the number of a slice's sets that have them."""
-    for _, texts in slices(batches):
-        s = Sets(texts)
-        nth = np.arange(len(s.h)) - s.first[s.doc]
-        hit = has(heavy, s.h) & (nth <= prefix_size(s.size)[s.doc])
-        of = np.zeros(len(texts), bool)
-        of[s.doc[hit]] = True
-        h, n = np.unique(s.h[of[s.doc]], return_counts=True)
-        if len(h):
-            yield pa.RecordBatch.from_arrays([_signed(h), pa.array(n)], names=["key", "n"])
+        keep = np.flatnonzero(nth < listed_size(s.size)[s.doc])
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s.size.astype(np.int64)), _signed(s.names()), pa.array(needed(s.size).astype(np.int32)), _rows(s, keep, s.h[order[keep]])], names=["doc_id", "n", "node", "need", "prefix"])
     trim()
 
 
@@ -138,7 +160,7 @@ def boundary(sets: dict[int, tuple[int, float]], pairs: dict[int, float]) -> int
     long = prefix_size(np.round(size).astype(np.int64)).astype(float)
     number = np.array([float(sets[c][0]) for c in classes])
     small = number * long * (long + 1) / 2 * ROW
-    large = number * long * ROW + np.array([pairs.get(c, 0.0) for c in classes]) * size
+    large = number * long * ROW + np.array([pairs.get(c, 0.0) for c in classes]) * size * np.minimum(1, SCANNED / np.maximum(long, 1))
     costs = [small[:i].sum() + large[i:].sum() for i in range(len(classes) + 1)]
     best = int(np.argmin(costs)) if costs else 0
     return int(2 ** ((classes[best - 1] + 1) / 4)) - 1 if best else 0
@@ -146,21 +168,21 @@ def boundary(sets: dict[int, tuple[int, float]], pairs: dict[int, float]) -> int
 
 def _keys(small: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, n, prefix) -> one row for each subset or list of the set."""
-    from_lists = -(-PERCENT * (small + 1) // 100)
+    from_lists = smallest(small + 1)
     for batch in batches:
         nodes, sizes = (batch.column(c).to_numpy() for c in ("node", "n"))
         lists = batch.column("prefix")
         flat, offset = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
         keys, rows = [], []
         for i in np.flatnonzero(np.diff(offset)).tolist():
-            x = flat[offset[i] : offset[i + 1]]
+            x, long = flat[offset[i] : offset[i + 1]], int(prefix_size(sizes[i]))
             if sizes[i] <= small:
-                a, b = np.triu_indices(len(x), 1)
+                a, b = np.triu_indices(long + 1, 1)
                 keys.append(mix(mix(x[a]) + x[b]))
                 rows.append(np.full(len(a), i))
             if sizes[i] >= from_lists:
-                keys.append(x[:-1])
-                rows.append(np.full(len(x) - 1, i))
+                keys.append(x[: long + int(wanted(sizes[i])) - 1])
+                rows.append(np.full(len(keys[-1]), i))
         if keys:
             at = np.concatenate(rows)
             yield pa.RecordBatch.from_arrays([_signed(np.concatenate(keys)), pa.array(nodes[at])], names=["key", "node"])
@@ -168,7 +190,7 @@ def _keys(small: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def _whole(live: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, elements) of the sets that are live; each task gives a set once."""
+    """(node, n, sketch, elements) of the sets that are live; each task gives a set once."""
     seen: set[int] = set()
     for _, texts in slices(batches):
         s = Sets(texts)
@@ -177,10 +199,50 @@ def _whole(live: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         at = list({names[i]: i for i in at}.values())
         seen.update(names[at])
         if at:
-            yield pa.RecordBatch.from_arrays([_signed(names[at]), pa.array([s.h[s.first[i] : s.first[i + 1]].tobytes() for i in at], pa.binary())], names=["node", "elements"])
+            sets = [s.h[s.first[i] : s.first[i + 1]] for i in at]
+            yield pa.RecordBatch.from_arrays([_signed(names[at]), pa.array(s.size[at].astype(np.int32)), pa.array(map(sketch, sets), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "n", "sketch", "elements"])
+    trim()
+
+
+def sketch(elements: np.ndarray) -> bytes:
+    """Whether the number of elements in each cell is odd."""
+    size = max(SKETCH, 1 << (len(elements) - 1).bit_length())
+    cells = np.bincount((elements >> np.uint64(20) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(cells.astype(np.uint8)).tobytes()
+
+
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, block), with sketches -> those that may link with one of another component in their block."""
+    names = ["key", "block", "node", "root"]
+    for _, group in groupby(_each(batches, [*names, "n", "sketch"]), lambda r: r[:2]):
+        rows = list(group)
+        root, n, width = np.array([r[3] for r in rows]), np.array([r[4] for r in rows]), np.array([len(r[5]) for r in rows])
+        yes = np.zeros(len(rows), bool)
+        for w in np.unique(width).tolist():
+            own, wide = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)  # sets that link are of one width, or of this and the next
+            both = np.concatenate((own, wide))
+            bits = [np.frombuffer(rows[i][5], np.uint64) for i in both]
+            bits = np.stack([x if len(x) == w // 8 else x[: w // 8] ^ x[w // 8 :] for x in bits])  # half the cells
+            for i, at in enumerate(own):
+                rest = both[i + 1 :]
+                near = np.flatnonzero((root[rest] != root[at]) & (100 * np.minimum(n[rest], n[at]) >= PERCENT * np.maximum(n[rest], n[at])))
+                if len(near):
+                    m = n[rest[near]]
+                    apart = np.bitwise_count(bits[i + 1 + near] ^ bits[i]).sum(1, dtype=np.int64)
+                    hit = rest[near[apart <= m + n[at] - 2 * shared_least(m, n[at])]]
+                    yes[hit] = True
+                    yes[at] |= len(hit) > 0
+        if yes.any():
+            kept = [r for r, y in zip(rows, yes.tolist(), strict=True) if y]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in kept], pa.string() if i == 1 else pa.int64()) for i in range(4)], names=names)
     trim()
 
 
+def _each(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+
+
 def forest(sets: list[np.ndarray], root: np.ndarray) -> list[tuple[int, int]]:
     """Links, as places, that together with equal roots span the groups that all links make.
 
@@ -224,13 +286,8 @@ def forest(sets: list[np.ndarray], root: np.ndarray) -> list[tuple[int, int]]:
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, block) -> links inside each block of a list."""
-
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in ("key", "block", "node", "root", "elements")), strict=True)
-
     out: list[tuple[int, int]] = []
-    for _, group in groupby(rows(), lambda r: r[:2]):
+    for _, group in groupby(_each(batches, ["key", "block", "node", "root", "elements"]), lambda r: r[:2]):
         held = list({r[2]: r for r in group}.values())
         if len(held) > 1:
             nodes = [r[2] for r in held]
@@ -243,9 +300,14 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trim()
 
 
+def _met(rows: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """(key, block, node, root) with columns of the node's set, each block in one task and in a row."""
+    return rows.join(sets.select("node", *columns), "node").repartition("key", "block").sortWithinPartitions("key", "block").select("key", "block", "node", "root", *columns)
+
+
 def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(key, block, node, root) -> links, by the elements of the nodes."""
-    return rows.join(sets, "node").repartition("key", "block").sortWithinPartitions("key", "block").select("key", "block", "node", "root", "elements").mapInArrow(_links, "u long, v long")
+    return _met(rows, sets, ["elements"]).mapInArrow(_links, "u long, v long")
 
 
 def _chunk(n: Column) -> Column:
@@ -287,43 +349,64 @@ def _second_round(members: DataFrame, roots: DataFrame, sets: DataFrame) -> Data
     with_rests = F.transform(upto(F.col("rests")), lambda j: name("r", F.least(j, F.col("at")), F.greatest(j, F.col("at"))))
     blocks = F.when(F.col("root") == F.col("main"), F.transform(upto(F.col("rests")), lambda j: name("m", F.col("at"), j))).when(F.col("rests") > 1, F.concat(with_mains, with_rests)).otherwise(with_mains)
     heavy = dealt.select("key", F.explode(blocks).alias("block"), "node", "root")
-    return _compared(light.unionByName(heavy), sets)
+    suspects = _met(light.unionByName(heavy), sets, ["n", "sketch"]).mapInArrow(_suspects, "key long, block string, node long, root long")
+    return _compared(table(suspects, "jaccard-suspects"), sets)
 
 
 def prefixes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, prefix): heavy elements come last in the order."""
+    """(doc_id, n, node, need, prefix). Elements in the prefixes of more than ``MOST`` sets by hash alone are heavy and come last."""
     texts, spark = texts_of(docs), docs.sparkSession
-    schema = "doc_id long, n long, node long, prefix array<long>"
+    schema = "doc_id long, n long, node long, need int, prefix array<long>"
     found = table(texts.mapInArrow(lambda batches: _prefixes(None, batches), schema), "jaccard-prefixes")
     often = found.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MOST)
     often = table(often.select("key"), "jaccard-often")
     if often.isEmpty():
         return found
-    hit = spark.sparkContext.broadcast(bitmap(often, "key"))
-    heavy = texts.mapInArrow(lambda batches: _touched(hit.value, batches), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > MOST)
-    late = spark.sparkContext.broadcast(bitmap(heavy, "key"))
+    late = spark.sparkContext.broadcast(bitmap(often, "key"))
     drop(found, often)
     return table(texts.mapInArrow(lambda batches: _prefixes(late.value, batches), schema), "jaccard-prefixes")
 
 
+def _lists_of(entries: DataFrame) -> DataFrame:
+    """The lists of two sets or more, with their number and the least of them."""
+    return entries.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("least")).filter("c > 1")
+
+
+def shared_lists(distinct: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
+    """(key, node, c) of the sets in lists that others are in, too, and (key, c, least) of the lists.
+
+    Large sets that are in fewer of them than they need are taken out, and then those that this leaves in too few.
+    """
+    entries = table(distinct.mapInArrow(lambda batches: _keys(small, batches), "key long, node long"), "jaccard-entries")
+    lists = table(_lists_of(entries), "jaccard-lists")
+    members = table(entries.join(lists, "key").select("key", "node", "c"), "jaccard-listed")
+    drop(entries)
+    needs = distinct.select("node", F.when(F.col("n") * PERCENT > 100 * small, F.col("need")).otherwise(1).alias("need"))
+    for _ in range(_LEAVE):
+        stay = members.groupBy("node").agg(F.count("*").alias("k")).join(needs, "node").filter("k >= need").select("node")
+        left = table(members.join(stay, "node", "left_semi").select("key", "node"), "jaccard-entries")
+        drop(members, lists)
+        lists = table(_lists_of(left), "jaccard-lists")
+        members = table(left.join(lists, "key").select("key", "node", "c"), "jaccard-listed")
+        drop(left)
+    return members, lists
+
+
 def _boundary_of(sets: DataFrame) -> int:
     sizes = sets.filter("size(prefix) > 0").groupBy(size_class(F.col("n")).alias("k")).agg(F.count("*").alias("c"), F.avg("n").alias("n")).collect()
     lists = sets.select("n", F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("c"), F.avg("n").alias("n"))
-    pairs = lists.groupBy(size_class(F.col("n")).alias("k")).agg(F.sum(F.col("c").cast("double") * (F.col("c") - 1) / 2).alias("p")).collect()
+    pairs = lists.groupBy(size_class(F.col("n")).alias("k")).agg(F.sum(F.col("c").cast("double") * F.least(F.col("c") - 1, F.lit(MOST)) / 2).alias("p")).collect()
     return boundary({r["k"]: (r["c"], r["n"]) for r in sizes}, {r["k"]: r["p"] for r in pairs})
 
 
 def similar(docs: DataFrame, small: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest doc_id that links lead to. ``small``: the boundary, by default that of least cost."""
     found = prefixes(docs)
-    distinct = table(found.filter("size(prefix) > 0").select("node", "n", "prefix").dropDuplicates(["node"]), "jaccard-sets")
-    small = _boundary_of(distinct) if small is None else small
-    entries = table(distinct.mapInArrow(lambda batches: _keys(small, batches), "key long, node long"), "jaccard-entries")
-    lists = table(entries.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("least")).filter("c > 1"), "jaccard-lists")
-    members = table(entries.join(lists, "key").select("key", "node", "c"), "jaccard-listed")
-    drop(distinct, entries)
+    distinct = table(found.filter("size(prefix) > 0").select("node", "n", "need", "prefix").dropDuplicates(["node"]), "jaccard-sets")
+    members, lists = shared_lists(distinct, _boundary_of(distinct) if small is None else small)
+    drop(distinct)
     live = docs.sparkSession.sparkContext.broadcast(bitmap(members, "node"))
-    sets = texts_of(docs).mapInArrow(lambda batches: _whole(live.value, batches), "node long, elements binary")
+    sets = texts_of(docs).mapInArrow(lambda batches: _whole(live.value, batches), "node long, n int, sketch binary, elements binary")
     sets = table(sets.dropDuplicates(["node"]), "jaccard-elements")
     roots = stars(_first_round(members, lists, sets))
     more = _second_round(members, roots.select(F.col("u").alias("node"), F.col("v").alias("root")), sets)

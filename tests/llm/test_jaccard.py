@@ -81,7 +81,7 @@ def test_prefix_lemma():
     """Sets that just link share as many first elements as the keys need, in any order of elements."""
     rng = random.Random(2)
     for _ in range(3000):
-        n = rng.randrange(6, 90)
+        n = rng.randrange(6, rng.choice([20, 90, 900]))
         m = rng.randrange(-(-85 * n // 100), 100 * n // 85 + 1)
         both = int(J.shared_least(np.array(n), np.array(m)))
         if both > min(n, m):
@@ -91,6 +91,14 @@ def test_prefix_lemma():
         for k in (1, 2):
             cut = lambda x: set(x[: int(J.prefix_size(np.array(len(x)))) + k - 1])
             assert len(cut(a) & cut(b)) >= k
+        lists = [set(x[: int(J.prefix_size(len(x)) + J.wanted(len(x))) - 1]) for x in (a, b)]
+        assert len(lists[0] & lists[1]) >= max(int(J.needed(n)), int(J.needed(m)))
+        assert all(len(x) <= J.listed_size(k) for x, k in zip(lists, (n, m), strict=True))
+
+
+def test_prefixes_shrink_by_one_at_most():
+    sizes = J.prefix_size(np.arange(6, 100_000))
+    assert (np.maximum.accumulate(sizes) - sizes <= 1).all()
 
 
 def test_forest_spans_groups():
@@ -103,6 +111,35 @@ def test_forest_spans_groups():
     assert J.forest(sets, np.array([0] * 40 + list(range(1, 11)))) == []
 
 
+def test_sketches_differ_in_no_more_cells_than_sets_in_elements():
+    rng = np.random.default_rng(5)
+    for n in (1, 50, 5000):
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for k in (0, 1, n // 2, n):
+            x, y = np.unique(base), np.unique(np.concatenate((base[k:], rng.integers(0, 1 << 63, k // 2 + 1).astype(np.uint64))))
+            one, two = sorted((np.frombuffer(J.sketch(s), np.uint64) for s in (x, y)), key=len)
+            while len(two) > len(one):
+                two = two[: len(two) // 2] ^ two[len(two) // 2 :]
+            apart = np.bitwise_count(one ^ two).sum(dtype=np.int64)
+            assert apart <= len(np.setxor1d(x, y)) and (apart - len(np.setxor1d(x, y))) % 2 == 0
+
+
+def test_suspects_have_every_pair_that_links():
+    """Sets of sizes around a change of width, linked and not, in one block."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 2300).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[: 2300 - k], rng.integers(0, 1 << 62, k // 3).astype(np.uint64)))) for k in range(0, 900, 60)]
+    sets += [np.unique(rng.integers(0, 1 << 62, 2000 + 20 * k).astype(np.uint64)) for k in range(8)]
+    n = len(sets)
+    batch = pa.RecordBatch.from_pydict({"key": [1] * n, "block": [""] * n, "node": list(range(n)), "root": list(range(n)), "n": [len(x) for x in sets], "sketch": [J.sketch(x) for x in sets]})
+    assert len({len(J.sketch(x)) for x in sets}) == 2
+    got = {i for out in J._suspects(iter([batch])) for i in out.column("node").to_pylist()}
+    want = {i for i in range(n) for j in range(n) if i != j and linked(set(sets[i].tolist()), set(sets[j].tolist()))}
+    assert want <= got and want and not got & set(range(n - 8, n))
+
+
 def test_boundary_follows_cost():
     sets = {J.size_class(np.array([n]))[0].item(): (1000, float(n)) for n in (10, 20, 40, 300, 2000)}
     assert J.boundary(sets, {}) < 10  # nothing to scan: lists
