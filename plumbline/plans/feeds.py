@@ -89,16 +89,17 @@ def source_stackexchange(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """select case when p_partkey % 4 = 0 then 'https://x.test/' || p_partkey else 'g' || p_partkey end as ext_id, 'https://x.test/' || p_partkey as url, p_name as title, case when p_partkey % 3 = 0 then p_name else p_type end as body,
-    'feed1' as m_feed, case when p_partkey % 2 = 0 then 'Mon, 01 Jan 2024' else '' end as m_published from part"""
+    """select case when p_partkey % 4 = 0 then 'https://x.test/?a=' || p_partkey || '&b=2' else 'g' || p_partkey end as ext_id, 'https://x.test/?a=' || p_partkey || '&b=2' as url, p_name || ' & <co> é' as title,
+    case when p_partkey % 3 = 0 then p_name || ' & <co> é' else p_type || ' & more' end as body, 'feed1' as m_feed, case when p_partkey % 2 = 0 then 'Mon, 01 Jan 2024' else '' end as m_published from part"""
 )
 def source_news_rss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RSS items: guid or link as key, description or title as body; CDATA is taken off."""
+    """RSS items, seven in each payload: guid or link as key, description or title as body; CDATA is taken off, references are decoded."""
     guid = F.when(_k() % 4 != 0, F.concat(F.lit("<guid isPermaLink='false'>g"), _text(), F.lit("</guid>"))).otherwise("")
-    about = F.when(_k() % 3 != 0, F.concat(F.lit("<description><![CDATA["), F.col("p_type"), F.lit("]]></description>"))).otherwise("")
+    about = F.when(_k() % 3 != 0, F.concat(F.lit("<description><![CDATA["), F.col("p_type"), F.lit(" & more]]></description>"))).otherwise("")
     when = F.when(_k() % 2 == 0, "<pubDate>Mon, 01 Jan 2024</pubDate>").otherwise("")
-    item = F.concat(F.lit("<item>"), guid, F.lit("<link>https://x.test/"), _text(), F.lit("</link><title>"), F.col("p_name"), F.lit("</title>"), about, when, F.lit("</item>"))
-    raw = _raw(spark, sf_dir, "<rss><channel><title>c</title>", item, "</channel></rss>")
+    item = F.concat(F.lit("<item>"), guid, F.lit("<link>https://x.test/?a="), _text(), F.lit("&amp;b=2</link><title>"), F.col("p_name"), F.lit(" &amp; &lt;co> &#233;</title>"), about, when, F.lit("</item>"))
+    payload = F.concat(F.lit("<rss><channel><title>c</title>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>"))
+    raw = read(spark, sf_dir, "part").groupBy(F.floor(_k() / 7)).agg(payload.alias("payload"))
     return _laid_out(feeds.news_items(raw, "feed1"), "feed", "published")
 
 

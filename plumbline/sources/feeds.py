@@ -104,52 +104,18 @@ FEEDS: dict[str, Feed] = {
 }
 
 
+_ITEMS = "array<struct<guid: struct<_VALUE: string>, link: string, title: string, description: string, pubDate: string>>"
+
+
 def news_items(raw: DataFrame, feed: str, payload: str = "payload") -> DataFrame:
-    """RSS payloads into documents: guid or link as key, description or title as body."""
-    item = F.explode(F.regexp_extract_all(payload, F.lit(r"(?is)<item\b[^>]*>(.*?)</item>"), 1))
-    rows = raw.select(item.alias("x"))
+    """RSS payloads into documents: guid or link as key, description or title as body; a payload that is no XML has no items."""
+    parsed = raw.select(F.from_xml(payload, f"struct<channel: struct<item: {_ITEMS}>, item: {_ITEMS}>", {"ignoreNamespace": "true"}).alias("f"))
+    none = F.array().cast(_ITEMS)
+    rows = parsed.select(F.explode(F.concat(F.coalesce("f.channel.item", none), F.coalesce("f.item", none))).alias("x"))  # some feeds have them beside the channel
 
     def tag(name: str) -> Column:
-        found = F.regexp_extract("x", rf"(?is)<{name}\b[^>]*>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{name}>", 1)
-        return F.nullif(found, F.lit(""))
+        return F.nullif(stripped(F.col(f"x.{name}")), F.lit(""))
 
     meta = F.to_json(F.struct(F.lit(feed).alias("feed"), F.coalesce(tag("pubDate"), F.lit("")).alias("published")))
-    out = rows.select(F.lit("news_rss").alias("source_slug"), F.coalesce(tag("guid"), tag("link")).alias("ext_id"), tag("link").alias("url"), tag("title").alias("title"), F.coalesce(tag("description"), tag("title"), F.lit("")).alias("body"), meta.alias("metadata"))
+    out = rows.select(F.lit("news_rss").alias("source_slug"), F.coalesce(tag("guid._VALUE"), tag("link")).alias("ext_id"), tag("link").alias("url"), tag("title").alias("title"), F.coalesce(tag("description"), tag("title"), F.lit("")).alias("body"), meta.alias("metadata"))
     return out.filter("ext_id is not null")
-
-
-def reddit_posts(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """Archive pages of posts; those without id or time are dropped, titles cut at 2000 characters."""
-    rows = raw.select(F.explode(F.from_json(F.get_json_object(payload, "$.data"), "array<variant>")).alias(ITEM))
-    number = lambda k: F.coalesce(text(k).try_cast("bigint"), F.lit(0))
-    out = rows.select(text("id").alias("reddit_id"), text("subreddit").alias("subreddit"), F.substring(F.coalesce(text("title"), F.lit("")), 1, 2000).alias("title"), text("selftext").alias("selftext"), text("author").alias("author"), number("score").alias("score"), number("num_comments").alias("num_comments"), F.concat(F.lit("https://reddit.com"), text("permalink")).alias("url"), F.timestamp_seconds(text("created_utc").try_cast("double").cast("bigint")).alias("created_utc"))
-    return out.filter("reddit_id is not null and created_utc is not null").withColumn("updated_at", F.col("created_utc"))
-
-
-def reddit_comments(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """Archive pages of comments: the post by its bare id, a parent only where it is a comment."""
-    rows = raw.select(F.explode(F.from_json(F.get_json_object(payload, "$.data"), "array<variant>")).alias(ITEM))
-    parent = F.when(F.startswith(text("parent_id"), F.lit("t1_")), F.substring(text("parent_id"), 4, 100))
-    out = rows.select(text("id").alias("reddit_id"), F.regexp_replace(text("link_id"), "^t3_", "").alias("post_reddit_id"), parent.alias("parent_reddit_id"), text("author").alias("author"), text("body").alias("body"), F.coalesce(text("score").try_cast("bigint"), F.lit(0)).alias("score"), F.timestamp_seconds(text("created_utc").try_cast("double").cast("bigint")).alias("created_utc"))
-    return out.filter("reddit_id is not null and created_utc is not null")
-
-
-def _time(path: str) -> Column:
-    return F.timestamp_seconds(text(path).try_cast("double").cast("bigint"))
-
-
-def legacy_posts(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """Submissions as the older worker fetched them, one payload each: {"submission": {..}, "comments": [..]}."""
-    rows = raw.select(F.try_parse_json(F.get_json_object(payload, "$.submission")).alias(ITEM)).filter(F.col(ITEM).isNotNull())
-    count = lambda k: text(k).try_cast("bigint").alias(k)
-    out = rows.select(text("id").alias("reddit_id"), text("subreddit").alias("subreddit"), text("title").alias("title"), either("selftext").alias("selftext"), _words("author").alias("author"), count("score"), text("upvote_ratio").try_cast("double").alias("upvote_ratio"), count("num_comments"), text("url").alias("url"), text("link_flair_text").alias("flair"), _time("created_utc").alias("created_utc"))
-    return out.filter("reddit_id is not null")
-
-
-def legacy_comments(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """Their whole comment trees: the parent by its bare id whether post or comment, depth, number of awards."""
-    post = F.get_json_object(payload, "$.submission.id").alias("post_reddit_id")
-    rows = raw.select(post, F.explode(F.from_json(F.get_json_object(payload, "$.comments"), "array<variant>")).alias(ITEM))
-    awards = F.coalesce(F.size(F.from_json(F.to_json(value("all_awardings")), "array<variant>")), F.lit(0))
-    out = rows.select("post_reddit_id", text("id").alias("reddit_id"), F.regexp_replace(text("parent_id"), "^[^_]*_", "").alias("parent_reddit_id"), text("body").alias("body"), _words("author").alias("author"), text("score").try_cast("bigint").alias("score"), text("depth").try_cast("int").alias("depth"), F.greatest(awards, F.lit(0)).alias("awards"), _time("created_utc").alias("created_utc"))
-    return out.filter("reddit_id is not null")

@@ -44,6 +44,13 @@ def test_news(spark):
     assert (r.ext_id, r.url, r.title, r.body, json.loads(r.metadata)) == ("g", "l", "T", "D", {"feed": "f", "published": "p"})
 
 
+def test_news_references_namespaces_and_broken_feeds(spark):
+    one = "<item><guid isPermaLink='false'> g1 </guid><link>https://x?a=1&amp;b=2</link><title>A &amp;amp; B &#233; &lt;b&gt;</title><description><![CDATA[<p>x & y</p>]]></description></item>"
+    feed = f"<?xml version='1.0' encoding='UTF-8'?><rss xmlns:media='http://m'><channel><title>c</title>{one}<item><link>l2</link><media:x>1</media:x></item></channel></rss>"
+    rows = spark.createDataFrame([(feed,), ("<rss><channel><item><title>cut off",), ("",), (None,), ("<rss><channel/></rss>",)], "payload string")
+    assert sorted((r.ext_id, r.url, r.title, r.body) for r in feeds.news_items(rows, "f").collect()) == [("g1", "https://x?a=1&b=2", "A &amp; B é <b>", "<p>x & y</p>"), ("l2", "l2", None, "")]
+
+
 def test_archive_posts_and_comments(spark):
     posts = payloads(spark, {"data": [{"id": "a", "title": "t" * 3000, "created_utc": 86400, "permalink": "/p"}, {"id": "b"}]})
     r = only(feeds.reddit_posts(posts))
