@@ -9,6 +9,7 @@
     id          the item's key, "id" by default
     after       where to begin; a stream goes on from its checkpoint
     shards      how many ranges of time are read at once
+    ranges      for batches: JSON pairs [after, before] that alone are read, e.g. the gaps of an earlier run
 
 The offset is the latest time read. Rows are (id, time, payload); a page that ends within a
 second is followed by one that begins with that second again, so ties past a page's edge
@@ -59,7 +60,8 @@ class _Range(InputPartition):
 
 class _Reader:
     def __init__(self, options: dict):
-        self.transport, self.clock = options["transport"], options["now"]
+        self.transport, self.clock = options["transport"], options.get("now", "")
+        self.given = json.loads(options["ranges"]) if "ranges" in options else None
         self.time, self.key = options.get("time", "created_utc"), options.get("id", "id")
         self.begin, self.shards, self.size = int(options.get("after", 0)), int(options.get("shards", 1)), int(options.get("size", 100))
 
@@ -75,6 +77,8 @@ class _Reader:
 
 class _Batch(_Reader, DataSourceReader):
     def partitions(self) -> list[_Range]:
+        if self.given is not None:
+            return [_Range(int(a), int(b)) for a, b in self.given]
         return self.ranges(self.begin, int(_named(self.clock)()))
 
 
