@@ -19,6 +19,8 @@ letters and digits in lower case, ``stemmed`` (English, stop words left out) or
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +32,7 @@ from plumbline.functions.fts import compile_phrases, lexemes, token_column
 BLOCK, BUCKETS, FIRST = 128, 64, 64
 #: Weights of the ranking.
 K1, B = 1.2, 0.75
-_WORD = r"[\p{L}\p{N}]+"
+_WORD, _WORDS = r"[\p{L}\p{N}]+", re.compile(r"[^\W_]+")
 
 
 def _tokens(text: Column, stemmed: bool) -> Column:
@@ -50,6 +52,7 @@ class SearchIndex:
         self.next = max(b["batch"] for b in batches) + 1
         self.docs, length = sum(b["docs"] for b in batches), sum(b["length"] for b in batches)
         self.mean = length / self.docs if length else 1.0
+        self._rows = spark.read.parquet(f"{self.path}/postings")
 
     @classmethod
     def build(cls, docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", stemmed: bool = True, buckets: int = BUCKETS) -> SearchIndex:
@@ -65,19 +68,17 @@ class SearchIndex:
         """The distinct lexemes of a query."""
         if self.stemmed:
             return list(dict.fromkeys(s for s, _ in lexemes(query)))
-        row = self.spark.range(1).select(F.array_distinct(F.transform(_tokens(F.lit(query), False), lambda t: t["lexeme"])).alias("w")).first()
-        return row["w"]
+        return list(dict.fromkeys(_WORDS.findall(query.lower())))
 
     def postings(self, words: Sequence[str]) -> DataFrame:
         """The rows of some lexemes; the files of other buckets aren't read."""
-        bucket = F.pmod(F.xxhash64("w"), F.lit(self.buckets)).cast("int")
-        named = self.spark.createDataFrame([(w,) for w in words], "w string").select(F.collect_set(bucket)).first()[0] if words else []
-        return self.spark.read.parquet(f"{self.path}/postings").filter(F.col("bucket").isin(named) & F.col("lexeme").isin(list(words)))
+        own = F.lit(False)
+        for w in words:  # the planner folds these to numbers
+            own = own | (F.col("bucket") == F.pmod(F.xxhash64(F.lit(w)), F.lit(self.buckets)).cast("int"))
+        return self._rows.filter(own & F.col("lexeme").isin(list(words)))
 
     def _weights(self, rows: DataFrame) -> dict[str, float]:
         """Rareness of each lexeme that is there."""
-        import math
-
         found = rows.groupBy("lexeme").agg(F.sum("n").alias("n")).collect()  # as many as the query has words
         return {r["lexeme"]: math.log(1 + (self.docs - r["n"] + 0.5) / (r["n"] + 0.5)) for r in found}
 
@@ -135,8 +136,8 @@ class SearchIndex:
     def _steps(self, phrase: str) -> list[list[tuple[str, int]]]:
         if self.stemmed:
             return compile_phrases([phrase])
-        words = self.spark.range(1).select(_tokens(F.lit(phrase), False).alias("t")).first()["t"]
-        return [[(t["lexeme"], t["pos"] - words[0]["pos"]) for t in words]] if words else []
+        words = _WORDS.findall(phrase.lower())
+        return [[(w, i) for i, w in enumerate(words)]] if words else []
 
 
 def _all(tests: list[Column]) -> Column:

@@ -19,7 +19,7 @@ def _index(spark: SparkSession, sf_dir: str, stemmed: bool) -> SearchIndex:
     """Three quarters of the documents, and the rest added later."""
     d = read(spark, sf_dir, "documents").select("doc_id", "text")
     late = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
-    return SearchIndex.build(d.filter(~late), scratch(spark, "search"), stemmed=stemmed).append(d.filter(late))
+    return SearchIndex.build(d.filter(~late), scratch(spark, "search"), stemmed=stemmed, buckets=16).append(d.filter(late))
 
 
 @query(
