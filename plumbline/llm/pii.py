@@ -316,8 +316,12 @@ def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     terms = d.term_groups.join(d.flagged.select("terms").distinct(), "terms")
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(terms, "term"))
     places = arrow_map(_holders(found).select("doc_id", "row", "base", "text"), lambda part, texts: _places(bits.value, part, texts), "doc_id long, row long, term long, start int, stop int")
-    told = d.flagged.join(d.holders, "entities").groupBy("doc_id", "terms").agg(F.max("disclosure").alias("disclosure"))
-    hit = places.join(terms, "term").join(told, ["doc_id", "terms"])
+    # One row for each place, whatever the number of pairs: a document brings its entities, a term those that it discloses.
+    held = d.holders.groupBy("doc_id").agg(F.collect_set("entities").alias("held"))
+    told = d.flagged.groupBy("terms").agg(F.collect_list(F.struct("disclosure", "entities")).alias("told"))
+    hit = places.join(terms.join(told, "terms").select("term", "told"), "term").join(held, "doc_id")
+    most = F.array_max(F.filter("told", lambda t: F.array_contains("held", t["entities"])))["disclosure"]
+    hit = hit.select("doc_id", "row", "start", "stop", most.alias("disclosure")).filter("disclosure is not null")
     return hit.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "stop", "disclosure"))).alias("terms"))
 
 
