@@ -7,8 +7,10 @@ key is combined on the map side and neither side has to fit in memory.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,22 +71,32 @@ def replace_stale(target: DataFrame, current: DataFrame, key: Sequence[str]) ->
 
 
 class SnapshotTable:
-    """A keyed Parquet table in ``buckets`` by hash of its key; a version is a list of where each bucket lies.
+    """A keyed Parquet table in buckets by hash of its key; a version is a list of the folder that each bucket lies in.
 
-    A merge reads and writes only the buckets that its batch has keys of. The version's file is written last, so a run
-    that dies leaves the version before it. The last ``keep`` versions can be read; files that only older ones have are
-    deleted. One writer at a time. The number of buckets is that of the first write.
+    A merge reads and writes only the buckets that its batch has keys of, into a folder of its own, and then commits: the
+    next version's file comes to be with all its content or not at all, and only if there is none of that number. A
+    writer that finds the number taken merges again on top of what is there now, so writers at once lose nothing, and
+    one that dies leaves the version before it. The last ``keep`` versions can be read; files that only older ones have
+    are deleted, ``keep`` should exceed the commits that others make during one merge, or that merge begins anew more often.
+
+    ``buckets`` is their number at first. Where a bucket has more than ``most_bytes`` on average the next merge rewrites the
+    table in as many more as bring it to half of that, so a bucket stays a task's work however large the table gets.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, keep: int = 2):
-        self.spark, self.path, self.buckets, self.keep = spark, path.rstrip("/"), buckets, keep
+    #: How often a merge is begun anew because others were faster.
+    TRIES = 20
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, keep: int = 2, most_bytes: int = 256 << 20):
+        self.spark, self.path, self.buckets, self.keep, self.most_bytes = spark, path.rstrip("/"), buckets, keep, most_bytes
         self._fs_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _names(self, at: str) -> list[str]:
+        where = self._fs_path(at)
+        return [x.getPath().getName() for x in self._fs.listStatus(where)] if self._fs.exists(where) else []
+
     def _versions(self) -> list[int]:
-        base = self._fs_path(f"{self.path}/_versions")
-        names = [x.getPath().getName() for x in self._fs.listStatus(base)] if self._fs.exists(base) else []
-        return sorted(int(x) for x in names if x.isdigit())
+        return sorted(int(x) for x in self._names(f"{self.path}/_versions") if x.isdigit())
 
     def version(self) -> int:
         """Number of the current version; 0 before the first."""
@@ -94,7 +106,7 @@ class SnapshotTable:
         return json.loads(self.spark.read.text(f"{self.path}/_versions/{version}", wholetext=True).first()[0])
 
     def _rows(self, state: dict, only: Sequence[int] | None = None) -> DataFrame:
-        paths = [f"{self.path}/v{v}/_bucket={b}" for b, v in state["at"].items() if only is None or int(b) in only]
+        paths = [f"{self.path}/{folder}/_bucket={b}" for b, folder in state["at"].items() if only is None or int(b) in only]
         kind = StructType.fromJson(state["schema"])
         return self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
 
@@ -102,43 +114,88 @@ class SnapshotTable:
         v = self.version() if version is None else version
         return self._rows(self._state(v)) if v else None
 
-    def _put(self, rows: DataFrame, key: Sequence[str], n: int, state: dict, replaced: Sequence[int] | None) -> int:
-        """Write rows as a version in which they are all that the replaced buckets have (None: all buckets)."""
-        v = self.version() + 1
-        to = f"{self.path}/v{v}"
+    def _commit(self, version: int, state: dict) -> bool:
+        """Whether the version could be had: its file is renamed, on local disks linked, from one that is whole, and never replaces another."""
+        whole, to = f"{self.path}/_versions/_{uuid.uuid4().hex}", f"{self.path}/_versions/{version}"
+        out = self._fs.create(self._fs_path(whole), True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if self._fs.getUri().getScheme() != "file":
+            if self._fs.rename(self._fs_path(whole), self._fs_path(to)):
+                return True
+            self._fs.delete(self._fs_path(whole), False)
+            return False
+        local = lambda p: self.spark._jvm.java.io.File(self._fs_path(p).toUri().getPath()).toPath()
+        try:
+            self.spark._jvm.java.nio.file.Files.createLink(local(to), local(whole))
+            return True
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            return False
+        finally:
+            self._fs.delete(self._fs_path(whole), False)
+
+    def _put(self, rows: DataFrame, key: Sequence[str], n: int, base: int, state: dict, replaced: Sequence[int] | None) -> int | None:
+        """Write rows that are all that the replaced buckets have (None: all buckets), on top of version ``base``; None if another was faster."""
+        folder = f"v{base + 1}-{uuid.uuid4().hex}"
+        to = f"{self.path}/{folder}"
         bucket = F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
-        rows.withColumn("_bucket", bucket).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(to)
-        written = [x.getPath().getName().partition("=")[2] for x in self._fs.listStatus(self._fs_path(to)) if x.getPath().getName().startswith("_bucket=")]
+        rows.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(to)
+        written = [x.partition("=")[2] for x in self._names(to) if x.startswith("_bucket=")]
         stay = {} if replaced is None else {b: u for b, u in state["at"].items() if int(b) not in replaced}
-        now = {"schema": rows.schema.jsonValue(), "key": list(key), "buckets": n, "at": stay | dict.fromkeys(written, v)}
-        out = self._fs.create(self._fs_path(f"{self.path}/_versions/_{v}"), True)
-        out.write(bytearray(json.dumps(now).encode()))
-        out.close()
-        self._fs.rename(self._fs_path(f"{self.path}/_versions/_{v}"), self._fs_path(f"{self.path}/_versions/{v}"))
+        size = self._fs.getContentSummary(self._fs_path(to)).getLength()
+        size += state.get("bytes", 0) * len(stay) // max(len(state.get("at", ())), 1)  # about what stays
+        now = {"schema": rows.schema.jsonValue(), "key": list(key), "buckets": n, "bytes": size, "at": stay | dict.fromkeys(written, folder)}
+        if not self._commit(base + 1, now):
+            self._fs.delete(self._fs_path(to), True)
+            return None
         self._expire()
-        return v
+        return base + 1
 
     def _expire(self) -> None:
         old, live = self._versions()[: -self.keep], self._versions()[-self.keep :]
-        used = {(b, v) for x in live for b, v in self._state(x)["at"].items()}
+        used = {(b, at) for x in live for b, at in self._state(x)["at"].items()}
         for x in old:
-            for b, v in self._state(x)["at"].items():
-                if (b, v) not in used:
-                    self._fs.delete(self._fs_path(f"{self.path}/v{v}/_bucket={b}"), True)
+            try:
+                gone = self._state(x)["at"].items()
+            except Exception:  # another writer has expired it
+                continue
+            for b, at in gone:
+                if (b, at) not in used:
+                    self._fs.delete(self._fs_path(f"{self.path}/{at}/_bucket={b}"), True)
             self._fs.delete(self._fs_path(f"{self.path}/_versions/{x}"), False)
 
+    def _tried(self, attempt: Callable[[int], int | None]) -> int:
+        """Attempts on top of the current version until one is committed; errors count if nobody else was faster."""
+        for _ in range(self.TRIES):
+            base = self.version()
+            try:
+                done = attempt(base)
+            except Exception:
+                if self.version() == base:
+                    raise
+                done = None  # files of a version that has expired meanwhile
+            if done is not None:
+                return done
+        raise RuntimeError(f"{self.path}: other writers were faster {self.TRIES} times")
+
     def write(self, df: DataFrame, key: Sequence[str]) -> int:
         """Replace the whole table."""
-        return self._put(df, key, self.buckets, {}, None)
+        return self._tried(lambda base: self._put(df, key, self.buckets, base, {}, None))
 
     def merge(self, batch: DataFrame, key: Sequence[str], rules: dict[str, str], default: str = OLD) -> int:
-        v = self.version()
-        if not v:
-            return self.write(batch, key)
-        state = self._state(v)
+        return self._tried(lambda base: self._merged(base, batch, key, rules, default))
+
+    def _merged(self, base: int, batch: DataFrame, key: Sequence[str], rules: dict[str, str], default: str) -> int | None:
+        if not base:
+            return self._put(batch, key, self.buckets, 0, {}, None)
+        state = self._state(base)
         n, kind = state["buckets"], StructType.fromJson(state["schema"])
         batch = batch.withColumns({k: F.col(k).cast(kind[k].dataType) for k in key})  # the hash goes by the type
+        if state.get("bytes", 0) > n * self.most_bytes:
+            return self._put(upsert(self._rows(state), batch, key, rules, default), key, -(-2 * state["bytes"] // self.most_bytes), base, state, None)
         touched = [r[0] for r in batch.select(F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")).distinct().collect()]  # n at most
         if not touched:
-            return v
-        return self._put(upsert(self._rows(state, touched), batch, key, rules, default), key, n, state, touched)
+            return base
+        return self._put(upsert(self._rows(state, touched), batch, key, rules, default), key, n, base, state, touched)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import queues, threads
 from plumbline.operators.rollup import resume_offsets as offsets
-from plumbline.operators.upsert import MERGE, NEW, OLD, RICHER, insert_ignore, last_wins, replace_stale, upsert
+from plumbline.operators.upsert import MERGE, NEW, OLD, RICHER, SnapshotTable, insert_ignore, last_wins, replace_stale, upsert
 from plumbline.plans.registry import query, read
+from plumbline.session import scratch
 
 KEY = ["event_type", "user_id"]
 _BATCHES = """with e as (select event_type, user_id, event_id, ts, value, props from events),
@@ -175,3 +176,14 @@ def thread_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resume_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
     return offsets(e, "event_type", F.col("ts").cast("timestamp"), "2024-01-15")
+
+
+@query("select c_custkey, c_acctbal + case when c_custkey % 2 = 0 then 1 else 0 end as balance, c_custkey % 3 = 0 as late from customer")
+def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in buckets after a write and two merges, each a commit of its own."""
+    c = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("balance"), (F.col("c_custkey") % 3 == 0).alias("late"))
+    table = SnapshotTable(spark, scratch(spark, "keyed-table"), buckets=4)
+    table.write(c.filter("not late"), ["c_custkey"])
+    table.merge(c.filter("late"), ["c_custkey"], {})
+    table.merge(c.filter("c_custkey % 2 = 0").withColumn("balance", F.col("balance") + 1), ["c_custkey"], {"balance": NEW})
+    return table.read()
