@@ -143,3 +143,9 @@ def test_listing(spark):
     assert set(got) == {"t3_a", "t3_c"}
     assert (got["t3_a"].title, got["t3_a"].url, got["t3_c"].url) == ("A title", "https://old.reddit.com/r/s/1", "https://y")
     assert json.loads(got["t3_a"].metadata) == {"sub": "s", "score": "5", "author": "me"}
+
+
+def test_archive_posts_without_id_or_time_go(spark):
+    posts = payloads(spark, {"data": [{"id": "a", "created_utc": 1.0, "score": "3", "permalink": "/p"}, {"id": "b"}, {"created_utc": 2}]}, {"data": []}, {"error": 1})
+    r = only(feeds.reddit_posts(posts))
+    assert (r.reddit_id, r.title, r.score, r.num_comments, r.url, r.updated_at) == ("a", "", 3, 0, "https://reddit.com/p", r.created_utc)
