@@ -149,3 +149,9 @@ def test_archive_posts_without_id_or_time_go(spark):
     posts = payloads(spark, {"data": [{"id": "a", "created_utc": 1.0, "score": "3", "permalink": "/p"}, {"id": "b"}, {"created_utc": 2}]}, {"data": []}, {"error": 1})
     r = only(feeds.reddit_posts(posts))
     assert (r.reddit_id, r.title, r.score, r.num_comments, r.url, r.updated_at) == ("a", "", 3, 0, "https://reddit.com/p", r.created_utc)
+
+
+def test_archive_comments_without_id_or_time_go(spark):
+    c = feeds.reddit_comments(payloads(spark, {"data": [{"id": "x", "link_id": "t3_a", "parent_id": "t1_y", "created_utc": "5"}, {"id": "z", "link_id": "t3_a"}, {"link_id": "t3_a", "created_utc": 1}]}))
+    r = only(c)
+    assert (r.reddit_id, r.post_reddit_id, r.parent_reddit_id, r.score, str(r.created_utc)) == ("x", "a", "y", 0, "1970-01-01 00:00:05")
