@@ -155,3 +155,9 @@ def test_archive_comments_without_id_or_time_go(spark):
     c = feeds.reddit_comments(payloads(spark, {"data": [{"id": "x", "link_id": "t3_a", "parent_id": "t1_y", "created_utc": "5"}, {"id": "z", "link_id": "t3_a"}, {"link_id": "t3_a", "created_utc": 1}]}))
     r = only(c)
     assert (r.reddit_id, r.post_reddit_id, r.parent_reddit_id, r.score, str(r.created_utc)) == ("x", "a", "y", 0, "1970-01-01 00:00:05")
+
+
+def test_submissions_of_the_older_worker(spark):
+    rows = payloads(spark, {"submission": {"id": "p", "title": "T", "selftext": "", "score": "7", "upvote_ratio": 0.5, "created_utc": 86400.5}, "comments": []}, {"submission": {"title": "no id"}}, {"comments": []})
+    r = only(feeds.legacy_posts(rows))
+    assert (r.reddit_id, r.title, r.selftext, r.author, r.score, r.upvote_ratio, r.num_comments, str(r.created_utc)) == ("p", "T", None, "None", 7, 0.5, None, "1970-01-02 00:00:00")
