@@ -161,3 +161,10 @@ def test_submissions_of_the_older_worker(spark):
     rows = payloads(spark, {"submission": {"id": "p", "title": "T", "selftext": "", "score": "7", "upvote_ratio": 0.5, "created_utc": 86400.5}, "comments": []}, {"submission": {"title": "no id"}}, {"comments": []})
     r = only(feeds.legacy_posts(rows))
     assert (r.reddit_id, r.title, r.selftext, r.author, r.score, r.upvote_ratio, r.num_comments, str(r.created_utc)) == ("p", "T", None, "None", 7, 0.5, None, "1970-01-02 00:00:00")
+
+
+def test_comment_trees_of_the_older_worker(spark):
+    first = {"id": "c", "parent_id": "t3_p", "body": "B", "score": 2, "depth": 0, "all_awardings": ["x", "y"], "created_utc": 1}
+    rows = payloads(spark, {"submission": {"id": "p"}, "comments": [first, {"id": "d", "parent_id": "t1_c", "author": "a", "depth": 1}, {"body": "no id"}]}, {"submission": {"id": "q"}})
+    got = sorted((r.post_reddit_id, r.reddit_id, r.parent_reddit_id, r.author, r.score, r.depth, r.awards) for r in feeds.legacy_comments(rows).collect())
+    assert got == [("p", "c", "p", "None", 2, 0, 2), ("p", "d", "c", "a", None, 1, 0)]
