@@ -10,7 +10,9 @@ import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -158,19 +160,52 @@ def full_text_match(text: Column, phrases: Sequence[str]) -> Column:
     return match(text)
 
 
-def token_column(text: Column) -> Column:
-    """The lexemes of a text with their positions, to be computed at write."""
-
-    @F.arrow_udf("array<struct<lexeme:string,pos:int>>")
-    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("lexeme", pa.string()), ("pos", pa.int32())]))
-        for batch in batches:
-            yield pa.array([[{"lexeme": s, "pos": i} for s, i in lexemes(t or "")] for t in batch.to_pylist()], kind)
-
-    return tokens(text)
+def in_slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows) of a batch, cut where ``size`` bytes of text are reached, so that what is made of them at once stays small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield at, texts.slice(at, to - at)
+        at = to
+
+
+def lexeme_places(texts: pa.Array, stemmed: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(lexeme, row, position) of all words of some texts, in their order; texts that aren't stemmed have one space between words."""
+    if stemmed:
+        found = [lexemes(t or "") for t in texts.to_pylist()]
+        row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        words, places = pa.array([s for f in found for s, _ in f], pa.string()), np.array([i for f in found for _, i in f], np.int32)
+        return words, row, places
+    lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    count = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    row, words = np.repeat(np.arange(len(texts)), count), lists.flatten()
+    places = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + 1
+    there = pc.not_equal(words, "")  # an empty text is split into one empty word
+    keep = there.to_numpy(zero_copy_only=False)
+    return words.filter(there), row[keep], places[keep].astype(np.int32)
+
+
+def grouped_places(words: pa.Array, row: np.ndarray, places: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.Array]:
+    """(lexeme, row, how many places, places) of each lexeme of each row; a lexeme's rows follow each other."""
+    coded = words.dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    order = np.lexsort((places, row, code))
+    code, row = code[order], row[order]
+    first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])]) if len(code) else np.zeros(0, np.int64)
+    ends = np.r_[first, len(code)].astype(np.int32)
+    return coded.dictionary.take(pa.array(code[first])), row[first], np.diff(ends), pa.ListArray.from_arrays(pa.array(ends), pa.array(places[order], pa.int32()))
 
 
 def inverted_index(docs, key: str, text: str):
     """(lexeme, key, positions): a keyword index as a table, to be partitioned by lexeme when written."""
-    rows = docs.select(key, F.explode(token_column(F.col(text))).alias("t"))
-    return rows.groupBy(F.col("t.lexeme").alias("lexeme"), key).agg(F.array_sort(F.collect_list("t.pos")).alias("positions"))
+    kind = docs.schema[key].dataType.simpleString()
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in in_slices(batch.column(1)):
+                lexeme, row, _, places = grouped_places(*lexeme_places(texts, True))
+                yield pa.RecordBatch.from_arrays([lexeme, batch.column(0).take(pa.array(row + at)), places], names=["lexeme", "key", "places"])
+
+    rows = docs.select(key, text).mapInArrow(listed, f"lexeme string, key {kind}, places array<int>")
+    return rows.groupBy("lexeme", F.col("key").alias(key)).agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("positions"))

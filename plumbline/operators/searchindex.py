@@ -6,7 +6,8 @@ and the largest number of places and the smallest length among them, which bound
 the block. Rows lie in buckets by the lexeme's hash, sorted by lexeme, so a query reads the
 buckets of its own lexemes and, in them, the row groups that have these. A document's block is
 the hash of its key, so the blocks of all lexemes line up; batches that are added later have
-blocks of their own.
+blocks of their own. The texts are shuffled once, by block: a block's postings are made in one
+place and written to the buckets from there, so a bucket has a file for each task that wrote.
 
 Ranked search first reads the bounds alone. The blocks with the highest sums of bounds are
 scored, which gives a k-th best score; then only blocks whose bound reaches it are. The
@@ -23,23 +24,25 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.fts import compile_phrases, lexemes, token_column
+from plumbline.functions.fts import compile_phrases, grouped_places, lexeme_places, lexemes
 
 #: Documents of a block, buckets of lexemes, and blocks that are scored to find the bar.
 BLOCK, BUCKETS, FIRST = 128, 64, 64
+#: Documents of a task that makes and sorts postings; small inputs are dealt to all cores.
+DOCS = 8192
 #: Weights of the ranking.
 K1, B = 1.2, 0.75
 _WORD, _WORDS = r"[\p{L}\p{N}]+", re.compile(r"[^\W_]+")
 
 
-def _tokens(text: Column, stemmed: bool) -> Column:
-    if stemmed:
-        return token_column(text)
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_WORD), 0)
-    return F.transform(words, lambda w, i: F.struct(w.alias("lexeme"), (i + 1).cast("int").alias("pos")))
+def _plain(text: Column, stemmed: bool) -> Column:
+    """What is shuffled of a text: the stemmer's input, or the words with one space between them."""
+    return text if stemmed else F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
 class SearchIndex:
@@ -150,14 +153,31 @@ def _all(tests: list[Column]) -> Column:
 def _add(docs: DataFrame, path: str, batch: int, key: str, text: str, stemmed: bool, buckets: int) -> None:
     """Write a batch's postings, and then that it is there."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("key"), _tokens(F.col(text), stemmed).alias("t")).filter("key is not null")
-    n = rows.count()
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("key is not null")
+    n, kind = rows.count(), rows.schema["key"].dataType.simpleString()
     block = F.concat_ws(":", F.lit(batch), F.pmod(F.xxhash64("key"), F.lit(max(1, n // BLOCK))))
-    each = rows.select("key", F.size("t").alias("length"), F.explode("t").alias("t"))
-    places = each.groupBy("key", F.col("t.lexeme").alias("lexeme")).agg(F.first("length").alias("length"), F.sort_array(F.collect_list("t.pos")).alias("places"))
-    one = F.struct("key", F.size("places").alias("tf"), "length", "places")
-    blocks = places.groupBy("lexeme", block.alias("block")).agg(F.count("*").alias("n"), F.max(F.size("places")).alias("most"), F.min("length").alias("shortest"), F.sort_array(F.collect_list(one)).alias("postings"))
+
+    def postings(docs_of_block: pa.Table) -> pa.Table:
+        t = docs_of_block.sort_by("key").combine_chunks()
+        words, row, places = lexeme_places(t.column("text").combine_chunks(), stemmed)
+        length = np.bincount(row, minlength=t.num_rows).astype(np.int32)
+        lexeme, row, tf, places = grouped_places(words, row, places)
+        coded = lexeme.dictionary_encode()
+        first = np.flatnonzero(np.diff(coded.indices.to_numpy(zero_copy_only=False), prepend=-1))
+        own = length[row]
+        one = pa.StructArray.from_arrays([t.column("key").take(pa.array(row)).combine_chunks(), pa.array(tf.astype(np.int32)), pa.array(own), places], ["key", "tf", "length", "places"])
+        ends = np.r_[first, len(row)].astype(np.int32)
+        over = lambda f, x: f.reduceat(x, first) if len(first) else x[:0]
+        names = pa.array([t.column("block")[0].as_py()] * len(first), pa.string())
+        return pa.table({"lexeme": coded.dictionary, "block": names, "n": pa.array(np.diff(ends).astype(np.int64)), "most": pa.array(over(np.maximum, tf).astype(np.int32)), "shortest": pa.array(over(np.minimum, own)), "total": pa.array(over(np.add, tf).astype(np.int64)), "postings": pa.ListArray.from_arrays(pa.array(ends), one)})
+
+    schema = f"lexeme string, block string, n long, most int, shortest int, total long, postings array<struct<key:{kind},tf:int,length:int,places:array<int>>>"
+    parts = min(max(1, n // BLOCK), max(spark.sparkContext.defaultParallelism, -(-n // DOCS)))
+    texts = rows.select("key", _plain(F.col("text"), stemmed).alias("text"), block.alias("block")).repartition(parts, "block")
+    blocks = texts.groupBy("block").applyInArrow(postings, schema)
     bucket = F.pmod(F.xxhash64("lexeme"), F.lit(buckets)).cast("int").alias("bucket")
-    blocks.select("*", bucket).hint("rebalance", "bucket").sortWithinPartitions("bucket", "lexeme", "block").write.mode("append").partitionBy("bucket").parquet(f"{path}/postings")
-    length = rows.agg(F.coalesce(F.sum(F.size("t")), F.lit(0)).cast("long")).first()[0]
+    words = Observation()
+    seen = blocks.observe(words, F.sum("total").alias("length")).drop("total")
+    seen.select("*", bucket).sortWithinPartitions("bucket", "lexeme", "block").write.mode("append").partitionBy("bucket").parquet(f"{path}/postings")
+    length = (words.get.get("length") or 0) if n else 0
     spark.createDataFrame([(batch, n, length, stemmed, buckets)], "batch int, docs long, length long, stemmed boolean, buckets int").coalesce(1).write.mode("append").parquet(f"{path}/batches")

@@ -89,3 +89,13 @@ def test_stems_of_the_published_vocabulary():
     knives knive knob knob knobs knob knock knock knocked knock knocker knocker knockers knocker knocking knock knocks knock
     knopp knopp knot knot knots knot""".split()
     assert {w: fts.stem(w) for w in pairs[::2]} == dict(zip(pairs[::2], pairs[1::2], strict=True))
+
+
+def test_texts_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """A batch is one shuffle of its texts by block: no rows by word are made and shuffled."""
+    df = spark.createDataFrame([(i, "one two three four five " * 200) for i in range(300)], "doc_id long, text string")
+    rows, explode = [], S.F.explode
+    monkeypatch.setattr(S.F, "explode", lambda c: rows.append(c) or explode(c))
+    index = S.SearchIndex.build(df, f"file://{tmp_path}/i", stemmed=False, buckets=4)
+    assert not rows and (index.docs, index.mean) == (300, 1000.0)
+    assert index.search("three", 1).collect()[0]["key"] == 0

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -121,3 +122,12 @@ def test_stemmer_takes_any_word(word):
 def test_inverted_index(spark):
     df = spark.createDataFrame([(1, "pay and pay"), (2, "paying")], "id int, text string")
     assert sorted((r.lexeme, r.id, r.positions) for r in fts.inverted_index(df, "id", "text").collect()) == [("pay", 1, [1, 3]), ("pay", 2, [1])]
+
+
+def test_texts_are_indexed_in_slices(spark):
+    """Slices follow the bytes, and rows of one key are put together."""
+    batch = pa.array(["ab", None, "c" * 10, "", "déf", "x"])
+    assert [(at, s.to_pylist()) for at, s in fts.in_slices(batch, 5)] == [(0, ["ab", None]), (2, ["c" * 10]), (3, ["", "déf", "x"])]
+    df = spark.createDataFrame([(1, "pays to pay"), (1, "pay"), (None, "pay"), (2, None), (3, "the")], "id int, text string")
+    got = sorted((r.lexeme, r.id or 0, r.positions) for r in fts.inverted_index(df, "id", "text").collect())
+    assert got == [("pay", 0, [1]), ("pay", 1, [1, 1, 3])]
