@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plumbline.functions.slices import in_slices
+
 # The English stop words of the public full-text configuration.
 STOP_WORDS = frozenset(
     """i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself
@@ -155,21 +157,11 @@ def full_text_match(text: Column, phrases: Sequence[str]) -> Column:
     @F.arrow_udf("boolean")
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([matches(t, queries) for t in batch.to_pylist()], pa.bool_())
+            yield pa.array([matches(t, queries) for _, some in in_slices(batch) for t in some.to_pylist()], pa.bool_())
 
     return match(text)
 
 
-def in_slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
-    """(first row, rows) of a batch, cut where ``size`` bytes of text are reached, so that what is made of them at once stays small."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
-        yield at, texts.slice(at, to - at)
-        at = to
-
-
 def lexeme_places(texts: pa.Array, stemmed: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(lexeme, row, position) of all words of some texts, in their order; texts that aren't stemmed have one space between words."""
     if stemmed:

@@ -2,6 +2,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plumbline.functions import automaton as A
@@ -66,3 +67,14 @@ def test_column(spark):
     got = {r.i: r.h for r in df.select("i", A.phrase_hits(df["t"], words).alias("h")).collect()}
     assert got == {i: [w for w in words if t and w in t] for i, t in enumerate(texts)}
     assert np.array(A.Automaton(words).ends).shape[1] == 2
+
+
+def test_a_batch_is_searched_in_slices(monkeypatch):
+    """Bytes at once are bounded however many rows a batch has."""
+    sizes, found = [], A.Automaton.found
+    monkeypatch.setattr(A, "AT_ONCE", 2048)
+    monkeypatch.setattr(A.Automaton, "found", lambda self, texts: sizes.append(sum(map(len, texts))) or found(self, texts))
+    batch = pa.array(["x" * 700 + "ab"] * 9 + [None, "", "b" * 5000, "ba"])
+    got = next(A.hits_of(iter([batch]), ["ab", "ba", "b"])).to_pylist()
+    assert max(sizes) <= 5000 and len(sizes) > 3
+    assert got == [["ab", "b"]] * 9 + [[], [], ["b"], ["ba", "b"]]
