@@ -168,3 +168,17 @@ def test_comment_trees_of_the_older_worker(spark):
     rows = payloads(spark, {"submission": {"id": "p"}, "comments": [first, {"id": "d", "parent_id": "t1_c", "author": "a", "depth": 1}, {"body": "no id"}]}, {"submission": {"id": "q"}})
     got = sorted((r.post_reddit_id, r.reddit_id, r.parent_reddit_id, r.author, r.score, r.depth, r.awards) for r in feeds.legacy_comments(rows).collect())
     assert got == [("p", "c", "p", "None", 2, 0, 2), ("p", "d", "c", "a", None, 1, 0)]
+
+
+def test_texts_are_embedded_in_slices(spark):
+    """An embedder gets a megabyte of text at once, not a batch of any size; vectors stand at their rows."""
+    texts = ["word " * 100_000] * 5 + ["a", "", None, "b c"] * 3
+
+    def careful(some, dims):
+        assert sum(map(len, some)) <= 1 << 20
+        return embedder.hashing(some, dims)
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    got = {r.id: r.embedding for r in embedder.embed(df, F.col("text"), 8, careful, None).collect()}
+    want = embedder.hashing([t or "" for t in texts], 8)
+    assert all(got[i] == pytest.approx(list(v)) for i, v in enumerate(want)) and len(got) == len(texts)
