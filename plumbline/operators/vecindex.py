@@ -35,8 +35,10 @@ from plumbline.session import cut
 SAMPLE, MOST_CELLS, ENTRIES = 20_000, 4096, 256
 #: Share of the sample's neighbours that the probed cells hold; a little more than what is promised of all rows.
 RECALL = 0.985
-#: Queries and vectors of a cell that meet in one task.
+#: Queries and vectors that meet in one task: of a cell, or of a bundle of cells that have so many vectors.
 QUERIES, VECTORS = 1000, 4000
+#: Distances of queries to centres that are worked on at once.
+_AT_ONCE = 1 << 20
 #: So many times k rows are refined by exact distance.
 REFINE = 4
 
@@ -155,8 +157,10 @@ class VectorIndex:
         model = self.model
 
         def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if b.num_rows:
+            step = max(1, _AT_ONCE // max(len(model.centres), ENTRIES))
+            for batch in batches:
+                for i in range(0, batch.num_rows, step):
+                    b = batch.slice(i, step)
                     x = _unit(_matrix(b.column("v")))
                     cell = model.cells(x)
                     away = np.sqrt(((x - model.centres[cell]) ** 2).sum(1))
@@ -172,18 +176,18 @@ class VectorIndex:
         found = self.spark.read.schema(kind).parquet(f"{self.path}/rows")
         return found if cells is None else found.filter(F.col("cell").isin(cells))
 
-    def _visits(self, queries: DataFrame, id_col: str, vec_col: str, near: float | None, probes: int | None) -> DataFrame:
-        """(query, q, cell): the cells that each query visits, the nearest ``probes`` or all that can hold a vector under ``near``."""
+    def _visits(self, queries: DataFrame, id_col: str, vec_col: str, near: float | None, probes: int | None, bundle: np.ndarray | None = None) -> DataFrame:
+        """(query, q, cells, bundle): the cells that each query visits, in a row for each bundle (or cell), the nearest ``probes`` or all that can hold a vector under ``near``."""
         model = self.model
+        bundle = np.arange(len(model.centres), dtype=np.int32) if bundle is None else bundle
         reach = {}
         if probes is None:
             reach = {r["cell"]: r["m"] for r in self.rows().groupBy("cell").agg(F.max("away").alias("m")).collect()}  # a number a cell
         radius = np.array([reach.get(c, -np.inf) for c in range(len(model.centres))])
 
         def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
+            step = max(1, _AT_ONCE // len(model.centres))
+            for b in (batch.slice(i, step) for batch in batches for i in range(0, batch.num_rows, step)):
                 x = _unit(_matrix(b.column("v")))
                 away = np.sqrt(_squared(x, model.centres))
                 if probes is None:
@@ -191,22 +195,51 @@ class VectorIndex:
                 else:
                     cell = np.argsort(away, axis=1, kind="stable")[:, :probes].ravel()
                     row = np.repeat(np.arange(len(x)), min(probes, away.shape[1]))
-                flat = pa.FixedSizeListArray.from_arrays(pa.array(x[row].ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(row)), flat, pa.array(cell.astype(np.int32))], names=["query", "q", "cell"])
-
-        return self._rows(queries, id_col, vec_col).mapInArrow(visits, "query long, q array<double>, cell int")
-
-    def _met(self, visits: DataFrame, work, schema: str) -> DataFrame:
-        """Blocks of a cell's queries and blocks of its vectors, each pair in one task."""
-        asked = visits.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("nx"))
-        cells = sorted(r["cell"] for r in asked.select("cell").collect())  # MOST_CELLS at most
-        rows = self.rows(cells)
-        sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") / VECTORS).cast("int").alias("ny")).join(asked, "cell")
+                order = np.lexsort((cell, bundle[cell], row))
+                row, cell = row[order], cell[order].astype(np.int32)
+                group = bundle[cell]
+                first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (group[1:] != group[:-1])]) if len(row) else np.zeros(0, np.int64)
+                cells = pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)].astype(np.int32)), pa.array(cell))
+                for i in range(0, len(first), step):  # a row of 64 doubles for each bundle, not for each cell
+                    of = row[first[i : i + step]]
+                    flat = pa.FixedSizeListArray.from_arrays(pa.array(x[of].ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
+                    yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(of)), flat, cells.slice(i, len(of)), pa.array(group[first[i : i + step]])], names=["query", "q", "cells", "bundle"])
+
+        return self._rows(queries, id_col, vec_col).mapInArrow(visits, "query long, q array<double>, cells array<int>, bundle int")
+
+    def _bundles(self) -> np.ndarray:
+        """The bundle of each cell: neighbours in number, put together while they have ``VECTORS`` vectors at most."""
+        sizes = {r["cell"]: r["count"] for r in self.rows().groupBy("cell").count().collect()}  # a number a cell
+        out, bundle, held = np.zeros(len(self.model.centres), np.int32), 0, 0
+        for c in range(len(out)):
+            n = sizes.get(c, 0)
+            if held and held + n > VECTORS:
+                bundle, held = bundle + 1, 0
+            out[c], held = bundle, held + n
+        return out
+
+    def _met(self, visits: DataFrame, bundle: np.ndarray, work, schema: str) -> DataFrame:
+        """Blocks of a bundle's queries and blocks of its vectors, each pair in one task; ``work`` gets those of one cell."""
+        asked = visits.groupBy("bundle").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("nx"))
+        cells = sorted(r["cell"] for r in visits.select(F.explode("cells").alias("cell")).distinct().collect())  # MOST_CELLS at most
+        rows = self.rows(cells).withColumn("bundle", F.element_at(F.lit(bundle.tolist()), F.col("cell") + 1))
+        sizes = rows.groupBy("bundle").agg(F.ceil(F.count("*") / VECTORS).cast("int").alias("ny")).join(asked, "bundle")
         upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        left = visits.join(sizes, "cell").withColumn("x", F.pmod(F.xxhash64("query"), F.col("nx")).cast("int")).withColumn("y", upto("ny"))
-        right = rows.join(sizes, "cell").withColumn("y", F.pmod(F.xxhash64("id"), F.col("ny")).cast("int")).withColumn("x", upto("nx"))
-        key = ["cell", "x", "y"]
-        return left.select(*key, "query", "q").groupBy(*key).cogroup(right.select(*key, "id", "code", "v").groupBy(*key)).applyInArrow(work, schema)
+        left = visits.join(sizes, "bundle").withColumn("x", F.pmod(F.xxhash64("query"), F.col("nx")).cast("int")).withColumn("y", upto("ny"))
+        right = rows.join(sizes, "bundle").withColumn("y", F.pmod(F.xxhash64("id"), F.col("ny")).cast("int")).withColumn("x", upto("nx"))
+        key = ["bundle", "x", "y"]
+
+        def by_cell(left: pa.Table, right: pa.Table) -> pa.Table:
+            lists = left.column("cells").combine_chunks() if left.num_rows else pa.array([], pa.list_(pa.int32()))
+            row, cell = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False)), lists.flatten().to_numpy(zero_copy_only=False)
+            own = right.column("cell").to_numpy()
+            found = []
+            for c in np.intersect1d(cell, own):
+                some = left.take(pa.array(row[cell == c])).append_column("cell", pa.array(np.full((cell == c).sum(), c, np.int32)))
+                found.append(work(some, right.take(pa.array(np.flatnonzero(own == c)))))
+            return pa.concat_tables(found) if found else work(left.slice(0, 0), right.slice(0, 0))
+
+        return left.select(*key, "query", "q", "cells").groupBy(*key).cogroup(right.select(*key, "cell", "id", "code", "v").groupBy(*key)).applyInArrow(by_cell, schema)
 
     def search(self, queries: DataFrame, k: int = 200, near: float | None = None, probes: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
         """(query, neighbour, distance, rank): about the k nearest other vectors of each query by cosine distance, ties by id."""
@@ -233,8 +266,9 @@ class VectorIndex:
             columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0)] * 3
             return pa.table({n: pa.array(c.astype(t)) for n, c, t in zip(("query", "neighbour", "distance"), columns, (np.int64, np.int64, np.float64), strict=True)})
 
-        visits = cut(self._visits(queries, id_col, vec_col, None, min(probes or model.probes, len(model.centres))))
-        found = self._met(visits, nearest, "query long, neighbour long, distance double")
+        bundle = self._bundles()
+        visits = cut(self._visits(queries, id_col, vec_col, None, min(probes or model.probes, len(model.centres)), bundle))
+        found = self._met(visits, bundle, nearest, "query long, neighbour long, distance double")
         rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "neighbour"))
         return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
@@ -247,8 +281,9 @@ class VectorIndex:
             i, j = np.nonzero(d < near)
             return pa.table({"query": left.column("query").to_numpy()[i], "neighbour": right.column("id").to_numpy()[j], "distance": d[i, j]})
 
-        visits = cut(self._visits(queries, id_col, vec_col, near, None))
-        return self._met(visits, close, "query long, neighbour long, distance double")
+        bundle = self._bundles()
+        visits = cut(self._visits(queries, id_col, vec_col, near, None, bundle))
+        return self._met(visits, bundle, close, "query long, neighbour long, distance double")
 
 
 class OnlineFold:

@@ -100,3 +100,13 @@ def test_fold_after_each_batch_equals_the_fold_of_all(spark, tmp_path):
     with pytest.raises(ValueError):
         vecindex.OnlineFold(spark, path, near).add(every.filter("vec_id = 5"))
     state.add(every.limit(0))
+
+
+def test_a_query_is_sent_once_for_each_bundle_of_cells(spark, tmp_path):
+    """What is sent follows bundles of so many vectors, not probed cells; a task's batch of visits is bounded."""
+    x = groups(1500, 24, 7)
+    index = vecindex.VectorIndex.build(frame(spark, x), f"file://{tmp_path}/index", k=10, cells=40)
+    bundle = index._bundles()
+    assert bundle.max() == 0  # 1500 vectors meet in one block
+    visits = index._visits(frame(spark, x), "vec_id", "embedding", None, 30, bundle)
+    assert visits.count() == 1500 and visits.selectExpr("sum(size(cells))").first()[0] == 1500 * 30
