@@ -21,9 +21,14 @@ def _json(**fields: Column) -> Column:
     return F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())))
 
 
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts, dealt to all cores: a small file of many rows is one task, and their payloads are much larger than they are."""
+    return read(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
+
+
 def _raw(spark: SparkSession, sf_dir: str, before: str, item: Column, after: str, *rest: Column) -> DataFrame:
     """One payload per part."""
-    return read(spark, sf_dir, "part").select(F.concat(F.lit(before), item, F.lit(after)).alias("payload"), *rest)
+    return _parts(spark, sf_dir).select(F.concat(F.lit(before), item, F.lit(after)).alias("payload"), *rest)
 
 
 def _laid_out(rows: DataFrame, *keys: str, columns: tuple[str, ...] = ("ext_id", "url", "title", "body")) -> DataFrame:
@@ -99,7 +104,7 @@ def source_news_rss(spark: SparkSession, sf_dir: str) -> DataFrame:
     when = F.when(_k() % 2 == 0, "<pubDate>Mon, 01 Jan 2024</pubDate>").otherwise("")
     item = F.concat(F.lit("<item>"), guid, F.lit("<link>https://x.test/?a="), _text(), F.lit("&amp;b=2</link><title>"), F.col("p_name"), F.lit(" &amp; &lt;co> &#233;</title>"), about, when, F.lit("</item>"))
     payload = F.concat(F.lit("<rss><channel><title>c</title>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>"))
-    raw = read(spark, sf_dir, "part").groupBy(F.floor(_k() / 7)).agg(payload.alias("payload"))
+    raw = _parts(spark, sf_dir).groupBy(F.floor(_k() / 7)).agg(payload.alias("payload"))
     return _laid_out(feeds.news_items(raw, "feed1"), "feed", "published")
 
 
@@ -237,7 +242,7 @@ def source_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda c: F.struct(c.alias("utf8"))
     event = lambda at, long, *said: F.concat(F.lit("{"), F.concat_ws(",", *(F.concat(F.lit(f'"{k}":'), v.cast("string")) for k, v in (("tStartMs", at), ("dDurationMs", long)) if v is not None), F.concat(F.lit('"segs":'), F.to_json(F.array(*map(part, said))))), F.lit("}"))
     events = F.concat(F.lit('{"events":['), F.concat_ws(",", event(F.lit(1500), F.lit(250), F.col("p_name"), F.col("p_brand")), F.lit('{"tStartMs":5}'), event(F.lit(7), None, F.lit("\n")), event(F.col("p_size") * 1000, None, F.col("p_type"))), F.lit("]}"))
-    rows = read(spark, sf_dir, "part").select("p_partkey", F.posexplode(videos.json3_segments(events)).alias("pos", "s"))
+    rows = _parts(spark, sf_dir).select("p_partkey", F.posexplode(videos.json3_segments(events)).alias("pos", "s"))
     return rows.select("p_partkey", F.col("pos").cast("long").alias("pos"), "s.text", "s.start", "s.dur")
 
 
@@ -248,7 +253,7 @@ def source_transcript_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first candidate transcript that has segments."""
     one = lambda yes, c: videos.transcript_segments(F.when(yes, F.to_json(F.array(F.struct(c.alias("text"), F.lit(1.0).alias("start"), F.lit(2.0).alias("duration"))))).otherwise("[]"))
     best = videos.best_transcript([("manual", one(_k() % 3 == 0, F.col("p_name"))), ("asr", one(_k() % 3 == 1, F.col("p_name"))), ("none", one(_k() % 2 == 0, F.col("p_brand")))])
-    rows = read(spark, sf_dir, "part").select("p_partkey", best.alias("b")).filter("b is not null")
+    rows = _parts(spark, sf_dir).select("p_partkey", best.alias("b")).filter("b is not null")
     return rows.select("p_partkey", "b.transcript_source", F.get("b.segments", F.lit(0))["text"].alias("text"))
 
 
@@ -293,7 +298,7 @@ def source_shopify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App pages by their linked data; pages without any go."""
     rating = F.when(_k() % 3 != 0, F.struct(F.lit("4.5").alias("ratingValue"), F.col("p_size").cast("string").alias("ratingCount")))
     ld = F.to_json(F.struct(F.when(_k() % 7 != 0, "SoftwareApplication").otherwise("Thing").alias("@type"), F.col("p_name").alias("name"), F.col("p_type").alias("description"), rating.alias("aggregateRating"), F.struct(F.lit("9.99").alias("price"), F.lit("USD").alias("priceCurrency")).alias("offers"), F.col("p_brand").alias("applicationCategory")))
-    rows = read(spark, sf_dir, "part").select(F.concat(F.lit("https://apps.shopify.com/app-"), _text()).alias("url"), F.concat(F.lit(_LD), ld, F.lit("</script></head></html>")).alias("html"))
+    rows = _parts(spark, sf_dir).select(F.concat(F.lit("https://apps.shopify.com/app-"), _text()).alias("url"), F.concat(F.lit(_LD), ld, F.lit("</script></head></html>")).alias("html"))
     return _laid_out(pages.shopify_apps(rows), "rating", "review_count", "price", "currency", "category", columns=("ext_id", "title", "body"))
 
 
@@ -318,7 +323,7 @@ def source_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     review = lambda i: F.struct(F.struct(F.col("p_brand").alias("name")).alias("author"), F.struct(F.lit(str(i)).alias("ratingValue")).alias("reviewRating"), F.col("p_type").alias("reviewBody"), F.lit(f"R{i}").alias("name"), F.lit(f"2024-01-0{i}").alias("datePublished"))
     ld = F.to_json(F.struct(F.lit("SoftwareApplication").alias("@type"), F.col("p_name").alias("name"), F.col("p_type").alias("description"), F.struct(F.lit("4.5").alias("ratingValue"), F.col("p_size").cast("string").alias("reviewCount")).alias("aggregateRating"), F.when(_k() % 2 == 0, F.struct(F.lit("10").alias("price"))).alias("offers"), F.col("p_brand").alias("applicationCategory"), F.array(review(1), review(2)).alias("review")))
-    return read(spark, sf_dir, "part").select(F.concat(F.lit("https://x.test/products/tool-"), _text(), F.lit("/reviews")).alias("url"), F.concat(F.lit(_LD), ld, F.lit("</script></head></html>")).alias("html"))
+    return _parts(spark, sf_dir).select(F.concat(F.lit("https://x.test/products/tool-"), _text(), F.lit("/reviews")).alias("url"), F.concat(F.lit(_LD), ld, F.lit("</script></head></html>")).alias("html"))
 
 
 @query(
@@ -327,7 +332,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_chrome_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extension pages by what can be seen on them."""
     html = F.concat(F.lit('<html><head><meta property="og:title" content="'), F.col("p_name"), F.lit(' - Chrome Web Store"><meta property="og:description" content="'), F.col("p_type"), F.lit('"></head><body><p>4.5 out of 5</p><p>'), F.col("p_size").cast("string"), F.lit(' ratings</p><a href="/category/tools">Tools &amp; more</a><p>'), F.col("p_size").cast("string"), F.lit("K users</p></body></html>"))
-    rows = read(spark, sf_dir, "part").select(F.concat(F.lit("ext"), _text()).alias("ext_id"), F.lit("u").alias("url"), html.alias("html"))
+    rows = _parts(spark, sf_dir).select(F.concat(F.lit("ext"), _text()).alias("ext_id"), F.lit("u").alias("url"), html.alias("html"))
     return _laid_out(pages.chrome_extensions(rows), "users", "rating", "rating_count", "category", columns=("ext_id", "title", "body"))
 
 
@@ -339,7 +344,7 @@ def source_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deals of a page's embedded data, and their reviews; blank reviews go."""
     deal = F.to_json(F.struct(F.concat(F.lit("deal"), _text()).alias("slug"), F.col("p_name").alias("name"), F.col("p_type").alias("tagline"), F.col("p_brand").alias("category"), F.array(F.struct(F.col("p_type").alias("body"), F.col("p_brand").alias("author")), F.struct(F.lit("").alias("body"), F.lit("x").alias("author"))).alias("comments")))
     html = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"deals":['), deal, F.lit("]}}}</script>"))
-    rows = read(spark, sf_dir, "part").select(F.lit("u").alias("url"), html.alias("html"))
+    rows = _parts(spark, sf_dir).select(F.lit("u").alias("url"), html.alias("html"))
     return _laid_out(pages.deal_pages(rows), "kind", "category", "author", columns=("ext_id", "title", "body"))
 
 
@@ -350,7 +355,7 @@ def source_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cards of a directory page, and the page itself."""
     html = F.concat(F.lit('<ul><li><a href="/software/alt-'), _text(), F.lit('/about/">'), F.col("p_name"), F.lit("</a><p>"), F.col("p_size").cast("string"), F.lit(" likes</p></li></ul><p>7 comments</p>"))
-    rows = read(spark, sf_dir, "part").select(_text().alias("seed"), html.alias("html"))
+    rows = _parts(spark, sf_dir).select(_text().alias("seed"), html.alias("html"))
     return _laid_out(pages.alternatives(rows), "seed_software", "likes", "alt_count", columns=("ext_id", "title", "body"))
 
 
@@ -361,7 +366,7 @@ def source_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts of a listing page."""
     href = F.concat(F.when(_k() % 2 == 0, "/r/x/").otherwise("https://x.test/"), _text())
     post = F.concat(F.lit('<div class="thing link" data-fullname="t3_'), _text(), F.lit('" data-score="'), F.col("p_size").cast("string"), F.lit('" data-author="'), F.col("p_brand"), F.lit('"><a class="title may-blank" href="'), href, F.lit('">'), F.col("p_name"), F.lit(" &amp; more</a></div>"))
-    rows = read(spark, sf_dir, "part").select(F.lit("sub").alias("sub"), F.concat(F.lit("<body>"), post, F.lit('<div class="thing link" data-fullname="t3_no"><p>x</p></div></body>')).alias("html"))
+    rows = _parts(spark, sf_dir).select(F.lit("sub").alias("sub"), F.concat(F.lit("<body>"), post, F.lit('<div class="thing link" data-fullname="t3_no"><p>x</p></div></body>')).alias("html"))
     return _laid_out(pages.listing_posts(rows), "sub", "score", "author", columns=("ext_id", "url", "title"))
 
 
@@ -370,7 +375,7 @@ def source_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def source_seller_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a report file by the spellings of its columns; rows without an item go."""
-    rows = read(spark, sf_dir, "part").select(F.when(_k() % 9 == 0, " ").otherwise(F.concat(F.lit(" B"), _text())).alias("ASIN"), F.col("p_name").alias("Product Name"), F.col("p_brand").alias("Brand"), F.concat(F.lit("$"), F.format_number("p_retailprice", 2)).alias("Current Price"), F.format_number(F.col("p_size") * 1000, 0).alias("Parent Revenue"), F.col("p_size").cast("string").alias("Review Count"), F.lit("top-sellers-20240305.csv").alias("_file"))
+    rows = _parts(spark, sf_dir).select(F.when(_k() % 9 == 0, " ").otherwise(F.concat(F.lit(" B"), _text())).alias("ASIN"), F.col("p_name").alias("Product Name"), F.col("p_brand").alias("Brand"), F.concat(F.lit("$"), F.format_number("p_retailprice", 2)).alias("Current Price"), F.format_number(F.col("p_size") * 1000, 0).alias("Parent Revenue"), F.col("p_size").cast("string").alias("Review Count"), F.lit("top-sellers-20240305.csv").alias("_file"))
     return reports.seller_reports(rows, "2024-12-31").select("report_type", "asin", F.col("snapshot_date").cast("string").alias("snapshot_date"), "title", "brand", F.round("price", 2).alias("price"), "monthly_revenue", "reviews")
 
 
@@ -380,4 +385,4 @@ def source_seller_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_seed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a seed names: an address, a handle, a channel or a video."""
     seed = F.when(_k() % 4 == 0, F.concat(F.lit("https://x.test/"), _text())).when(_k() % 4 == 1, F.concat(F.lit("@c"), _text())).when(_k() % 4 == 2, F.concat(F.lit("UC"), F.lpad(_text(), 22, "0"))).otherwise(F.concat(F.lit("v"), _text()))
-    return read(spark, sf_dir, "part").select("p_partkey", reports.seed_target(seed).alias("target"))
+    return _parts(spark, sf_dir).select("p_partkey", reports.seed_target(seed).alias("target"))

@@ -22,7 +22,8 @@ def _offer(path: str) -> Column:
 
 
 def _software(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("_ld", htmlx.json_ld_of(F.col("html"), "SoftwareApplication")).filter("_ld is not null")
+    found = F.array_compact(F.array(htmlx.json_ld_of(F.col("html"), "SoftwareApplication")))
+    return pages.select("*", F.explode(found).alias("_ld"))  # a filter would look for it twice
 
 
 def shopify_apps(pages: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ HEAVY = ("formats", "thumbnails", "automatic_captions", "subtitles", "requested_
 
 
 def _items(raw: DataFrame, payload: str) -> DataFrame:
-    return raw.select(F.try_parse_json(payload).alias(ITEM)).filter(F.col(ITEM).isNotNull())
+    return raw.select(F.explode(F.array_compact(F.array(F.try_parse_json(payload)))).alias(ITEM))  # parsed once, whatever is asked of it
 
 
 def _int(path: str) -> Column:

@@ -182,3 +182,12 @@ def test_texts_are_embedded_in_slices(spark):
     got = {r.id: r.embedding for r in embedder.embed(df, F.col("text"), 8, careful, None).collect()}
     want = embedder.hashing([t or "" for t in texts], 8)
     assert all(got[i] == pytest.approx(list(v)) for i, v in enumerate(want)) and len(got) == len(texts)
+
+
+def test_payloads_are_made_and_read_by_all_cores(spark):
+    """Parts come in one small file; their payloads are dealt out."""
+    import __spark_entry__ as entry_points
+
+    for name in ("source_product_reviews", "source_videos", "source_chrome_extensions"):
+        rows = entry_points.queries()[name](spark, "/root/testdata/sf0.01")
+        assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1, name
