@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from plumbline.session import cut
 
-#: Vectors of a block; a task holds two blocks and their products.
+#: Vectors of a block of ``knn``.
 BLOCK = 2000
-#: Pairs whose buckets are compared at once.
-_AT_ONCE = 100_000
+#: Pairs are made of so many blocks of vectors, each sent to as many tasks, unless a block has under LEAST or over BLOCK_BYTES of single floats.
+BLOCKS, LEAST, BLOCK_BYTES = 16, 500, 16 << 20
+#: Vectors of two blocks whose products are made at once, and bytes of vectors whose pairs are looked at again.
+_TILE, _AT_ONCE = (256, 2048), 16 << 20
+#: Sending a vector to one more task is worth so many comparisons: about 16 times what either takes, since room for shuffles is scarcer.
+COPY = 16_000
 
 
 def _unit(column: pa.ChunkedArray) -> np.ndarray:
@@ -26,40 +30,72 @@ def _unit(column: pa.ChunkedArray) -> np.ndarray:
     return x / np.where(length > 0, length, 1.0)
 
 
+def block_rows(count: int, dims: int) -> int:
+    """Vectors of a block for a table of ``count``: a task holds two, and a vector is sent to BLOCKS tasks however many there are."""
+    most = max(LEAST, BLOCK_BYTES // (4 * max(1, dims)))
+    return min(most, max(LEAST, -(-count // BLOCKS)))
+
+
+def _rows(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).filter("id is not null and v is not null")
+
+
 def _blocked(vectors: DataFrame, id_col: str, vec_col: str, block: int) -> tuple[DataFrame, int]:
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).filter("id is not null and v is not null")
+    rows = _rows(vectors, id_col, vec_col)
     n = max(1, -(-rows.count() // block))
     return rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
 
 
+def _candidates(near: float, one: np.ndarray, two: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of the rows of two blocks that may be under ``near``, by products of single floats and the error these can have."""
+    least = 1 - near - (one.shape[1] + 4) * 2.0**-22
+    for i in range(0, len(one), _TILE[0]):
+        for j in range(i - i % _TILE[1] if same else 0, len(two), _TILE[1]):
+            part = two[j : j + _TILE[1]]
+            at = np.flatnonzero(one[i : i + _TILE[0]] @ part.T > least)
+            x, y = at // len(part) + i, at % len(part) + j
+            yield (x[x < y], y[x < y]) if same else (x, y)
+
+
 def _products(near: float, first: bool = False):
-    """The pairs under ``near`` of the blocks x and y of vectors; with ``first`` only those that no earlier table has ("before")."""
+    """The pairs under ``near`` of the blocks x and y of vectors; with ``first`` only those that no earlier table has ("before").
+
+    What passes goes out tile by tile, so a task holds the two blocks, whatever they have in common.
+    """
 
-    def products(t: pa.Table) -> pa.Table:
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(batches)
         x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
         b, ids, v = t.column("b").to_numpy(), t.column("id").to_numpy(), _unit(t.column("v"))
-        one, two = np.flatnonzero(b == x), np.flatnonzero(b == y)
-        d = 1.0 - v[one] @ v[two].T
-        i, j = np.nonzero(d < near)
-        i, j, d = one[i], two[j], d[i, j]
-        p, q = ids[i], ids[j]
-        yes = p < q if x == y else p != q
         if first:
             before = t.column("before").combine_chunks()
             hs = before.flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1)
-            for at in range(0, len(p), _AT_ONCE):
-                yes[at : at + _AT_ONCE] &= ~(hs[i[at : at + _AT_ONCE]] == hs[j[at : at + _AT_ONCE]]).any(axis=1)
-        return pa.table({"a": np.minimum(p, q)[yes], "b": np.maximum(p, q)[yes], "distance": d[yes]})
+        del t
+        one, two = np.flatnonzero(b == x), np.flatnonzero(b == y)
+        short = v.astype(np.float32)
+        step = max(1, _AT_ONCE // (8 * max(1, v.shape[1])))
+        for i, j in _candidates(near, short[one], short[two], x == y):
+            for at in range(0, len(i), step):
+                p, q = one[i[at : at + step]], two[j[at : at + step]]
+                d = 1.0 - np.einsum("nd,nd->n", v[p], v[q])
+                yes = (d < near) & (ids[p] != ids[q])
+                if first:
+                    yes &= ~(hs[p] == hs[q]).any(axis=1)
+                p, q = ids[p[yes]], ids[q[yes]]
+                if len(p):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.array(d[yes])], names=["a", "b", "distance"])
 
     return products
 
 
-def exact_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", block: int = BLOCK) -> DataFrame:
+def exact_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", block: int | None = None) -> DataFrame:
     """(a, b, distance) with a < b of all pairs with cosine distance under ``near``.
 
     Every two blocks of vectors meet in one task as a matrix product, which holds only what passes. The work
     is that of all pairs: for corpora beyond a few million vectors use ``lsh_pairs``.
     """
+    if block is None:
+        block = block_rows(*_rows(vectors, id_col, vec_col).agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first())
     rows, n = _blocked(vectors, id_col, vec_col, block)
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda o: F.struct(F.least("b", o).alias("x"), F.greatest("b", o).alias("y"))))
     met = rows.withColumn("p", pair).select("id", "v", "b", "p.x", "p.y")
@@ -103,25 +139,39 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 200, near: float | None
 def lsh_tables(near: float, bits: int, recall: float) -> int:
     """Tables of ``bits`` hyperplanes that a pair at distance ``near`` needs to meet in one of them with probability ``recall``."""
     same = 1 - math.acos(min(1.0, max(-1.0, 1 - near))) / math.pi
-    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-(same**bits)))) if same < 1 else 1
+    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-(same**bits)))) if same < 1 and bits else 1
+
+
+def lsh_bits(count: int, near: float, recall: float, block: int) -> int:
+    """Hyperplanes of a table for which comparing and sending ``count`` vectors costs least; none where all pairs cost less than any tables."""
+
+    def cost(bits: int) -> float:
+        bucket = count / 2**bits
+        return lsh_tables(near, bits, recall) * (bucket / 2 + COPY * math.ceil(bucket / block))
+
+    return min(range(25), key=cost) if near < 2 else 0
 
 
-def lsh_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", tables: int | None = None, bits: int | None = None, seed: int = 42, recall: float = 0.98, block: int = BLOCK) -> DataFrame:
+def lsh_pairs(vectors: DataFrame, near: float, id_col: str = "vec_id", vec_col: str = "embedding", tables: int | None = None, bits: int | None = None, seed: int = 42, recall: float = 0.98, block: int | None = None) -> DataFrame:
     """(a, b, distance) with a < b, each once: pairs under ``near`` that share a bucket of random hyperplanes in some table, verified.
 
-    Candidates come from equal buckets, so cost follows the buckets, not all pairs. Where ``bits`` isn't given, a bucket
-    has about ``block`` vectors; where ``tables`` isn't, there are so many that ``recall`` of the pairs at ``near`` are
-    expected, and more of the nearer ones. Larger buckets are met in blocks. A pair counts in the first table in which it
-    meets, so what is found needs no second shuffle.
+    Candidates come from equal buckets, so cost follows the buckets, not all pairs. Every table gets every vector, and at wide
+    distances there must be many: where neither ``bits`` nor ``tables`` is given, they are those of least cost for the number
+    of rows, and without any (one bucket, which finds all pairs) where that is least. Given ``bits`` alone, there are so many
+    tables that ``recall`` of the pairs at ``near`` are expected, and more of the nearer ones. Buckets of more than ``block``
+    vectors are met in blocks. A pair counts in the first table in which it meets, so what is found needs no second shuffle.
 
     Null ids and vectors are left out, and vectors with another number of values than the longest. A vector of zeros
     has distance one to all. Rows that repeat an id are neighbours of others, not of each other.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).filter("id is not null and v is not null")
+    rows = _rows(vectors, id_col, vec_col)
     count, dims = rows.agg(F.count("*"), F.max(F.size("v"))).first()
     rows = rows.filter(F.size("v") == (dims or 0))
+    block = block or block_rows(count, dims or 0)
     if bits is None:
-        bits = max(2, min(24, round(math.log2(max(1, count) / block))))
+        bits = lsh_bits(count, near, recall, block) if tables is None else max(2, min(24, round(math.log2(max(1, count) / block))))
+    if bits == 0:
+        return exact_pairs(rows, near, "id", "v", block)
     if tables is None:
         tables = lsh_tables(near, bits, recall)
     planes = np.random.default_rng(seed).standard_normal((tables, bits, dims or 0))
