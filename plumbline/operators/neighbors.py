@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.session import cut
+from plumbline.session import cut, kept
 
 #: Vectors of a block of ``knn``.
 BLOCK = 2000
@@ -208,21 +208,17 @@ def fold(ids: DataFrame, pairs: DataFrame, id_col: str = "vec_id") -> DataFrame:
     """Greedy fold in order of id: (id, seed). A seed is its own; every other row belongs to its smallest adjacent seed.
 
     This is the sequential star clustering, not connected components: a row is a seed exactly when no smaller
-    seed is near. It is found in rounds: a row with a smaller near seed is a member; one whose smaller near
-    rows are all members is a seed. Each round is one join on the rows still open.
+    seed is near. It is found in rounds: a row near to a new seed is a member, and a row whose smaller near rows
+    are all members is a new seed. Each round has only the pairs of two rows still open; of all pairs, ids alone are kept.
     """
     rows = ids.select(F.col(id_col).alias("id")).distinct()
-    down = cut(pairs.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("less")).distinct())
-    seeds = cut(rows.join(down.select("id"), "id", "left_anti"))  # nothing smaller is near
-    members = cut(down.join(seeds.select(F.col("id").alias("less")), "less", "left_semi").select("id").distinct())
-    open_ = cut(down.join(members, "id", "left_anti"))
-    while not open_.isEmpty():
-        waits = open_.join(members.select(F.col("id").alias("less")), "less", "left_anti").select("id").distinct()
-        fresh = cut(open_.select("id").distinct().join(waits, "id", "left_anti"))
-        seeds = cut(seeds.unionByName(fresh))
-        joined = open_.join(fresh.select(F.col("id").alias("less")), "less", "left_semi").select("id").distinct()
-        members = cut(members.unionByName(joined))
-        open_ = cut(open_.join(seeds, "id", "left_anti").join(members, "id", "left_anti"))
+    down = open_ = kept(pairs.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("less")), "fold")  # a pair twice changes nothing
+    seeds = fresh = cut(rows.join(down.select("id").distinct(), "id", "left_anti"))  # nothing smaller is near
+    while not fresh.isEmpty():
+        members = cut(open_.join(fresh.select(F.col("id").alias("less")), "less", "left_semi").select("id").distinct())
+        left = kept(open_.join(members.select(F.col("id").alias("less")), "less", "left_anti").join(members, "id", "left_anti").select("id", "less"), "fold")
+        fresh = cut(open_.select("id").distinct().join(members, "id", "left_anti").join(left.select("id").distinct(), "id", "left_anti"))
+        seeds, open_ = cut(seeds.unionByName(fresh)), left
     star = down.join(seeds.select(F.col("id").alias("less")), "less", "left_semi").groupBy("id").agg(F.min("less").alias("seed"))
     return seeds.select("id", F.col("id").alias("seed")).unionByName(star.join(seeds, "id", "left_anti").select("id", "seed"))
 
