@@ -199,7 +199,8 @@ def neighbours(pairs: DataFrame, k: int = 200) -> DataFrame:
 
     The nearest k are kept per task before they are ranked, so a row with very many neighbours isn't put in order as a whole.
     """
-    both = pairs.select(F.col("a").alias("seed"), F.col("b").alias("neighbour"), "distance").union(pairs.select("b", "a", "distance"))
+    ways = F.explode(F.array(F.struct(F.col("a").alias("seed"), F.col("b").alias("neighbour")), F.struct(F.col("b").alias("seed"), F.col("a").alias("neighbour"))))
+    both = pairs.select(ways.alias("w"), "distance").select("w.seed", "w.neighbour", "distance")  # the pairs are made once
     rank = F.row_number().over(Window.partitionBy("seed").orderBy("distance", "neighbour"))
     return both.withColumn("rank", rank).filter(F.col("rank") <= k)
 
