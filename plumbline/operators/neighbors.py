@@ -18,7 +18,7 @@ BLOCK = 2000
 BLOCKS, LEAST, BLOCK_BYTES = 16, 500, 16 << 20
 #: Vectors of two blocks whose products are made at once, and bytes of vectors whose pairs are looked at again.
 _TILE, _AT_ONCE = (256, 2048), 16 << 20
-#: Sending a vector to one more task is worth so many comparisons: about 16 times what either takes, since room for shuffles is scarcer.
+#: Sending a vector to one more task counts as so many comparisons: by estimate far more than its time, since room for shuffles is scarcer.
 COPY = 16_000
 
 
