@@ -46,7 +46,7 @@ def _blocked(vectors: DataFrame, id_col: str, vec_col: str, block: int) -> tuple
     return rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
 
 
-def _candidates(near: float, one: np.ndarray, two: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def candidates(near: float, one: np.ndarray, two: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(i, j) of the rows of two blocks that may be under ``near``, by products of single floats and the error these can have."""
     least = 1 - near - (one.shape[1] + 4) * 2.0**-22
     for i in range(0, len(one), _TILE[0]):
@@ -74,7 +74,7 @@ def _products(near: float, first: bool = False):
         one, two = np.flatnonzero(b == x), np.flatnonzero(b == y)
         short = v.astype(np.float32)
         step = max(1, _AT_ONCE // (8 * max(1, v.shape[1])))
-        for i, j in _candidates(near, short[one], short[two], x == y):
+        for i, j in candidates(near, short[one], short[two], x == y):
             for at in range(0, len(i), step):
                 p, q = one[i[at : at + step]], two[j[at : at + step]]
                 d = 1.0 - np.einsum("nd,nd->n", v[p], v[q])

@@ -110,3 +110,41 @@ def test_a_query_is_sent_once_for_each_bundle_of_cells(spark, tmp_path):
     assert bundle.max() == 0  # 1500 vectors meet in one block
     visits = index._visits(frame(spark, x), "vec_id", "embedding", None, 30, bundle)
     assert visits.count() == 1500 and visits.selectExpr("sum(size(cells))").first()[0] == 1500 * 30
+
+
+def test_what_is_sent_does_not_grow_with_the_square_of_the_rows(spark, tmp_path, monkeypatch):
+    """However small the blocks of a small table are, a vector goes to so many tasks; what is found stays the same."""
+    monkeypatch.setattr(vecindex, "QUERIES", 20)
+    monkeypatch.setattr(vecindex, "VECTORS", 40)
+    x = groups(3000, 16, 9)
+    e = frame(spark, x)
+    index = vecindex.VectorIndex.build(e, f"file://{tmp_path}/index", k=10)
+    store = spark.sparkContext._jsc.sc().statusStore
+    stages = lambda: store().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    done = {stages().apply(i).stageId() for i in range(stages().size())}
+    unit = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    d = 1 - unit @ unit.T
+    np.fill_diagonal(d, 2)
+    near = float(np.partition(d.ravel(), 3000)[3000])
+    got = {(r["query"], r.neighbour) for r in index.search(e, 3000, near, len(index.model.centres)).collect()}
+    assert got == set(zip(*(a.tolist() for a in np.nonzero(d < near)), strict=True)) and got
+    every = stages()
+    sent = sum(every.apply(i).shuffleWriteRecords() for i in range(every.size()) if every.apply(i).stageId() not in done)
+    assert sent < 3000 * 2 * (neighbors.BLOCKS + 2)
+
+
+def test_single_and_double_floats_are_stored_as_given(spark, tmp_path):
+    """An index of single floats takes doubles as well, and ranges are those of the doubles."""
+    x = groups(300, 12, 5)
+    more = groups(100, 12, 6).astype(np.float64) + 1e-9
+    doubles = spark.createDataFrame([(1000 + i, v.tolist()) for i, v in enumerate(more)], "vec_id long, embedding array<double>")
+    index = vecindex.VectorIndex.build(frame(spark, x), f"file://{tmp_path}/index", k=10)
+    index.append(doubles)
+    assert {(r.id >= 1000, len(r.v)) for r in index.rows().collect()} == {(False, 48), (True, 96)}
+    unit = np.vstack([x.astype(np.float64), more])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    ids = [*range(300), *range(1000, 1100)]
+    d = 1 - unit[300:] @ unit.T
+    got = {(r["query"], r.neighbour): r.distance for r in index.within(doubles, 0.2).collect()}
+    assert set(got) == {(ids[300 + i], ids[j]) for i, j in zip(*np.nonzero(d < 0.2), strict=True)}
+    assert all(abs(got[ids[300 + i], ids[j]] - d[i, j]) < 1e-12 for i, j in zip(*np.nonzero(d < 0.2), strict=True))
