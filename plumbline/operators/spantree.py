@@ -16,12 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import cut
+from plumbline.session import kept
 
 #: Vectors of a block, and neighbours that are listed.
 BLOCK, LISTED = 2000, 16
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Go on from Parquet: a checkpoint keeps what the plan before it implied of its columns, which grows manifold with each round's joins."""
+    return kept(df, "tree")
+
+
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Euclidean distances, rounded so that they don't depend on how pairs were dealt."""
     square = (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * x @ y.T
